@@ -84,3 +84,23 @@ def sliced_running_sum(
     offsets = totals.select(*keys, _SLICE, F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
     res = local.join(offsets, on=[*keys, _SLICE], how="left")
     return res.withColumn(out, F.col("_off") + F.col("_local")).drop(_SLICE, "_v", "_local", "_off")
+
+
+def sliced_running_max(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    slice_col: Column,
+    value: Column,
+    out: str,
+) -> DataFrame:
+    """Add ``out`` = running max of ``value`` (nulls ignored) per key by ``order``."""
+    keys = list(keys)
+    df1 = df.withColumn(_SLICE, slice_col).withColumn("_v", value)
+    w = Window.partitionBy(*keys, _SLICE).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    local = df1.withColumn("_local", F.max("_v").over(w))
+    totals = df1.groupBy(*keys, _SLICE).agg(F.max("_v").alias("_tot"))
+    wo = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, _SLICE, F.max("_tot").over(wo).alias("_off"))
+    res = local.join(offsets, on=[*keys, _SLICE], how="left")
+    return res.withColumn(out, F.greatest(F.col("_off"), F.col("_local"))).drop(_SLICE, "_v", "_local", "_off")
