@@ -192,3 +192,90 @@ def facade_tables(spark: SparkSession, sf_dir: str) -> Tables:
         source_files=facade_source_files(events),
         events=events,
     )
+
+
+# --- Fixed values: raw-line defects of the CSV facade, by event_id modulus, first match wins.
+# Every event still yields its line(s); the modulus only picks which defect a line carries.
+DEFECTS = [
+    (97, "short_row"),
+    (89, "header_text"),
+    (83, "blank_ref"),
+    (79, "bad_date"),
+    (73, "after_delivery"),
+    (71, "unknown_ref"),
+    (67, "unknown_type"),
+    (61, "negative_run_hours"),
+    (59, "emitted_twice"),
+    (53, "day_first_date"),
+    (47, "upper_branch"),
+    (43, "spaced_ref"),
+    (41, "late_time"),
+]
+CSV_HEADER = "DateAndTime,RefNo.,BranchName,TxFlagStrings,RunHours,DriverName,DriverSurname"
+BRANCH_PREFIX_TEXT = "Ridgeback "
+
+
+def facade_raw_lines(spark: SparkSession, sf_dir: str, t: Tables | None = None) -> DataFrame:
+    """Daily CSV lines (file_name, line_no, raw_line) rendered from the facade events.
+
+    Line 1 of every file is the header; event ``id`` is written at line 2*id+2
+    (and its copy, when emitted twice, at 2*id+3).
+    """
+    t = t or facade_tables(spark, sf_dir)
+    e = t.events
+    d = F.broadcast(
+        facade_drivers(spark, sf_dir).select("driver_key", F.col("first_name").alias("d_first"), F.col("surname").alias("d_sur"))
+    )  # 9 rows at most
+    b = t.branches.select(F.col("branch_id").alias("event_branch_id"), F.col("name").alias("b_name"))
+    et = F.broadcast(t.event_types.select(F.col("code").alias("event_type"), F.col("label").alias("t_label")))
+    j = e.join(b, "event_branch_id").join(et, "event_type").join(d, "driver_key", "left")
+    eid = F.col("source_line") - 2
+    defect = None
+    for m, name in DEFECTS:
+        cond = F.pmod(eid, F.lit(m)) == 0
+        defect = F.when(cond, name) if defect is None else defect.when(cond, name)
+    j = j.withColumn("defect", defect).withColumn("eid", eid)
+    dk = F.col("defect")
+    t_iso = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss")
+    time_txt = (
+        F.when(dk == "bad_date", F.concat(F.lit("31/02/"), F.date_format("event_time", "yyyy"), F.lit(" 10:00:00")))
+        .when(dk == "after_delivery", F.date_format(F.col("event_time") + F.expr("interval 2 days"), "yyyy-MM-dd'T'HH:mm:ss"))
+        .when(dk == "late_time", F.date_format(F.col("event_time") - F.expr("interval 2 days"), "yyyy-MM-dd'T'HH:mm:ss"))
+        .when(dk == "day_first_date", F.date_format("event_time", "dd/MM/yyyy HH:mm:ss"))
+        .otherwise(t_iso)
+    )
+    ref_txt = (
+        F.when(dk == "blank_ref", F.lit(""))
+        .when(dk == "unknown_ref", F.concat(F.lit("X"), F.col("ref_no")))
+        .when(dk == "spaced_ref", F.concat(F.lit(" "), F.lower("ref_no"), F.lit(" ")))
+        .otherwise(F.col("ref_no"))
+    )
+    branch_txt = F.when(dk == "upper_branch", F.concat(F.lit("RIDGEBACK  "), F.upper("b_name"))).otherwise(
+        F.concat(F.lit(BRANCH_PREFIX_TEXT), F.col("b_name"))
+    )
+    type_txt = F.when(dk == "unknown_type", F.lit("Teleport")).otherwise(F.col("t_label"))
+    rh_txt = F.when(dk == "negative_run_hours", F.lit("-5")).otherwise(F.col("run_hours_seconds").cast("string"))
+    first_txt = F.coalesce(F.upper("d_first"), F.lit(""))
+    sur_txt = F.coalesce(F.col("d_sur"), F.lit(""))
+    full = F.concat_ws(",", time_txt, ref_txt, branch_txt, type_txt, rh_txt, first_txt, sur_txt)
+    line = (
+        F.when(dk == "short_row", F.concat_ws(",", time_txt, ref_txt, branch_txt))
+        .when(dk == "header_text", F.lit(CSV_HEADER))
+        .otherwise(full)
+    )
+    copies = F.when(dk == "emitted_twice", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    body = j.select(
+        "file_name",
+        F.explode(copies).alias("copy"),
+        "eid",
+        line.alias("raw_line"),
+    ).select("file_name", (F.col("eid") * 2 + 2 + F.col("copy")).cast("bigint").alias("line_no"), "raw_line")
+    headers = e.select("file_name").distinct().select("file_name", F.lit(1).cast("bigint").alias("line_no"), F.lit(CSV_HEADER).alias("raw_line"))
+    return headers.unionByName(body)
+
+
+def facade_machine_index(t: Tables) -> DataFrame:
+    """The machine list as the cleaning rules see it: (ref_no, branch, machine_type)."""
+    return t.machines.join(
+        t.branches.select(F.col("branch_id").alias("home_branch_id"), F.col("name").alias("branch")), "home_branch_id"
+    ).select("ref_no", "branch", "machine_type")
