@@ -89,6 +89,7 @@ def file_headers(records: DataFrame, files: DataFrame | None = None) -> DataFram
     out = hdr.select(
         "file_name",
         "hline",
+        F.col("h").alias("header"),
         F.size("h").alias("n_cols"),
         F.array_join(keys, "|").alias("signature"),
         roles.alias("roles"),
@@ -120,7 +121,7 @@ def clean_records(
     ok = headers.where(F.col("error").isNull()).drop("error")
     failures = headers.where(F.col("error").isNotNull()).select("file_name", "error")
 
-    data = records.join(ok, "file_name").where(F.col("line_no") > F.col("hline"))
+    data = records.join(ok.drop("header"), "file_name").where(F.col("line_no") > F.col("hline"))
 
     def get(role):
         return F.try_element_at("fields", F.col("i_" + role))

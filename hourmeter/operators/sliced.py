@@ -47,8 +47,10 @@ def sliced_lag(
         *[F.lag(c).over(w).alias(prefix + c) for c in cols],
         (F.row_number().over(w) == 1).alias(_FIRST),
     )
-    # one row per slice: the last row's values, then the previous slice's last row
-    last = df1.groupBy(*keys, _SLICE).agg(
+    # one row per slice: the last row's values, then the previous slice's last row.
+    # Aggregating the windowed frame (already hash-partitioned by keys + slice) lets
+    # both branches share one shuffle of the input instead of recomputing it.
+    last = inner.groupBy(*keys, _SLICE).agg(
         F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*_cols(order))).alias("_last")
     )
     ws = Window.partitionBy(*keys).orderBy(_SLICE)
@@ -79,7 +81,7 @@ def sliced_running_sum(
     df1 = df.withColumn(_SLICE, slice_col).withColumn("_v", value)
     w = Window.partitionBy(*keys, _SLICE).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = df1.withColumn("_local", F.sum("_v").over(w))
-    totals = df1.groupBy(*keys, _SLICE).agg(F.sum("_v").alias("_tot"))
+    totals = local.groupBy(*keys, _SLICE).agg(F.sum("_v").alias("_tot"))
     wo = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, _SLICE, F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
     res = local.join(offsets, on=[*keys, _SLICE], how="left")
@@ -99,7 +101,7 @@ def sliced_running_max(
     df1 = df.withColumn(_SLICE, slice_col).withColumn("_v", value)
     w = Window.partitionBy(*keys, _SLICE).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = df1.withColumn("_local", F.max("_v").over(w))
-    totals = df1.groupBy(*keys, _SLICE).agg(F.max("_v").alias("_tot"))
+    totals = local.groupBy(*keys, _SLICE).agg(F.max("_v").alias("_tot"))
     wo = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, _SLICE, F.max("_tot").over(wo).alias("_off"))
     res = local.join(offsets, on=[*keys, _SLICE], how="left")
