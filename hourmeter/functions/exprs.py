@@ -197,15 +197,11 @@ def day_name(d) -> Column:
 
 
 def hours(seconds, digits: int = 2) -> Column:
-    """Seconds / 3600 rounded half up to ``digits`` decimals, as DOUBLE.
+    """Seconds / 3600 rounded half away from zero to ``digits`` decimals, as DOUBLE.
 
-    Exact: floor((s * 10^d + 1800) / 3600) / 10^d in integer arithmetic; double
-    ``round`` gets ties wrong.
+    Exact integer arithmetic (see ``hour_units``); double ``round`` gets ties wrong.
     """
-    scale = 10 ** digits
-    num = _c(seconds).cast("bigint") * F.lit(scale) + F.lit(1800)
-    q = (num - F.pmod(num, F.lit(3600))) / F.lit(3600)
-    return (q.cast("bigint") / F.lit(float(scale))).cast("double")
+    return (hour_units(seconds, digits) / F.lit(float(10 ** digits))).cast("double")
 
 
 def hours_from_hundredths(h, digits: int = 1) -> Column:
@@ -216,10 +212,18 @@ def hours_from_hundredths(h, digits: int = 1) -> Column:
     return (q.cast("bigint") / F.lit(float(10 ** digits))).cast("double")
 
 
+def hour_units(seconds, digits: int = 2) -> Column:
+    """Seconds -> whole 10^-digits hours, rounded half away from zero, as BIGINT (exact):
+    sign(s) * floor((|s| * 10^d + 1800) / 3600)."""
+    s = _c(seconds).cast("bigint")
+    num = F.abs(s) * F.lit(10 ** digits) + F.lit(1800)
+    q = ((num - F.pmod(num, F.lit(3600))) / F.lit(3600)).cast("bigint")
+    return F.when(s < 0, -q).otherwise(q)
+
+
 def hundredths(seconds) -> Column:
     """Seconds -> hundredths of an hour, half up, as BIGINT (for sums of rounded values)."""
-    num = _c(seconds).cast("bigint") * F.lit(100) + F.lit(1800)
-    return ((num - F.pmod(num, F.lit(3600))) / F.lit(3600)).cast("bigint")
+    return hour_units(seconds, 2)
 
 
 def period_param(date_from: str | None, date_to: str | None) -> tuple[str | None, str | None]:

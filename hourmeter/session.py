@@ -26,6 +26,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # local mode: the driver JVM is the only executor
+    builder = builder.config("spark.driver.memory", os.environ.get("HOURMETER_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
