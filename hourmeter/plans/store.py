@@ -133,3 +133,29 @@ class Store:
     def exists(self) -> bool:
         loc = _local(self.root)
         return os.path.isdir(loc) if loc else True
+
+
+def materialize(store: Store, t: Tables, load_id: str = "initial") -> None:
+    """Write a whole Tables bundle (e.g. the test-table facade) as one committed load."""
+    spark = store.spark
+    now = F.current_timestamp()
+    store.append("events", t.events.withColumn("loaded_at", now).withColumn("load_id", F.lit(load_id)), ["event_date"])
+    if t.rejected_rows is not None:
+        store.append("rejected_rows", t.rejected_rows.withColumn("rejected_at", now).withColumn("load_id", F.lit(load_id)))
+    if t.ingestion_runs is not None:
+        store.append("ingestion_runs", t.ingestion_runs.select(
+            *[F.col(c).cast("timestamp") if c in ("started_at", "finished_at") else F.col(c) for c in t.ingestion_runs.columns]
+        ))
+    store.write_version("branches", t.branches)
+    store.write_version("machines", t.machines.withColumn("updated_at", now))
+    store.write_version("drivers", t.drivers)
+    sf = t.source_files.select(
+        "file_name", "delivery_date", "data_date", "checksum",
+        F.col("first_loaded_at").cast("timestamp").alias("first_loaded_at"),
+        F.col("last_loaded_at").cast("timestamp").alias("last_loaded_at"),
+        F.col("load_count").cast("int").alias("load_count"),
+        F.array(F.lit(load_id)).alias("load_ids"),
+        F.lit(None).cast("array<string>").alias("header"),
+    )
+    store.write_version("source_files", sf)  # the commit
+    del spark
