@@ -169,15 +169,17 @@ def run_ingest(
     reprocess_all: bool = False,
     triggered_by: str | None = None,
     started_at: dt.datetime | None = None,
+    paths: list[str] | None = None,
 ) -> RunResult:
-    """Pick, clean and load every new or changed daily file in ``incoming``."""
+    """Pick, clean and load every new or changed daily file in ``incoming``
+    (or only ``paths``, e.g. the files of one stream micro-batch)."""
     ensure_checkpoint_dir(spark)
     started = started_at or _now()
     trig = triggered_by or "schedule"
     load_id = uuid.uuid4().hex
     t = store.tables()
 
-    listing = FS.list_daily_files(spark, incoming)
+    listing = FS.list_daily_files(spark, incoming) if paths is None else FS.daily_files_of(spark, paths)
     lines_all = FS.read_lines(spark, [r[0] for r in listing.select("path").collect()]) if listing.take(1) else None
     if lines_all is None:
         log_pipeline_run(store, started, trig, 0, 0)

@@ -21,7 +21,7 @@ from hourmeter.functions.constants import NO_DRIVER
 from hourmeter.model import Tables
 from hourmeter.operators import filters as FL
 from hourmeter.operators import rankings as RK
-from hourmeter.operators.intervals import machine_daily_hours
+from hourmeter.operators.intervals import driver_daily_hours, machine_daily_hours, run_intervals
 from hourmeter.operators.quality import data_quality
 from hourmeter.operators.views import event_counts
 
@@ -172,23 +172,31 @@ class Snapshot:
 
 
 def dashboard_snapshot(t: Tables, date_from=None, date_to=None, cache: bool = True) -> Snapshot:
-    """Every dashboard section for a period (default: all data)."""
+    """Every dashboard section for a period (default: all data).
+
+    The events are cut to the period before the interval window (its partition keys
+    include the date, so the cut is exact and prunes date partitions); the intervals
+    feed both the machine and the driver hours, and the event counts feed four
+    sections, so both are persisted once per call.
+    """
     a, b = resolve_period(t, date_from, date_to)
-    daily = machine_daily_hours(t)
-    counts = event_counts(t)
+    tp = t.with_(events=FL.date_range(t.events, "event_date", a, b))
+    intervals = run_intervals(tp.events)
+    counts = event_counts(tp)
     cached = ()
     if cache:
-        daily = FL.date_range(daily, "event_date", a, b).persist(StorageLevel.MEMORY_AND_DISK)
-        counts = FL.date_range(counts, "event_date", a, b).persist(StorageLevel.MEMORY_AND_DISK)
-        cached = (daily, counts)
-    act = RK.driver_activity(t, a, b, counts=counts)
+        intervals = intervals.persist(StorageLevel.MEMORY_AND_DISK)
+        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+        cached = (intervals, counts)
+    daily = machine_daily_hours(tp, intervals)
+    act = RK.driver_activity(tp, a, b, counts=counts, driver_hours=driver_daily_hours(tp, intervals))
     return Snapshot(
         period=(a, b),
-        kpis=kpis(t, a, b, daily=daily, counts=counts),
-        daily_hours_by_branch=daily_hours_by_branch(t, a, b, daily=daily),
-        machine_hours=machine_hours(t, a, b, daily=daily),
-        safety_by_branch=RK.branch_summary(t, a, b, daily=daily, counts=counts),
-        top_drivers=RK.top_drivers(t, a, b, activity=act),
+        kpis=kpis(tp, a, b, daily=daily, counts=counts),
+        daily_hours_by_branch=daily_hours_by_branch(tp, a, b, daily=daily),
+        machine_hours=machine_hours(tp, a, b, daily=daily),
+        safety_by_branch=RK.branch_summary(tp, a, b, daily=daily, counts=counts),
+        top_drivers=RK.top_drivers(tp, a, b, activity=act),
         files=data_quality(t),
         quality=quality_section(t),
         _cached=cached,

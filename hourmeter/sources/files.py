@@ -37,6 +37,16 @@ def list_daily_files(spark: SparkSession, folder: str, pattern: str = DAILY_FILE
     )
 
 
+def daily_files_of(spark: SparkSession, paths: list[str], pattern: str = DAILY_FILE_PATTERN) -> DataFrame:
+    """A1 for an explicit list of paths (same columns as ``list_daily_files``)."""
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    return (
+        df.withColumn("file_name", X.file_basename("path"))
+        .where(F.col("file_name").rlike(pattern))
+        .select("file_name", "path", F.lit(None).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modificationTime"))
+    )
+
+
 def read_lines(spark: SparkSession, paths) -> DataFrame:
     """Physical lines with exact line numbers: (file_name, file_path, block, line_no, line)."""
     raw = spark.read.option("lineSep", "\n").text(paths)
