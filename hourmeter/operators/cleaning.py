@@ -115,8 +115,17 @@ def clean_records(
     event_types: DataFrame,
     files: DataFrame | None = None,
     branch_prefix: str | None = None,
+    cut=None,
 ) -> Cleaned:
-    """Classify every data record of every readable file."""
+    """Classify every data record of every readable file.
+
+    ``cut`` (e.g. ``DataFrame.checkpoint``) is applied to the parsed records and to
+    the frame before the duplicate rule: both are read by two branches (header map
+    and data; first line per key and the join back), so cutting there keeps the
+    plan small and gives the consumers one stable, recoverable input.
+    """
+    if cut is not None:
+        records = cut(records)
     headers = file_headers(records, files)
     ok = headers.where(F.col("error").isNull()).drop("error")
     failures = headers.where(F.col("error").isNotNull()).select("file_name", "error")
@@ -173,6 +182,8 @@ def clean_records(
         .when(F.col("_r0") == "invalid_run_hours", F.col("rh_raw"))
     )
     d = d.withColumn("_r0", reason0).withColumn("_d0", detail0)
+    if cut is not None:
+        d = cut(d)
 
     # The first line of each (file, ref, time, type, run hours) key among rows that passed
     key = ["file_name", "ref_no", "event_time", "code", "rh_value"]

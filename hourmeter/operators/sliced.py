@@ -47,9 +47,10 @@ def sliced_lag(
         *[F.lag(c).over(w).alias(prefix + c) for c in cols],
         (F.row_number().over(w) == 1).alias(_FIRST),
     )
-    # one row per slice: the last row's values, then the previous slice's last row.
-    # Aggregating the windowed frame (already hash-partitioned by keys + slice) lets
-    # both branches share one shuffle of the input instead of recomputing it.
+    # One row per slice: the last row's values, then the previous slice's last row.
+    # Catalyst prunes this branch to the key/order/value columns and aggregates it
+    # map-side, so the full rows are shuffled once (for the window) and the summary
+    # costs a narrow re-read plus a shuffle of one row per slice and partition.
     last = inner.groupBy(*keys, _SLICE).agg(
         F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*_cols(order))).alias("_last")
     )

@@ -199,7 +199,9 @@ def run_ingest(
 
     lines = lines_all.join(picked.select("file_name"), "file_name", "left_semi")
     records = FS.records_from_lines(lines)
-    cleaned: Cleaned = clean_records(records, machine_list, event_types_df(spark), files=picked.select("file_name"))
+    cleaned: Cleaned = clean_records(
+        records, machine_list, event_types_df(spark), files=picked.select("file_name"), cut=lambda df: df.checkpoint()
+    )
     cleaned.classified = cleaned.classified.checkpoint()  # cut lineage: one clean, several consumers
 
     failures = cleaned.failures

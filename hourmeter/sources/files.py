@@ -118,6 +118,15 @@ def records_from_lines(lines: DataFrame) -> DataFrame:
     text = F.when(F.col("line_no") == 1, F.regexp_replace("line", r"^\x{FEFF}", "")).otherwise(F.col("line"))
     q = F.length("line") - F.length(F.regexp_replace("line", '"', ""))
     base = lines.withColumn("line", text).withColumn("_q", q)
+    # Fast path: in a file without any quote every line is one record, so the
+    # ordered quote-parity pass (a shuffle of the lines) runs only for files that
+    # have quotes.  The per-file flag is one small row per file.
+    flags = base.groupBy("file_path").agg(F.max(F.col("_q") > 0).alias("_has_q"))
+    base = base.join(flags, "file_path")
+    plain = base.where(~F.col("_has_q")).select(
+        "file_name", "line_no", F.regexp_replace("line", "\r", "").alias("raw_line")
+    )
+    base = base.where(F.col("_has_q")).drop("_has_q")
     par = sliced_running_sum(
         base, keys=["file_path"], order=["line_no"], slice_col=F.col("block"), value=F.pmod(F.col("_q"), F.lit(2)), out="_qrun"
     )
@@ -145,13 +154,77 @@ def records_from_lines(lines: DataFrame) -> DataFrame:
         ).alias("raw_line")
     )
     glued = glued.select("file_name", F.col("_rec").alias("line_no"), "raw_line").where(F.col("line_no").isNotNull())
-    recs = single.unionByName(glued)
+    recs = plain.unionByName(single).unionByName(glued)
     return recs.where(X.collapse("raw_line") != "").withColumn("fields", parse_fields(F.col("raw_line")))
 
 
-def read_daily_csv(spark: SparkSession, paths) -> DataFrame:
-    """A4 over files: (file_name, line_no, raw_line, fields)."""
-    return records_from_lines(read_lines(spark, paths))
+def _split_bytes(spark: SparkSession) -> int:
+    v = str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    for suf in ("kb", "mb", "gb", "k", "m", "g", "b"):
+        if v.endswith(suf):
+            return int(float(v[: -len(suf)]) * units.get(suf[0], 1))
+    return int(v)
+
+
+def read_whole_files(spark: SparkSession, paths) -> DataFrame:
+    """Lines of files read one file per row (for files no larger than one input split):
+    (file_name, file_path, block, line_no, line) with block = 0."""
+    whole = spark.read.text(paths, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"), "value"
+    )
+    return whole.select(
+        "file_name", "file_path", F.lit(0).cast("bigint").alias("block"), F.posexplode(F.split("value", "\n", -1)).alias("pos", "line")
+    ).select("file_name", "file_path", "block", (F.col("pos") + 1).cast("bigint").alias("line_no"), "line")
+
+
+def _uri(p: str) -> str:
+    return p if ":" in p.split("/", 1)[0] else "file:" + p
+
+
+def plain_records(lines: DataFrame) -> DataFrame:
+    """Records of quote-free files: every non-blank line is one record (no shuffle)."""
+    line = F.when(F.col("line_no") == 1, F.regexp_replace("line", r"^\x{FEFF}", "")).otherwise(F.col("line"))
+    raw = F.regexp_replace(line, "\r", "")
+    return (
+        lines.select("file_name", "line_no", raw.alias("raw_line"))
+        .where(X.collapse("raw_line") != "")
+        .withColumn("fields", F.split("raw_line", ",", -1))
+    )
+
+
+def read_daily_csv(spark: SparkSession, paths, whole_file_max_bytes: int | None = None) -> DataFrame:
+    """A4 over files: (file_name, line_no, raw_line, fields).
+
+    Files up to ``whole_file_max_bytes`` (default: ``spark.sql.files.maxPartitionBytes``,
+    the size of one input split) are read one file per row and numbered by position,
+    with no shuffle; larger files are read by lines and numbered from block offsets.
+    Sizes come from the file listing (metadata only).
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    limit = whole_file_max_bytes if whole_file_max_bytes is not None else _split_bytes(spark)
+    sizes = spark.read.format("binaryFile").load(paths).select("path", "length").collect()  # listing metadata
+    small = [r["path"] for r in sizes if r["length"] <= limit]
+    big = [r["path"] for r in sizes if r["length"] > limit]
+    parts = []
+    if small:
+        whole = spark.read.text(small, wholetext=True).select(F.col("_metadata.file_path").alias("p"), "value")
+        # which small files hold a quote at all (file paths only come back)
+        quoted = {r["p"] for r in whole.where(F.col("value").contains('"')).select("p").collect()}
+        plain = [p for p in small if p not in quoted and _uri(p) not in quoted]
+        fancy = [p for p in small if p in quoted or _uri(p) in quoted]
+        if plain:
+            parts.append(plain_records(read_whole_files(spark, plain)))
+        if fancy:
+            parts.append(records_from_lines(read_whole_files(spark, fancy)))
+    if big:
+        parts.append(records_from_lines(read_lines(spark, big)))
+    if not parts:
+        return spark.createDataFrame([], "file_name string, line_no bigint, raw_line string, fields array<string>")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def machine_index_from_records(records: DataFrame) -> DataFrame:

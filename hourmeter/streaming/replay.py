@@ -34,7 +34,7 @@ def replay_rejected(spark: SparkSession, store: Store, machine_list_path: str, r
     hdr = hdr.join(rej.select("file_name").distinct(), "file_name", "left_semi")
     records = rej.withColumn("fields", FS.parse_fields(F.col("raw_line"))).unionByName(hdr)
     ml = FS.read_machine_list(spark, machine_list_path).checkpoint()
-    c = clean_records(records, ml, event_types_df(spark))
+    c = clean_records(records, ml, event_types_df(spark), cut=lambda df: df.checkpoint())
     c.classified = c.classified.checkpoint()
     load_id = "replay-" + uuid.uuid4().hex
     now = L._now()

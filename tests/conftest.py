@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from hourmeter.session import get_session
 
-    s = get_session("local[4]", shuffle_partitions=4, app="hourmeter-tests")
+    s = get_session("local[2]", shuffle_partitions=2, app="hourmeter-tests")
     yield s
     s.stop()
 

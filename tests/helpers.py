@@ -16,4 +16,6 @@ def clean_texts(spark, write_files, files: dict):
     d = write_files(files)
     recs = FS.read_daily_csv(spark, [d + "/" + n for n in files])
     listing = spark.createDataFrame([(n,) for n in files], "file_name string")
-    return clean_records(recs, machines(spark, write_files), event_types_df(spark), files=listing)
+    return clean_records(
+        recs, machines(spark, write_files).checkpoint(), event_types_df(spark), files=listing, cut=lambda df: df.checkpoint()
+    )
