@@ -12,9 +12,9 @@ def machines(spark, write_files):
     return FS.read_machine_list(spark, d + "/machine_list.csv")
 
 
-def clean_texts(spark, write_files, files: dict):
+def clean_texts(spark, write_files, files: dict, whole_file_max_bytes=None):
     d = write_files(files)
-    recs = FS.read_daily_csv(spark, [d + "/" + n for n in files])
+    recs = FS.read_daily_csv(spark, [d + "/" + n for n in files], whole_file_max_bytes=whole_file_max_bytes)
     listing = spark.createDataFrame([(n,) for n in files], "file_name string")
     return clean_records(
         recs, machines(spark, write_files).checkpoint(), event_types_df(spark), files=listing, cut=lambda df: df.checkpoint()

@@ -113,7 +113,11 @@ def test_missing_and_invalid_values(spark, write_files):
     assert c.rows.count() == 2
 
 
-def test_csv_quoting_and_line_numbers(spark, write_files):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("whole_max", [None, 0], ids=["whole-file", "block-offsets"])
+def test_csv_quoting_and_line_numbers(spark, write_files, whole_max):
     text = (
         "﻿" + HDR + "\r\n"
         "\r\n"
@@ -122,12 +126,14 @@ def test_csv_quoting_and_line_numbers(spark, write_files):
         "2026-09-07T06:30:00,FBA1,Harbour,Impact,200, ,\r\n"
         '2026-09-07T06:40:00,FBA1,Harbour,Impact,300,"",""'
     )
-    c = clean_texts(spark, write_files, {FILE: text})
-    rows = {r["source_line"]: r for r in c.rows.collect()}
+    c = clean_texts(spark, write_files, {FILE: text, "2026-09-09_DailyTelemetryData.csv": HDR + "\n\n2026-09-08T01:00:00,FBA1,,Impact,1,,\n"}, whole_max)
+    rows = {r["source_line"]: r for r in c.rows.where(F.col("file_name") == FILE).collect()}
     assert sorted(rows) == [3, 6, 7]
     assert rows[3]["driver"]["first_name"] == 'Jo "jj"'
     assert rows[3]["driver"]["surname"] == "Smith Jones"
     assert rows[3]["reported_branch"] == ", Harbour"
     assert rows[6]["driver"] is None and rows[7]["driver"] is None
-    s = c.summary.first()
-    assert s["rows_read"] == 3
+    s = {r["file_name"]: r["rows_read"] for r in c.summary.collect()}
+    assert s == {FILE: 3, "2026-09-09_DailyTelemetryData.csv": 1}
+    other = c.rows.where(F.col("file_name") != FILE).first()
+    assert other["source_line"] == 3
