@@ -176,29 +176,51 @@ def run_ingest(
     ensure_checkpoint_dir(spark)
     started = started_at or _now()
     trig = triggered_by or "schedule"
-    load_id = uuid.uuid4().hex
-    t = store.tables()
-
     listing = FS.list_daily_files(spark, incoming) if paths is None else FS.daily_files_of(spark, paths)
-    lines_all = FS.read_lines(spark, [r[0] for r in listing.select("path").collect()]) if listing.take(1) else None
-    if lines_all is None:
+    by_name = {r["file_name"]: r["path"] for r in listing.select("file_name", "path").collect()}  # file listing
+    if not by_name:
         log_pipeline_run(store, started, trig, 0, 0)
-        return RunResult(started, load_id, run_summary(store, started))
-    prints = FS.file_fingerprints(lines_all)
-    candidates = listing.select("file_name").join(prints, "file_name", "left")
+        return RunResult(started, "", run_summary(store, started))
+    candidates = FS.file_fingerprints(FS.read_file_lines(spark, sorted(by_name.values())))
+    picked_names = [r[0] for r in pick_files(candidates, store.tables().source_files, reprocess_all).select("file_name").collect()]
+    records = FS.read_daily_csv(spark, [by_name[n] for n in picked_names]) if picked_names else None
+    machine_list = FS.read_machine_list(spark, machine_list_path)
+    return load_records(
+        spark, store, records, candidates, machine_list, reprocess_all=reprocess_all, triggered_by=trig,
+        started_at=started, files_seen=len(by_name),
+    )
+
+
+def load_records(
+    spark: SparkSession,
+    store: Store,
+    records: DataFrame | None,
+    candidates: DataFrame,
+    machine_list: DataFrame,
+    reprocess_all: bool = False,
+    triggered_by: str | None = None,
+    started_at: dt.datetime | None = None,
+    files_seen: int | None = None,
+) -> RunResult:
+    """A16 for a batch: pick (A3) among ``candidates`` (file_name, checksum), clean the
+    picked files' ``records`` and commit them (A7-A14) as one load."""
+    ensure_checkpoint_dir(spark)
+    started = started_at or _now()
+    trig = triggered_by or "schedule"
+    load_id = uuid.uuid4().hex
+    t = store.tables()
     picked = pick_files(candidates, t.source_files, reprocess_all).checkpoint()
-    files_seen = listing.count()
     files_to_load = picked.count()
-    log_pipeline_run(store, started, trig, files_seen, files_to_load)  # A15, at run start
-    if files_to_load == 0:
+    seen = files_seen if files_seen is not None else candidates.count()
+    log_pipeline_run(store, started, trig, seen, files_to_load)  # A15, at run start
+    if files_to_load == 0 or records is None:
         return RunResult(started, load_id, run_summary(store, started))
 
-    machine_list = FS.read_machine_list(spark, machine_list_path).checkpoint()
+    machine_list = machine_list.checkpoint()
     bad_types = machine_list.where(~F.col("machine_type").isin(MACHINE_TYPES)).select("machine_type").distinct()
     bad = [r[0] for r in bad_types.limit(5).collect()]
 
-    lines = lines_all.join(picked.select("file_name"), "file_name", "left_semi")
-    records = FS.records_from_lines(lines)
+    records = records.join(picked.select("file_name"), "file_name", "left_semi")
     cleaned: Cleaned = clean_records(
         records, machine_list, event_types_df(spark), files=picked.select("file_name"), cut=lambda df: df.checkpoint()
     )

@@ -193,6 +193,20 @@ def plain_records(lines: DataFrame) -> DataFrame:
     )
 
 
+def read_file_lines(spark: SparkSession, paths, whole_file_max_bytes: int | None = None) -> DataFrame:
+    """Numbered physical lines of many files: whole-file rows for files up to one input
+    split, block offsets for larger ones (columns as ``read_lines``)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    limit = whole_file_max_bytes if whole_file_max_bytes is not None else _split_bytes(spark)
+    sizes = spark.read.format("binaryFile").load(paths).select("path", "length").collect()  # listing metadata
+    small = [r["path"] for r in sizes if r["length"] <= limit]
+    big = [r["path"] for r in sizes if r["length"] > limit]
+    parts = ([read_whole_files(spark, small)] if small else []) + ([read_lines(spark, big)] if big else [])
+    if not parts:
+        return spark.createDataFrame([], "file_name string, file_path string, block bigint, line_no bigint, line string")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def read_daily_csv(spark: SparkSession, paths, whole_file_max_bytes: int | None = None) -> DataFrame:
     """A4 over files: (file_name, line_no, raw_line, fields).
 
