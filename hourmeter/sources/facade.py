@@ -279,3 +279,57 @@ def facade_machine_index(t: Tables) -> DataFrame:
     return t.machines.join(
         t.branches.select(F.col("branch_id").alias("home_branch_id"), F.col("name").alias("branch")), "home_branch_id"
     ).select("ref_no", "branch", "machine_type")
+
+
+# --- Fixed values: machine-list rendering (header in a non-default column order; defects by machine id)
+MACHINE_LIST_HEADER = "MachineType,RefNo.,BranchName"
+MACHINE_LIST_FILE = "machine_list.csv"
+STALE_COPY_EVERY = 13  # an earlier line with an outdated type and branch: the later line must win
+BLANK_REF_EVERY = 17  # an extra line with a blank reference: skipped
+SPACED_REF_EVERY = 7  # " m000007 ": trimmed and upper-cased
+UPPER_BRANCH_EVERY = 11  # "RIDGEBACK  NORTHGATE": prefix dropped, title case
+BARE_BRANCH_EVERY = 3  # branch written without the company prefix
+PADDED_TYPE_EVERY = 5  # "Forklift  ": whitespace collapsed
+
+
+def facade_machine_list_lines(spark: SparkSession, sf_dir: str, t: Tables | None = None) -> DataFrame:
+    """The machine list (A5) as CSV records (file_name, line_no, raw_line), one or more lines per customer.
+
+    Machine ``id`` owns lines 3*id+2 (stale copy), 3*id+3 (blank-ref line) and 3*id+4 (its current line);
+    line 1 is the header.  Every machine gets its current line; the moduli only choose the noise.
+    """
+    t = t or facade_tables(spark, sf_dir)
+    m = facade_machines(spark, sf_dir).join(
+        t.branches.select(F.col("branch_id").alias("home_branch_id"), F.col("name").alias("b_name")), "home_branch_id"
+    )
+    mid = F.col("_machine_id")
+
+    def every(n):
+        return F.pmod(mid, F.lit(n)) == 0
+
+    ref_txt = F.when(every(SPACED_REF_EVERY), F.concat(F.lit(" "), F.lower("ref_no"), F.lit(" "))).otherwise(F.col("ref_no"))
+    branch_txt = (
+        F.when(every(UPPER_BRANCH_EVERY), F.concat(F.lit("RIDGEBACK  "), F.upper("b_name")))
+        .when(every(BARE_BRANCH_EVERY), F.col("b_name"))
+        .otherwise(F.concat(F.lit(BRANCH_PREFIX_TEXT), F.col("b_name")))
+    )
+    type_txt = F.when(every(PADDED_TYPE_EVERY), F.concat(F.col("machine_type"), F.lit("  "))).otherwise(F.col("machine_type"))
+    stale_type = F.when(F.col("machine_type") == "PPT", F.lit("Forklift")).otherwise(F.lit("PPT"))
+    lines = F.array(
+        F.struct(F.lit(4).alias("slot"), F.concat_ws(",", type_txt, ref_txt, branch_txt).alias("raw_line")),
+        F.when(every(STALE_COPY_EVERY), F.struct(
+            F.lit(2).alias("slot"), F.concat_ws(",", stale_type, F.col("ref_no"), F.lit("Ridgeback Old Yard")).alias("raw_line")
+        )),
+        F.when(every(BLANK_REF_EVERY), F.struct(
+            F.lit(3).alias("slot"), F.concat_ws(",", F.col("machine_type"), F.lit(""), F.lit("Ridgeback Nowhere")).alias("raw_line")
+        )),
+    )
+    body = m.select(mid, F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("l")).select(
+        F.lit(MACHINE_LIST_FILE).alias("file_name"),
+        (mid * 3 + F.col("l.slot")).cast("bigint").alias("line_no"),
+        F.col("l.raw_line").alias("raw_line"),
+    )
+    header = spark.range(1).select(
+        F.lit(MACHINE_LIST_FILE).alias("file_name"), F.lit(1).cast("bigint").alias("line_no"), F.lit(MACHINE_LIST_HEADER).alias("raw_line")
+    )
+    return header.unionByName(body)

@@ -5,6 +5,10 @@ by a per-file cleaner elsewhere (e.g. posted to an endpoint and landed as JSON
 lines).  Each document is parsed with a fixed schema (no inference) and its
 arrays are exploded with ``inline_outer``; a missing array yields no rows and a
 null ``driver`` stays null.
+
+``payload_documents`` is the writing side: cleaned rows and rejected lines
+become documents of the same shape, each holding one block of at most
+``block_lines`` consecutive lines of one file, so no document grows with the file.
 """
 
 from __future__ import annotations
@@ -63,3 +67,46 @@ def explode_payload(docs: DataFrame, col: str = "value") -> Payload:
         F.col("ref_no").isNotNull()
     )
     return Payload(files=files, rows=rows, rejected=rejected, machines=machines.distinct())
+
+
+PAYLOAD_BLOCK_LINES = 1000
+
+
+def payload_documents(rows: DataFrame, rejected: DataFrame, block_lines: int = PAYLOAD_BLOCK_LINES) -> DataFrame:
+    """Cleaned rows + rejected lines -> one JSON document (``value``) per (file, block of lines)."""
+    r = rows.select(
+        "file_name",
+        F.floor(F.col("source_line") / block_lines).alias("block"),
+        "delivery_date",
+        "data_date",
+        F.struct(
+            F.col("source_line").cast("bigint").alias("source_line"),
+            "ref_no",
+            F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time"),
+            "event_type",
+            "run_hours_seconds",
+            "reported_branch",
+            "driver",
+            "is_late_arrival",
+            "branch_mismatch",
+        ).alias("r"),
+    )
+    x = rejected.select(
+        "file_name",
+        F.floor(F.col("line_no") / block_lines).alias("block"),
+        F.struct(F.col("line_no").cast("bigint").alias("line_no"), "raw_line", "reason", "detail").alias("x"),
+    )
+    rg = r.groupBy("file_name", "block").agg(
+        F.array_sort(F.collect_list("r")).alias("rows"),
+        F.min("delivery_date").alias("delivery_date"),
+        F.min("data_date").alias("data_date"),
+    )
+    xg = x.groupBy("file_name", "block").agg(F.array_sort(F.collect_list("x")).alias("rejected"))
+    docs = rg.join(xg, ["file_name", "block"], "full")
+    file = F.struct(
+        "file_name",
+        F.date_format("delivery_date", "yyyy-MM-dd").alias("delivery_date"),
+        F.date_format("data_date", "yyyy-MM-dd").alias("data_date"),
+        F.lit(None).cast("string").alias("checksum"),
+    )
+    return docs.select(F.to_json(F.struct(file.alias("file"), "rows", "rejected")).alias("value"))
