@@ -10,8 +10,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -24,7 +24,7 @@ from hourmeter.operators import views as V  # noqa: E402
 from hourmeter.plans import contract as C  # noqa: E402
 from hourmeter.plans import snapshot as SN  # noqa: E402
 from hourmeter.plans.store import Store, materialize  # noqa: E402
-from hourmeter.session import get_session  # noqa: E402
+from hourmeter.session import checkpoint_root, get_session  # noqa: E402
 
 
 def main() -> None:
@@ -32,7 +32,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(4, cpus * 2), app="hourmeter-bench")
-    scratch = tempfile.mkdtemp(prefix="hourmeter-bench-")
+    # the warehouse lives under the shared checkpoint folder (spark.checkpoint.dir), never a machine-local temp dir
+    scratch = checkpoint_root(spark).rstrip("/") + "/bench-" + uuid.uuid4().hex
     timings: dict[str, float] = {}
 
     t0 = time.time()
