@@ -14,6 +14,8 @@ which is kept because the "operating branch" tie-break picks the lowest one.
   events         ref_no, event_time (timestamp_ntz), event_date, event_type, run_hours_seconds,
                  driver_key, event_branch_id, file_name, source_line, is_late_arrival, branch_mismatch
   rejected_rows  file_name, line_no, raw_line, reason, detail
+  interval_days  event_date, ref_no, driver_key, event_branch_id, run_seconds, counter_resets,
+                 capped_intervals, intervals (optional; computed from events when absent)
 """
 
 from __future__ import annotations
@@ -53,6 +55,7 @@ class Tables:
     ingestion_runs: DataFrame | None = None
     rejected_rows: DataFrame | None = None
     pipeline_runs: DataFrame | None = None
+    interval_days: DataFrame | None = None  # committed interval rollup (operators.intervals.interval_rollup)
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Tables":

@@ -60,19 +60,55 @@ def run_intervals(events: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     )
 
 
-def machine_daily_hours(t: Tables, intervals: DataFrame | None = None) -> DataFrame:
+# Grain of the interval rollup: everything E1 and E2 need is additive over these keys.
+ROLLUP_KEYS = ["event_date", "ref_no", "driver_key", "event_branch_id"]
+
+
+def interval_rollup(intervals: DataFrame) -> DataFrame:
+    """Per (date, machine, driver, event branch): run seconds, resets, capped gaps and interval count.
+
+    Far smaller than the events (a machine-day has a handful of drivers and branches), and
+    E1 and E2 are exact roll-ups of it, so a load can store it for the dates it touched
+    and questions never re-run the interval window (see ``plans.store``).
+    """
+    return intervals.groupBy(*ROLLUP_KEYS).agg(
+        F.sum("run_seconds").cast("bigint").alias("run_seconds"),
+        F.count_if("is_counter_reset").alias("counter_resets"),
+        F.count_if("is_capped").alias("capped_intervals"),
+        F.count("*").alias("intervals"),
+    )
+
+
+def interval_days(t: Tables, intervals: DataFrame | None = None) -> DataFrame:
+    """The rollup: from ``intervals`` if given, else the warehouse's committed copy, else from the events."""
+    if intervals is not None:
+        return interval_rollup(intervals)
+    if t.interval_days is not None:
+        return t.interval_days.select(*ROLLUP_KEYS, "run_seconds", "counter_resets", "capped_intervals", "intervals")
+    return interval_rollup(run_intervals(t.events))
+
+
+def machine_daily_hours(t: Tables, intervals: DataFrame | None = None, rollup: DataFrame | None = None) -> DataFrame:
     """Per (event_date, ref_no) run seconds and hours, resets, capped gaps, operating branch.
 
     The operating branch is the mode of the event branch over the day's intervals;
     a tie goes to the lowest branch id.  A machine-day with a single reading has no
     interval and therefore no row.
     """
-    iv = intervals if intervals is not None else run_intervals(t.events)
-    daily = iv.groupBy("event_date", "ref_no").agg(
-        F.sum("run_seconds").alias("run_seconds"),
-        F.count_if("is_counter_reset").alias("counter_resets"),
-        F.count_if("is_capped").alias("capped_intervals"),
-        F.mode("event_branch_id", deterministic=True).alias("operating_branch_id"),
+    r = rollup if rollup is not None else interval_days(t, intervals)
+    per_branch = r.groupBy("event_date", "ref_no", "event_branch_id").agg(
+        F.sum("run_seconds").alias("rs"),
+        F.sum("counter_resets").alias("cr"),
+        F.sum("capped_intervals").alias("ci"),
+        F.sum("intervals").alias("n"),
+    )
+    # mode over intervals = the branch with most intervals; tie -> lowest id; null branches never win
+    pick = F.when(F.col("event_branch_id").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("event_branch_id").alias("b")))
+    daily = per_branch.groupBy("event_date", "ref_no").agg(
+        F.sum("rs").cast("bigint").alias("run_seconds"),
+        F.sum("cr").cast("bigint").alias("counter_resets"),
+        F.sum("ci").cast("bigint").alias("capped_intervals"),
+        F.min_by("event_branch_id", pick).alias("operating_branch_id"),
     )
     m = t.machines.select("ref_no", "machine_type", "home_branch_id")
     hb = t.branches.select(F.col("branch_id").alias("home_branch_id"), F.col("name").alias("home_branch"))
@@ -97,14 +133,14 @@ def machine_daily_hours(t: Tables, intervals: DataFrame | None = None) -> DataFr
     )
 
 
-def driver_daily_hours(t: Tables, intervals: DataFrame | None = None) -> DataFrame:
+def driver_daily_hours(t: Tables, intervals: DataFrame | None = None, rollup: DataFrame | None = None) -> DataFrame:
     """Hours credited to the driver of the later reading of each interval; null driver kept.
 
     ``run_hundredths`` is the day's rounded hours in hundredths, so later sums of
     rounded daily hours stay exact.
     """
-    iv = intervals if intervals is not None else run_intervals(t.events)
-    daily = iv.groupBy("event_date", "driver_key").agg(F.sum("run_seconds").alias("run_seconds"))
+    r = rollup if rollup is not None else interval_days(t, intervals)
+    daily = r.groupBy("event_date", "driver_key").agg(F.sum("run_seconds").cast("bigint").alias("run_seconds"))
     d = t.drivers.select("driver_key", "display_name")
     return daily.join(d, "driver_key", "left").select(
         "event_date",

@@ -28,7 +28,7 @@ from hourmeter.functions import exprs as X
 from hourmeter.functions.constants import ERROR_MESSAGE_MAX, MACHINE_TYPES
 from hourmeter.model import event_types_df
 from hourmeter.operators.cleaning import Cleaned, clean_records
-from hourmeter.plans.store import Store
+from hourmeter.plans.store import Store, write_rollup
 from hourmeter.session import ensure_checkpoint_dir
 from hourmeter.sources import files as FS
 
@@ -255,6 +255,7 @@ def load_records(
         ev = new_events(t.events, rows, branches, load_id, now).checkpoint()
         rj = new_rejected(t.rejected_rows, rejected, load_id, now)
         store.append("events", ev, partition_by=["event_date"])
+        write_rollup(store, t.events, ev, load_id)  # interval rollup of the touched dates, read once committed
         store.append("rejected_rows", rj)
         store.write_version("branches", branches)
         store.write_version("machines", machines)

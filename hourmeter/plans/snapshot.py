@@ -21,7 +21,7 @@ from hourmeter.functions.constants import NO_DRIVER
 from hourmeter.model import Tables
 from hourmeter.operators import filters as FL
 from hourmeter.operators import rankings as RK
-from hourmeter.operators.intervals import driver_daily_hours, machine_daily_hours, run_intervals
+from hourmeter.operators.intervals import driver_daily_hours, interval_days, machine_daily_hours
 from hourmeter.operators.quality import data_quality
 from hourmeter.operators.views import event_counts
 
@@ -174,22 +174,23 @@ class Snapshot:
 def dashboard_snapshot(t: Tables, date_from=None, date_to=None, cache: bool = True) -> Snapshot:
     """Every dashboard section for a period (default: all data).
 
-    The events are cut to the period before the interval window (its partition keys
-    include the date, so the cut is exact and prunes date partitions); the intervals
-    feed both the machine and the driver hours, and the event counts feed four
-    sections, so both are persisted once per call.
+    The interval rollup (stored by the loads, or computed from the period's events,
+    whose window has the date among its partition keys, so the cut is exact and prunes
+    date partitions) feeds both the machine and the driver hours, and the event counts
+    feed four sections, so both are persisted once per call.
     """
     a, b = resolve_period(t, date_from, date_to)
     tp = t.with_(events=FL.date_range(t.events, "event_date", a, b))
-    intervals = run_intervals(tp.events)
+    # the warehouse's committed interval rollup when there is one, else the window over the period
+    rollup = FL.date_range(interval_days(t), "event_date", a, b)
     counts = event_counts(tp)
     cached = ()
     if cache:
-        intervals = intervals.persist(StorageLevel.MEMORY_AND_DISK)
+        rollup = rollup.persist(StorageLevel.MEMORY_AND_DISK)
         counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-        cached = (intervals, counts)
-    daily = machine_daily_hours(tp, intervals)
-    act = RK.driver_activity(tp, a, b, counts=counts, driver_hours=driver_daily_hours(tp, intervals))
+        cached = (rollup, counts)
+    daily = machine_daily_hours(tp, rollup=rollup)
+    act = RK.driver_activity(tp, a, b, counts=counts, driver_hours=driver_daily_hours(tp, rollup=rollup))
     return Snapshot(
         period=(a, b),
         kpis=kpis(tp, a, b, daily=daily, counts=counts),

@@ -4,6 +4,7 @@ Layout under ``root``:
 
   events/event_date=YYYY-MM-DD/...   append-only fact, one ``load_id`` per run
   rejected_rows/                     append-only quarantine, ``load_id`` per run
+  interval_days/event_date=.../      interval rollup, rewritten per touched date by each load
   ingestion_runs/ pipeline_runs/     append-only logs
   branches/v=N/ machines/v=N/ drivers/v=N/ source_files/v=N/
                                      small tables, rewritten whole as version N+1
@@ -14,10 +15,18 @@ version of ``source_files`` whose rows list the committed load ids.  Readers
 keep only facts whose (file_name, load_id) is listed there, so a run that dies
 before that last write leaves nothing visible.  Versions are picked by the
 highest ``v=N`` folder that has Spark's ``_SUCCESS`` marker.
+
+Interval rollup: a load recomputes ``operators.intervals.interval_rollup`` for
+every date it adds events to (readings never carry across midnight, so a date
+depends only on its own events) from the committed events of those dates plus
+its own, and appends it under its ``load_id`` before the commit.  Readers take,
+per date, the newest rollup whose load is committed: a load that died leaves a
+rollup nobody reads, and a later committed load touching the date supersedes it.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 import re
 
@@ -40,6 +49,10 @@ SCHEMAS = {
         "driver_key string, event_branch_id int, file_name string, source_line bigint, is_late_arrival boolean, "
         "branch_mismatch boolean, loaded_at timestamp, load_id string"
     ),
+    "interval_days": (
+        "event_date date, ref_no string, driver_key string, event_branch_id int, run_seconds bigint, "
+        "counter_resets bigint, capped_intervals bigint, intervals bigint, rollup_load_id string, rolled_at timestamp"
+    ),
     "rejected_rows": "file_name string, line_no bigint, raw_line string, reason string, detail string, rejected_at timestamp, load_id string",
     "ingestion_runs": (
         "run_id string, file_name string, started_at timestamp, finished_at timestamp, status string, rows_read bigint, "
@@ -119,6 +132,7 @@ class Store:
         events = self.read("events").join(committed, ["file_name", "load_id"], "left_semi")
         rejected = self.read("rejected_rows").join(committed, ["file_name", "load_id"], "left_semi")
         return Tables(
+            interval_days=self._committed_rollup(committed),
             branches=self.read("branches"),
             machines=self.read("machines"),
             drivers=self.read("drivers"),
@@ -130,16 +144,52 @@ class Store:
             pipeline_runs=self.read("pipeline_runs"),
         )
 
+    def _committed_rollup(self, committed: DataFrame) -> DataFrame | None:
+        fs, p = self._jvm_fs(self.path("interval_days"))
+        if not fs.exists(p):
+            return None
+        ids = committed.select(F.col("load_id").alias("rollup_load_id")).distinct()
+        rd = self.read("interval_days").join(ids, "rollup_load_id", "left_semi")
+        # newest committed rollup per date; event_date is the grouping key, so a date filter
+        # above this reaches both scans as a partition filter
+        latest = rd.groupBy("event_date").agg(
+            F.max(F.struct("rolled_at", "rollup_load_id"))["rollup_load_id"].alias("rollup_load_id")
+        )
+        return rd.join(latest, ["event_date", "rollup_load_id"], "left_semi")
+
     def exists(self) -> bool:
         loc = _local(self.root)
         return os.path.isdir(loc) if loc else True
 
 
+def write_rollup(store: Store, committed_events: DataFrame, new_events: DataFrame, load_id: str) -> None:
+    """Append the interval rollup of every date ``new_events`` touches, under ``load_id`` (before the commit)."""
+    from hourmeter.operators.intervals import interval_rollup, run_intervals
+
+    # the touched dates are the partitions to rewrite: one value per calendar day, named to
+    # the scan as literals so it prunes to them statically
+    days = [r[0] for r in new_events.select("event_date").distinct().collect()]
+    if not days:
+        return
+    cols = ["ref_no", "event_date", "event_time", "event_type", "run_hours_seconds", "driver_key",
+            "event_branch_id", "file_name", "source_line"]
+    base = committed_events.where(F.col("event_date").isin(days)).select(*cols).unionByName(new_events.select(*cols))
+    rolled_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    roll = (
+        interval_rollup(run_intervals(base))
+        .withColumn("rollup_load_id", F.lit(load_id))
+        .withColumn("rolled_at", F.lit(rolled_at).cast("timestamp"))
+    )
+    store.append("interval_days", roll, partition_by=["event_date"])
+
+
 def materialize(store: Store, t: Tables, load_id: str = "initial") -> None:
     """Write a whole Tables bundle (e.g. the test-table facade) as one committed load."""
     spark = store.spark
     now = F.current_timestamp()
     store.append("events", t.events.withColumn("loaded_at", now).withColumn("load_id", F.lit(load_id)), ["event_date"])
+    write_rollup(store, store.tables().events, store.spark.read.schema(SCHEMAS["events"]).parquet(store.path("events"))
+                 .where(F.col("load_id") == load_id), load_id)
     if t.rejected_rows is not None:
         store.append("rejected_rows", t.rejected_rows.withColumn("rejected_at", now).withColumn("load_id", F.lit(load_id)))
     if t.ingestion_runs is not None:

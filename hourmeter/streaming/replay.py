@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from hourmeter.model import event_types_df
 from hourmeter.operators.cleaning import clean_records
 from hourmeter.plans import load as L
-from hourmeter.plans.store import Store
+from hourmeter.plans.store import Store, write_rollup
 from hourmeter.session import ensure_checkpoint_dir
 from hourmeter.sources import files as FS
 
@@ -47,6 +47,7 @@ def replay_rejected(spark: SparkSession, store: Store, machine_list_path: str, r
     touched = ev.select("file_name").distinct().checkpoint()
     if touched.take(1):
         store.append("events", ev, partition_by=["event_date"])
+        write_rollup(store, t.events, ev, load_id)
         store.write_version("branches", branches)
         store.write_version("machines", machines)
         store.write_version("drivers", drivers)
