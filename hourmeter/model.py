@@ -16,6 +16,7 @@ which is kept because the "operating branch" tie-break picks the lowest one.
   rejected_rows  file_name, line_no, raw_line, reason, detail
   interval_days  event_date, ref_no, driver_key, event_branch_id, run_seconds, counter_resets,
                  capped_intervals, intervals (optional; computed from events when absent)
+  event_days     event_date, event_branch_id, ref_no, driver_key, event_type, events (same)
 """
 
 from __future__ import annotations
@@ -56,6 +57,7 @@ class Tables:
     rejected_rows: DataFrame | None = None
     pipeline_runs: DataFrame | None = None
     interval_days: DataFrame | None = None  # committed interval rollup (operators.intervals.interval_rollup)
+    event_days: DataFrame | None = None  # committed event rollup (operators.views.event_rollup)
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Tables":

@@ -63,10 +63,62 @@ EVENT_COUNT_KEYS = [
 ]
 
 
+EVENT_ROLLUP_KEYS = ["event_date", "event_branch_id", "ref_no", "driver_key", "event_type"]
+
+
+def event_rollup(events: DataFrame) -> DataFrame:
+    """Readings per (date, event branch, machine, driver, type): the fact-side grain of E3."""
+    return events.groupBy(*EVENT_ROLLUP_KEYS).agg(F.count("*").alias("events"))
+
+
+def event_days(t: Tables) -> DataFrame:
+    """The event rollup: the warehouse's committed copy, else computed from the registered events."""
+    if t.event_days is not None:
+        return t.event_days.select(*EVENT_ROLLUP_KEYS, "events")
+    return event_rollup(t.committed_events())
+
+
 def event_counts(t: Tables, events_view: DataFrame | None = None) -> DataFrame:
-    """Counted events (heartbeat excluded) per day, branch, machine, driver and type."""
-    v = events_view if events_view is not None else v_events(t)
-    return v.where("counts_as_event").groupBy(*EVENT_COUNT_KEYS).agg(F.count("*").alias("event_count"))
+    """Counted events (heartbeat excluded) per day, branch, machine, driver and type.
+
+    Built from the event rollup with the same dimension joins as ``v_events`` (inner to
+    machines, home and event branch, type; left to drivers), so a stored rollup answers it
+    without scanning the events.
+    """
+    if events_view is not None:
+        v = events_view.where("counts_as_event")
+        return v.groupBy(*EVENT_COUNT_KEYS).agg(F.count("*").alias("event_count"))
+    et = F.broadcast(
+        t.event_types.where("counts_as_event").select(
+            F.col("code").alias("event_type"), F.col("label").alias("event_label"), "is_safety_event"
+        )
+    )  # fixed 8-row table
+    m = t.machines.select("ref_no", "machine_type", "home_branch_id")
+    hb = t.branches.select(F.col("branch_id").alias("home_branch_id"))
+    eb = t.branches.select(F.col("branch_id").alias("event_branch_id"), F.col("name").alias("event_branch"))
+    d = t.drivers.select("driver_key", "display_name")
+    j = (
+        event_days(t)
+        .join(et, "event_type")
+        .join(m, "ref_no")
+        .join(hb, "home_branch_id")
+        .join(eb, "event_branch_id")
+        .join(d, "driver_key", "left")
+        .select(
+            "event_date",
+            X.day_name("event_date").alias("day_name"),
+            "event_branch",
+            "ref_no",
+            "machine_type",
+            F.coalesce("display_name", F.lit(NO_DRIVER)).alias("driver_name"),
+            "driver_key",
+            "event_type",
+            "event_label",
+            "is_safety_event",
+            "events",
+        )
+    )
+    return j.groupBy(*EVENT_COUNT_KEYS).agg(F.sum("events").cast("bigint").alias("event_count"))
 
 
 def available_days(t: Tables) -> DataFrame:

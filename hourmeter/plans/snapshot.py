@@ -174,16 +174,16 @@ class Snapshot:
 def dashboard_snapshot(t: Tables, date_from=None, date_to=None, cache: bool = True) -> Snapshot:
     """Every dashboard section for a period (default: all data).
 
-    The interval rollup (stored by the loads, or computed from the period's events,
-    whose window has the date among its partition keys, so the cut is exact and prunes
-    date partitions) feeds both the machine and the driver hours, and the event counts
-    feed four sections, so both are persisted once per call.
+    The interval and event rollups (stored by the loads, or computed from the period's
+    events; the interval window has the date among its partition keys, so the cut is
+    exact and prunes date partitions) feed the hour and count sections; both are cut
+    to the period and persisted once per call.
     """
     a, b = resolve_period(t, date_from, date_to)
     tp = t.with_(events=FL.date_range(t.events, "event_date", a, b))
     # the warehouse's committed interval rollup when there is one, else the window over the period
     rollup = FL.date_range(interval_days(t), "event_date", a, b)
-    counts = event_counts(tp)
+    counts = FL.date_range(event_counts(tp), "event_date", a, b)  # cut before the persist
     cached = ()
     if cache:
         rollup = rollup.persist(StorageLevel.MEMORY_AND_DISK)

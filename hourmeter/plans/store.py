@@ -5,6 +5,7 @@ Layout under ``root``:
   events/event_date=YYYY-MM-DD/...   append-only fact, one ``load_id`` per run
   rejected_rows/                     append-only quarantine, ``load_id`` per run
   interval_days/event_date=.../      interval rollup, rewritten per touched date by each load
+  event_days/event_date=.../         event-count rollup, likewise
   ingestion_runs/ pipeline_runs/     append-only logs
   branches/v=N/ machines/v=N/ drivers/v=N/ source_files/v=N/
                                      small tables, rewritten whole as version N+1
@@ -53,6 +54,10 @@ SCHEMAS = {
         "event_date date, ref_no string, driver_key string, event_branch_id int, run_seconds bigint, "
         "counter_resets bigint, capped_intervals bigint, intervals bigint, rollup_load_id string, rolled_at timestamp"
     ),
+    "event_days": (
+        "event_date date, event_branch_id int, ref_no string, driver_key string, event_type string, events bigint, "
+        "rollup_load_id string, rolled_at timestamp"
+    ),
     "rejected_rows": "file_name string, line_no bigint, raw_line string, reason string, detail string, rejected_at timestamp, load_id string",
     "ingestion_runs": (
         "run_id string, file_name string, started_at timestamp, finished_at timestamp, status string, rows_read bigint, "
@@ -132,7 +137,8 @@ class Store:
         events = self.read("events").join(committed, ["file_name", "load_id"], "left_semi")
         rejected = self.read("rejected_rows").join(committed, ["file_name", "load_id"], "left_semi")
         return Tables(
-            interval_days=self._committed_rollup(committed),
+            interval_days=self._committed_rollup(committed, "interval_days"),
+            event_days=self._committed_rollup(committed, "event_days"),
             branches=self.read("branches"),
             machines=self.read("machines"),
             drivers=self.read("drivers"),
@@ -144,12 +150,12 @@ class Store:
             pipeline_runs=self.read("pipeline_runs"),
         )
 
-    def _committed_rollup(self, committed: DataFrame) -> DataFrame | None:
-        fs, p = self._jvm_fs(self.path("interval_days"))
+    def _committed_rollup(self, committed: DataFrame, table: str) -> DataFrame | None:
+        fs, p = self._jvm_fs(self.path(table))
         if not fs.exists(p):
             return None
         ids = committed.select(F.col("load_id").alias("rollup_load_id")).distinct()
-        rd = self.read("interval_days").join(ids, "rollup_load_id", "left_semi")
+        rd = self.read(table).join(ids, "rollup_load_id", "left_semi")
         # newest committed rollup per date; event_date is the grouping key, so a date filter
         # above this reaches both scans as a partition filter
         latest = rd.groupBy("event_date").agg(
@@ -163,8 +169,10 @@ class Store:
 
 
 def write_rollup(store: Store, committed_events: DataFrame, new_events: DataFrame, load_id: str) -> None:
-    """Append the interval rollup of every date ``new_events`` touches, under ``load_id`` (before the commit)."""
+    """Append the interval and event rollups of every date ``new_events`` touches, under ``load_id``
+    (before the commit)."""
     from hourmeter.operators.intervals import interval_rollup, run_intervals
+    from hourmeter.operators.views import event_rollup
 
     # the touched dates are the partitions to rewrite: one value per calendar day, named to
     # the scan as literals so it prunes to them statically
@@ -174,13 +182,10 @@ def write_rollup(store: Store, committed_events: DataFrame, new_events: DataFram
     cols = ["ref_no", "event_date", "event_time", "event_type", "run_hours_seconds", "driver_key",
             "event_branch_id", "file_name", "source_line"]
     base = committed_events.where(F.col("event_date").isin(days)).select(*cols).unionByName(new_events.select(*cols))
-    rolled_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    roll = (
-        interval_rollup(run_intervals(base))
-        .withColumn("rollup_load_id", F.lit(load_id))
-        .withColumn("rolled_at", F.lit(rolled_at).cast("timestamp"))
-    )
-    store.append("interval_days", roll, partition_by=["event_date"])
+    rolled_at = F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
+    for table, roll in (("interval_days", interval_rollup(run_intervals(base))), ("event_days", event_rollup(base))):
+        roll = roll.withColumn("rollup_load_id", F.lit(load_id)).withColumn("rolled_at", rolled_at)
+        store.append(table, roll, partition_by=["event_date"])
 
 
 def materialize(store: Store, t: Tables, load_id: str = "initial") -> None:
