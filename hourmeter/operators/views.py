@@ -121,20 +121,30 @@ def event_counts(t: Tables, events_view: DataFrame | None = None) -> DataFrame:
     return j.groupBy(*EVENT_COUNT_KEYS).agg(F.sum("events").cast("bigint").alias("event_count"))
 
 
+def _all_event_days(t: Tables) -> DataFrame:
+    """The event rollup over all events (E4/E5 do not join the dimensions or the registry)."""
+    if t.event_days is not None:
+        return t.event_days.select(*EVENT_ROLLUP_KEYS, "events")
+    return event_rollup(t.events)
+
+
 def available_days(t: Tables) -> DataFrame:
     """All readings per date (heartbeats included)."""
-    return t.events.groupBy("event_date").agg(F.count("*").alias("events")).select(
+    return _all_event_days(t).groupBy("event_date").agg(F.sum("events").cast("bigint").alias("events")).select(
         "event_date", X.day_name("event_date").alias("day_name"), "events"
     )
 
 
 def data_coverage(t: Tables) -> DataFrame:
     """E5: per date, counted events and distinct machines over all readings."""
-    et = F.broadcast(t.event_types.select(F.col("code").alias("event_type"), "counts_as_event"))
-    j = t.events.join(et, "event_type")
+    et = F.broadcast(t.event_types.select(F.col("code").alias("event_type"), "counts_as_event"))  # 8 rows
+    j = _all_event_days(t).join(et, "event_type")
     return (
         j.groupBy("event_date")
-        .agg(F.count_if("counts_as_event").alias("events"), F.count_distinct("ref_no").alias("active_machines"))
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("counts_as_event"), F.col("events"))), F.lit(0)).cast("bigint").alias("events"),  # noqa: E501
+            F.count_distinct("ref_no").alias("active_machines"),
+        )
         .select("event_date", X.day_name("event_date").alias("day_name"), "events", "active_machines")
         .orderBy("event_date")
     )

@@ -176,6 +176,8 @@ def test_stored_rollup_matches_events_and_ignores_uncommitted(spark, loaded):
     from_events = t.with_(interval_days=None, event_days=None)
     assert e1(t) == e1(from_events) and e2(t) == e2(from_events)
     assert e3(t) == e3(from_events) == sorted(tuple(r) for r in V.event_counts(t, V.v_events(t)).collect())
+    for f in (V.available_days, V.data_coverage):
+        assert sorted(tuple(r) for r in f(t).collect()) == sorted(tuple(r) for r in f(from_events).collect())
     assert any(r[2] == "R3" for r in e1(t))  # the replayed machine-day is in the stored rollup
     # a load that wrote its rollup and died before the commit: its rollup is never read
     fake = t.events.where(F.col("ref_no") == "FBA1").withColumn("run_hours_seconds", F.col("run_hours_seconds") * 7)
