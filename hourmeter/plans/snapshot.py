@@ -30,7 +30,9 @@ def resolve_period(t: Tables, date_from=None, date_to=None) -> tuple[str | None,
     """Open ends default to the first / last event date (two scalars; literals keep partition pruning)."""
     if date_from is not None and date_to is not None:
         return str(date_from), str(date_to)
-    r = t.events.agg(F.min("event_date").alias("a"), F.max("event_date").alias("b")).first()
+    # the stored event rollup has a row for every date with a reading, so its span is the events' span
+    src = t.event_days if t.event_days is not None else t.events
+    r = src.agg(F.min("event_date").alias("a"), F.max("event_date").alias("b")).first()
     a = date_from if date_from is not None else r["a"]
     b = date_to if date_to is not None else r["b"]
     return (str(a) if a is not None else None, str(b) if b is not None else None)
