@@ -61,6 +61,11 @@ class Tables:
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Tables":
+        """A copy with some tables replaced.  New ``events`` drop the stored rollups (they
+        describe the old events) unless rollups are passed along explicitly."""
+        if "events" in kw:
+            kw.setdefault("interval_days", None)
+            kw.setdefault("event_days", None)
         return replace(self, **kw)
 
     def committed_events(self) -> DataFrame:

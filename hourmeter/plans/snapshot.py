@@ -182,9 +182,12 @@ def dashboard_snapshot(t: Tables, date_from=None, date_to=None, cache: bool = Tr
     to the period and persisted once per call.
     """
     a, b = resolve_period(t, date_from, date_to)
-    tp = t.with_(events=FL.date_range(t.events, "event_date", a, b))
+    def cut(df):
+        return None if df is None else FL.date_range(df, "event_date", a, b)
+
+    tp = t.with_(events=cut(t.events), interval_days=cut(t.interval_days), event_days=cut(t.event_days))
     # the warehouse's committed interval rollup when there is one, else the window over the period
-    rollup = FL.date_range(interval_days(t), "event_date", a, b)
+    rollup = interval_days(tp)
     counts = FL.date_range(event_counts(tp), "event_date", a, b)  # cut before the persist
     cached = ()
     if cache:
