@@ -31,3 +31,13 @@ def test_no_carry_across_midnight(spark):
     assert [(str(r["event_date"]), r["clock_seconds"], r["run_seconds"], r["is_capped"]) for r in out] == [
         ("2026-09-08", 600, 600, True)
     ]
+
+
+def test_new_events_drop_stored_rollups():
+    from hourmeter.model import Tables
+
+    t = Tables(*["x"] * 6, interval_days="iv", event_days="ev")
+    assert (t.with_(events="e2").interval_days, t.with_(events="e2").event_days) == (None, None)
+    kept = t.with_(events="e2", interval_days="iv2", event_days="ev2")
+    assert (kept.interval_days, kept.event_days) == ("iv2", "ev2")
+    assert t.with_(rejected_rows="r").interval_days == "iv"
