@@ -142,7 +142,9 @@ def data_coverage(t: Tables) -> DataFrame:
     return (
         j.groupBy("event_date")
         .agg(
-            F.coalesce(F.sum(F.when(F.col("counts_as_event"), F.col("events"))), F.lit(0)).cast("bigint").alias("events"),  # noqa: E501
+            F.coalesce(F.sum(F.when(F.col("counts_as_event"), F.col("events"))), F.lit(0))
+            .cast("bigint")
+            .alias("events"),
             F.count_distinct("ref_no").alias("active_machines"),
         )
         .select("event_date", X.day_name("event_date").alias("day_name"), "events", "active_machines")
