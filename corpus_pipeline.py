@@ -9,9 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmeter.llm import simhash, substring
+from hourmeter.llm import bpe, langid, mixing, queries, simhash, substring
 from hourmeter.llm.frames import saved
 
+#: The language model is as good as undecided below this probability.
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or in no language that the model can tell, go."""
+    out = langid.identify(spark, docs)
+    return out.where((F.col("_lid_lang") != langid.UNKNOWN) & (F.col("_lid_score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group (3-word shingles, 2 bits) stays."""
@@ -29,14 +38,32 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return out.select(*docs.columns)
 
 
-STAGES = [("near_dedup", near_dedup), ("passage_dedup", passage_dedup)]
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at weights 5, 2, 1 in turn: a document stands there as often as the mix takes it."""
+    return mixing.mix(spark, docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, the ids of its text, their number, and digests of the ids and of the bytes decoded from them."""
+    encoded = bpe.encode(docs, *queries.bpe_files())
+    return queries.bpe_digest(encoded, "ids")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("passage_dedup", passage_dedup),
+    ("source_mix", source_mix),
+    ("tokens", tokens),
+]
 
 #: The stages learn, follow links and draw lots, which SQL can't express; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the result is the last stage's."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = saved(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmeter.llm import simhash, substring
+from hourmeter.llm import bpe, chat, langid, mixing, quality_rules, sharding, simhash, substring, urls, vector_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,14 +20,158 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_sub_n_words").alias("n_words"), F.col("_sub_n_removed").alias("n_removed"), F.sha2("_sub_kept_text", 256).alias("kept_sha256"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per conversation, read back from the rendered string: turns, their digest and the text under the loss mask."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    more = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(k).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(hard).alias("text")) for k, r in enumerate(("user", "assistant"))])))
+    out = chat.format_chats(turns.unionByName(more))
+    out = out.withColumns({"said": chat.parsed(F.col("formatted")), "loss": chat.loss_text(F.col("formatted"), F.col("loss_spans"))})
+    told = F.array_join(F.transform("said", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id",
+        F.size("said").cast("long").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP2_SQL = """
+with t as (
+  select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e as (
+  select *, replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), chr(10), '&#10;') er,
+    replace(replace(text, '&', '&amp;'), '<', '&lt;') et from t
+)
+select conv_id, count(*) n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) loss_sha256,
+  sum(length('<|im_start|>') + length(er) + 1 + length(et) + length('<|im_end|>') + 1)::bigint formatted_chars
+from e group by conv_id
+"""
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector: links at cosine 0.98 or more inside its label, and its component."""
+    return vector_join.near_duplicates(spark, table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), cosine=0.98)
+
+
+OLD_SHARDS, NEW_SHARDS = 12, 16
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents from 12 old shards into 16 of near equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
+    out = sharding.reshard(spark, docs, sharding.old_shard_by_hash(OLD_SHARDS), NEW_SHARDS)
+    return out.select(
+        "doc_id", F.col("_sh_size").alias("size"), "text_crc32", F.lit("bytes").alias("law"), F.col("_sh_new").alias("shard"), F.col("_sh_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("_sh_old").alias("old_shard")
+    )
+
+
+#: The contract's rules: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: host, path, the longest rule that fits, and the rule's or the language models' verdict."""
+    return urls.judge(spark, table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the base counts, the base verdict and the threshold table's verdict."""
+    out = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return out.select("doc_id", *[F.col(f"_qr_{n}").alias(n) for n in names])
+
+
+_STOP_SQL = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
+_TABLE_SQL = " and ".join(
+    [f"{name} >= {low}" for name, low, _ in quality_rules.THRESHOLDS if low is not None] + [f"{name} <= {high}" for name, _, high in quality_rules.THRESHOLDS if high is not None]
+)
+OP6_SQL = f"""
+with w as (
+  select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) ls
+  from documents
+), r as (
+  select row_number() over () rid, *, len(ws) n from w
+), g as (
+  select rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] g
+  from (select rid, ws, unnest(range(1, n - 1)) i from r where n >= 3)
+), d as (
+  select rid, i from (select rid, i, count(*) over (partition by rid, g) c from g) where c > 1
+), p as (
+  select rid, count(distinct i + k) n_repeat from d, (values (0), (1), (2)) o(k) group by rid
+), m as (
+  select doc_id, n, len(array_to_string(ws, '')) word_chars, len(t) - len(regexp_replace(t, '[#*$%&|<>]', '', 'g')) n_symbols,
+    len(ls) n_lines, len(ls) - len(list_distinct(ls)) n_dup, coalesce(n_repeat, 0) n_repeat,
+    len(list_filter(ws, lambda x: x in ({_STOP_SQL}))) n_stop
+  from r left join p using (rid)
+), f as (
+  select *, n < {quality_rules.MIN_WORDS} or 100 * n_repeat > {quality_rules.MAX_REPEAT_PERCENT} * n base_failed,
+    case when n > 0 then word_chars / n else 0 end mean_word_chars, case when n > 0 then n_symbols / n else 0 end symbols_per_word,
+    case when n > 0 then n_stop / n else 0 end stop_words_per_word, case when n_lines > 0 then n_dup / n_lines else 0 end dup_lines_per_line
+  from m
+)
+select doc_id, n::bigint n_words, word_chars::bigint word_chars, n_symbols::bigint n_symbols, n_dup::bigint n_dup_lines,
+  n_repeat::bigint n_repeat_words, base_failed, not base_failed and {_TABLE_SQL} kept
+from f
+"""
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: fingerprint and smallest doc_id reachable by links of at most two bits."""
     return simhash.simhash_groups(spark, table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def bpe_files() -> tuple[str, str]:
+    """Rank file and pre-token pattern of the public byte-level tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def bpe_digest(encoded: DataFrame, *more: str) -> DataFrame:
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *more)
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number and digest of its ids, and digest of the bytes decoded from them."""
+    return bpe_digest(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), *bpe_files()))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its source's size and target, and the words that the mix takes of it."""
+    out = mixing.copies(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    out = out.withColumn("taken", (F.col("size") * F.col("copies")).cast("long"))
+    out = out.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: whether it was held out, the predicted language and its calibrated probability."""
+    out = langid.identify(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return out.select("doc_id", langid.held_out().alias("held_out"), F.col("_lid_lang").alias("lang_pred"), F.col("_lid_score").alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_chat_format": op2_chat_format,
+    "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_sharding": op4_sharding,
+    "op5_url_filter": op5_url_filter,
+    "op6_quality_rules": op6_quality_rules,
     "op7_simhash": op7_simhash,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op9_mixing": op9_mixing,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_quality_rules": OP6_SQL}
