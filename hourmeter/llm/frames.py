@@ -20,4 +20,13 @@ def saved(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._saved_path = path
+    return out
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables made by ``saved`` that nothing reads any more."""
+    for table in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._saved_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourmeter.llm import textkernel as TK
-from hourmeter.llm.frames import saved
+from hourmeter.llm.frames import discard, saved
 
 GRAM = 5
 WINDOW = 13
@@ -277,6 +277,8 @@ def repeat_starts(spark: SparkSession, docs: DataFrame, window: int = WINDOW, ma
     hits = hits.select("doc_id", "text_key", "word", F.aggregate(bit, F.lit(0), lambda a, x: a + x).alias("mask")).where("mask > 0")
     spans = hits.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("word", "mask")).alias("at"))
     spans = spans.select("doc_id", "text_key", F.lit(False).alias("full"), F.col("at.word").alias("words"), F.col("at.mask").alias("masks"))
+    spans = saved(spark, spans, "substring-spans")
+    discard(spark, wanted, found, leaves, heavy)
     empty = [F.lit(None).cast(t) for t in ("array<long>", "array<int>")]
     return spans.unionByName(copies.select("doc_id", "text_key", F.lit(True).alias("full"), empty[0].alias("words"), empty[1].alias("masks")))
 
