@@ -68,10 +68,22 @@ REASON_TEXT = {
 
 # --- Fixed values: names and patterns
 NO_DRIVER = "No driver logged on"
-DEFAULT_BRANCH_PREFIX = "ridgeback"
 DAILY_FILE_SUFFIX = "_DailyTelemetryData.csv"
 DAILY_FILE_PATTERN = r"(?i)^\d{4}-\d{2}-\d{2}_DailyTelemetryData\.csv$"
 FILE_DATE_PATTERN = r"(?i)(\d{4})-(\d{2})-(\d{2})_DailyTelemetryData\.csv$"
 UNKNOWN_FILTER = "__unknown__"
+
+# --- Fixed values: how filter values typed by users are read, first match wins (text, meaning)
+MACHINE_TYPE_STARTS = [("fork", "Forklift"), ("reach", "Reach Truck"), ("ppt", "PPT"), ("pallet", "PPT")]
+EVENT_TYPE_PARTS = [
+    ("impact", "IMPACT"),
+    ("brak", "HARSH_BRAKING"),
+    ("accel", "HARSH_ACCELERATION"),
+    ("speed", "SPEEDING"),
+    ("idl", "EXCESS_IDLE"),
+    ("power", "POWER_UP"),
+    ("driver change", "DRIVER_CHANGE"),
+    ("log", "DRIVER_CHANGE"),
+]
 ERROR_MESSAGE_MAX = 2000
 LOCAL_ZONE = "Africa/Johannesburg"

@@ -14,8 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hourmeter.functions.constants import (
-    DEFAULT_BRANCH_PREFIX,
+    EVENT_TYPE_PARTS,
     FILE_DATE_PATTERN,
+    MACHINE_TYPE_STARTS,
     NO_DRIVER,
     REASON_TEXT,
     UNKNOWN_FILTER,
@@ -56,8 +57,8 @@ def title_case(s) -> Column:
     return F.array_join(raised, "")
 
 
-def normalise_branch(s, prefix: str = DEFAULT_BRANCH_PREFIX) -> Column:
-    """Collapse, drop a leading company prefix, title case; blank -> null."""
+def normalise_branch(s, prefix: str = "") -> Column:
+    """Collapse, drop the configured leading company prefix (none unless given), title case; blank -> null."""
     stripped = F.regexp_replace(collapse(s), "(?i)^" + re.escape(prefix) + r"\s*", "") if prefix else collapse(s)
     return F.when(stripped == "", F.lit(None).cast("string")).otherwise(title_case(stripped))
 
@@ -122,68 +123,36 @@ def file_basename(path) -> Column:
     return F.regexp_extract(_c(path), r"([^/\\]+)$", 1)
 
 
+def _first_match(p, pairs, like: str) -> Column:
+    c = _c(p)
+    out = F.lit(UNKNOWN_FILTER)
+    for text, meaning in reversed(pairs):
+        out = F.when(F.lower(c).like(like.format(text)), meaning).otherwise(out)
+    return F.when(c.isNull() | (F.trim(c) == ""), F.lit(None).cast("string")).otherwise(out)
+
+
 def norm_machine_type(p) -> Column:
     """C9 over a column: blank -> null, prefixes -> one of the three types, else __unknown__."""
-    c = _c(p)
-    low = F.lower(c)
-    return (
-        F.when(c.isNull() | (F.trim(c) == ""), F.lit(None).cast("string"))
-        .when(low.like("fork%"), "Forklift")
-        .when(low.like("reach%"), "Reach Truck")
-        .when(low.like("ppt%") | low.like("pallet%"), "PPT")
-        .otherwise(UNKNOWN_FILTER)
-    )
+    return _first_match(p, MACHINE_TYPE_STARTS, "{}%")
 
 
 def norm_event_type(p) -> Column:
     """C10 over a column: ordered substring matches -> event code, else __unknown__."""
-    c = _c(p)
-    low = F.lower(c)
-    return (
-        F.when(c.isNull() | (F.trim(c) == ""), F.lit(None).cast("string"))
-        .when(low.like("%impact%"), "IMPACT")
-        .when(low.like("%brak%"), "HARSH_BRAKING")
-        .when(low.like("%accel%"), "HARSH_ACCELERATION")
-        .when(low.like("%speed%"), "SPEEDING")
-        .when(low.like("%idl%"), "EXCESS_IDLE")
-        .when(low.like("%power%"), "POWER_UP")
-        .when(low.like("%driver change%") | low.like("%log%"), "DRIVER_CHANGE")
-        .otherwise(UNKNOWN_FILTER)
-    )
+    return _first_match(p, EVENT_TYPE_PARTS, "%{}%")
 
 
 def norm_machine_type_param(p: str | None) -> str | None:
     """C9 for a filter value typed by a user."""
-    if p is None or p.strip() == "":
+    if blank(p):
         return None
-    low = p.lower()
-    if low.startswith("fork"):
-        return "Forklift"
-    if low.startswith("reach"):
-        return "Reach Truck"
-    if low.startswith("ppt") or low.startswith("pallet"):
-        return "PPT"
-    return UNKNOWN_FILTER
+    return next((m for text, m in MACHINE_TYPE_STARTS if p.lower().startswith(text)), UNKNOWN_FILTER)
 
 
 def norm_event_type_param(p: str | None) -> str | None:
     """C10 for a filter value typed by a user."""
-    if p is None or p.strip() == "":
+    if blank(p):
         return None
-    low = p.lower()
-    for needle, code in (
-        ("impact", "IMPACT"),
-        ("brak", "HARSH_BRAKING"),
-        ("accel", "HARSH_ACCELERATION"),
-        ("speed", "SPEEDING"),
-        ("idl", "EXCESS_IDLE"),
-        ("power", "POWER_UP"),
-    ):
-        if needle in low:
-            return code
-    if "driver change" in low or "log" in low:
-        return "DRIVER_CHANGE"
-    return UNKNOWN_FILTER
+    return next((m for text, m in EVENT_TYPE_PARTS if text in p.lower()), UNKNOWN_FILTER)
 
 
 def blank(p: str | None) -> bool:
@@ -243,6 +212,17 @@ def period_param(date_from: str | None, date_to: str | None) -> tuple[str | None
     return a.isoformat(), b.isoformat()
 
 
+def period_columns(date_from, date_to) -> tuple[Column, Column]:
+    """C13 over columns: both ends as dates, or two nulls unless both are valid and in order."""
+
+    def valid(c):
+        return F.when(_c(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_timestamp(_c(c), F.lit("yyyy-MM-dd"))).cast("date")
+
+    a, b = valid(date_from), valid(date_to)
+    good = a.isNotNull() & b.isNotNull() & (a <= b)
+    return F.when(good, a), F.when(good, b)
+
+
 def reason_label(code) -> Column:
     """C14: plain words for a rejection reason; unknown codes get '_' -> ' '."""
     pairs = []

@@ -114,7 +114,7 @@ def clean_records(
     machines: DataFrame,
     event_types: DataFrame,
     files: DataFrame | None = None,
-    branch_prefix: str | None = None,
+    branch_prefix: str = "",
     cut=None,
 ) -> Cleaned:
     """Classify every data record of every readable file.
@@ -135,7 +135,6 @@ def clean_records(
     def get(role):
         return F.try_element_at("fields", F.col("i_" + role))
 
-    bp = {} if branch_prefix is None else {"prefix": branch_prefix}
     d = data.select(
         "file_name",
         "line_no",
@@ -149,7 +148,7 @@ def clean_records(
         X.collapse(get("event_type")).alias("type_raw"),
         X.collapse(get("event_time")).alias("time_raw"),
         X.collapse(get("run_hours")).alias("rh_raw"),
-        X.normalise_branch(get("branch"), **bp).alias("branch_norm"),
+        X.normalise_branch(get("branch"), branch_prefix).alias("branch_norm"),
         X.normalise_driver(get("driver_first_name"), get("driver_surname")).alias("driver"),
     )
     d = d.withColumn("event_time", X.parse_event_time(F.col("time_raw"))).withColumn(

@@ -16,18 +16,30 @@ def burst_flag(df: DataFrame, key: str, ts: str, limit: int, window_seconds: int
     """K4: per key, hits whose age is under ``window_seconds`` (self and same-instant hits
     included); ``is_limited`` when that count exceeds ``limit``.
 
-    Exact and skew-safe: time is cut into buckets of the window's width; every row is a
-    target in its own bucket and a context row in the next one, so a range window over
-    (key, bucket) sees everything younger than the window while no group holds more than
-    two buckets of one key.
+    Exact, and a bursting key is cut by the second: the window of a hit is part of its own second, whole
+    seconds, and part of the second where the window begins.  Whole seconds are counted from one row a
+    key-second; both parts are running counts inside one key-second, so no task needs more rows together
+    than one key has in one second.
     """
-    w_us = int(window_seconds) * 1_000_000
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = df.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / F.lit(w_us)))
-    tagged = base.withColumn("_role", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("_bucket", F.col("_b") + F.col("_role"))
-    win = Window.partitionBy(key, "_bucket").orderBy("_us").rangeBetween(-(w_us - 1), 0)
-    counted = tagged.withColumn("hits_in_window", F.count("*").over(win)).where(F.col("_role") == 0)
-    return counted.withColumn("is_limited", F.col("hits_in_window") > F.lit(limit)).drop("_us", "_b", "_role", "_bucket")
+    base = df.withColumn("_us", us).withColumn("_s", F.floor(F.col("_us") / 1_000_000)).withColumn("_f", F.pmod("_us", F.lit(1_000_000)))
+    instants = base.groupBy(F.col(key).alias("_k"), "_s", "_f").agg(F.count(F.lit(1)).alias("_n"))
+    # whole seconds between the window's first second and the hit's own
+    seconds = instants.groupBy("_k", "_s").agg(F.sum("_n").alias("_t"))
+    whole = Window.partitionBy("_k").orderBy("_s").rangeBetween(-(int(window_seconds) - 1), -1)
+    seconds = seconds.select("_k", "_s", F.coalesce(F.sum("_t").over(whole), F.lit(0)).alias("_whole"))
+    # running counts inside a second, for the hits themselves and for the instants where their windows begin
+    hits = instants.select("_k", "_s", "_f", "_n", F.lit(0).alias("_asks"))
+    starts = instants.select("_k", (F.col("_s") - int(window_seconds)).alias("_s"), "_f", F.lit(0).alias("_n"), F.lit(1).alias("_asks"))
+    second = Window.partitionBy("_k", "_s")
+    upto = second.orderBy("_f").rangeBetween(Window.unboundedPreceding, 0)
+    counted = hits.unionByName(starts).withColumns({"_upto": F.sum("_n").over(upto), "_all": F.sum("_n").over(second)})
+    own = counted.where("_asks = 0").select("_k", "_s", "_f", "_upto")
+    first = counted.where("_asks = 1").select("_k", (F.col("_s") + int(window_seconds)).alias("_s"), "_f", (F.col("_all") - F.col("_upto")).alias("_after"))
+    total = own.join(first, ["_k", "_s", "_f"]).join(seconds, ["_k", "_s"])
+    total = total.select("_k", "_s", "_f", (F.col("_upto") + F.col("_after") + F.col("_whole")).alias("hits_in_window"))
+    out = base.join(total.withColumnsRenamed({"_s": "_s2", "_f": "_f2"}), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_s") == F.col("_s2")) & (F.col("_f") == F.col("_f2")))
+    return out.withColumn("is_limited", F.col("hits_in_window") > F.lit(limit)).drop("_us", "_s", "_f", "_k", "_s2", "_f2")
 
 
 def relative_periods(t: Tables) -> DataFrame:

@@ -10,7 +10,6 @@ from hourmeter.functions import exprs as X
 from hourmeter.functions.constants import LOCAL_ZONE
 from hourmeter.model import Tables
 from hourmeter.operators.intervals import READING_ORDER, machine_daily_hours
-from hourmeter.operators.sliced import sliced_running_sum
 from hourmeter.operators.views import rejections_by_reason
 
 
@@ -134,10 +133,13 @@ def data_quality_summary(t: Tables) -> DataFrame:
         F.lit(None).cast("bigint").alias("value"),
         _sast_stamp(F.col("m")).alias("detail"),
     )
-    out = cov1
-    for part in (cov2, cov3, *totals, rej, fresh):
-        out = out.unionByName(part)
-    return out
+    # sections in order; inside a section the rows in the order written here, rejections by total
+    out = None
+    for place, part in enumerate((cov1, cov2, cov3, *totals, rej, fresh)):
+        part = part.withColumn("_place", F.lit(place))
+        out = part if out is None else out.unionByName(part)
+    by_total = F.when(F.col("section") == "rejections", -F.col("value"))
+    return out.orderBy("_place", by_total, "item").drop("_place")
 
 
 def freshness_check(t: Tables, expected_data_date) -> DataFrame:
@@ -173,39 +175,48 @@ def naive_vs_interval_hours(t: Tables, daily: DataFrame | None = None) -> DataFr
     )
 
 
-def reconcile_run_hours(t: Tables, daily: DataFrame | None = None, slice_seconds: int = 3600) -> DataFrame:
-    """K2: an independent run-hours calculation per machine-day, fully outer-joined to E1;
-    returns the machine-days where the two disagree.
+def reconcile_run_hours(t: Tables, daily: DataFrame | None = None) -> DataFrame:
+    """K2: an independent run-hours calculation per machine-day, compared with E1; returns the machine-days
+    where the two disagree (none on sound data).  A day without a row in E1 counts as zero there.
 
-    The independent method numbers the readings of each machine-day (a sliced running
-    count, so no day is gathered in one task) and pairs reading n with reading n-1 by an
-    equi-join; it gives 0 s to a day with a single reading, where E1 has no row.
+    The independent method reads the events once and uses no window: readings of a machine-hour are sorted in
+    an array and their steps added up inside it, each hour keeps its first and last reading, and the day adds
+    the steps between its (at most 24) hours.
     """
     e = t.events.select("ref_no", "event_date", *[c for c in READING_ORDER if c not in ("ref_no",)])
-    sod = F.hour("event_time") * 3600 + F.minute("event_time") * 60 + F.second("event_time")
-    numbered = sliced_running_sum(
-        e, ["ref_no", "event_date"], READING_ORDER, F.floor(sod / F.lit(slice_seconds)), F.lit(1).cast("bigint"), "n"
-    ).select("ref_no", "event_date", "n", "event_time", "run_hours_seconds")
-    prev = numbered.select(
-        "ref_no", "event_date", (F.col("n") + 1).alias("n"), F.col("event_time").alias("pt"), F.col("run_hours_seconds").alias("pc")
-    )
-    pairs = numbered.join(prev, ["ref_no", "event_date", "n"], "left")
-    delta = F.col("run_hours_seconds") - F.col("pc")
-    clock = F.expr("timestampdiff(SECOND, pt, event_time)")
-    js = pairs.groupBy("event_date", "ref_no").agg(
-        F.coalesce(F.sum(F.when(delta >= 0, F.least(delta, clock))), F.lit(0)).cast("bigint").alias("js_seconds"),
-        F.count_if(delta < 0).alias("js_resets"),
-        F.count_if((delta >= 0) & (delta > clock)).alias("js_capped"),
+
+    def steps(ordered, at, counter):
+        """(seconds, resets, capped) over the neighbours of an array: at/counter give an element's values."""
+        pairs = F.transform(
+            F.when(F.size(ordered) > 1, F.sequence(F.lit(1), F.size(ordered) - 1)).otherwise(F.array().cast("array<int>")),
+            lambda i: F.struct(
+                (counter(F.get(ordered, i), 0) - counter(F.get(ordered, i - 1), 1)).alias("up"),
+                F.timestamp_diff("SECOND", at(F.get(ordered, i - 1), 1), at(F.get(ordered, i), 0)).alias("clock"),
+            ),
+        )
+        total = F.aggregate(pairs, F.lit(0).cast("bigint"), lambda a, x: a + F.when(x["up"] >= 0, F.least(x["up"], x["clock"])).otherwise(0))
+        return (
+            total,
+            F.size(F.filter(pairs, lambda x: x["up"] < 0)).cast("bigint"),
+            F.size(F.filter(pairs, lambda x: (x["up"] >= 0) & (x["up"] > x["clock"]))).cast("bigint"),
+        )
+
+    hourly = e.groupBy("event_date", "ref_no", F.hour("event_time").alias("hour")).agg(
+        F.array_sort(F.collect_list(F.struct(*READING_ORDER))).alias("r")
+    )
+    s, z, c = steps(F.col("r"), lambda x, _: x["event_time"], lambda x, _: x["run_hours_seconds"])
+    hourly = hourly.select("event_date", "ref_no", "hour", s.alias("s"), z.alias("z"), c.alias("c"), F.get("r", 0).alias("first"), F.element_at("r", -1).alias("last"))
+    days = hourly.groupBy("event_date", "ref_no").agg(
+        F.sum("s").alias("s"), F.sum("z").alias("z"), F.sum("c").alias("c"), F.array_sort(F.collect_list(F.struct("hour", "first", "last"))).alias("h")
     )
+    side = ("first", "last")
+    s, z, c = steps(F.col("h"), lambda x, k: x[side[k]]["event_time"], lambda x, k: x[side[k]]["run_hours_seconds"])
+    own = days.select("event_date", "ref_no", (F.col("s") + s).alias("js_seconds"), (F.col("z") + z).alias("js_resets"), (F.col("c") + c).alias("js_capped"))
     h = daily if daily is not None else machine_daily_hours(t)
     v = h.select("event_date", "ref_no", F.col("run_seconds").alias("view_seconds"),
                  F.col("counter_resets").alias("view_resets"), F.col("capped_intervals").alias("view_capped"))
-    j = js.join(v, ["event_date", "ref_no"], "full_outer")
-    differs = (
-        ~F.col("js_seconds").eqNullSafe(F.col("view_seconds"))
-        | ~F.col("js_resets").eqNullSafe(F.col("view_resets"))
-        | ~F.col("js_capped").eqNullSafe(F.col("view_capped"))
-    )
-    return j.where(differs).select(
-        "event_date", "ref_no", "js_seconds", "view_seconds", "js_resets", "view_resets", "js_capped", "view_capped"
-    )
+    j = own.join(v, ["event_date", "ref_no"], "full_outer")
+    none = F.lit(0).cast("bigint")
+    names = ["js_seconds", "view_seconds", "js_resets", "view_resets", "js_capped", "view_capped"]
+    j = j.select("event_date", "ref_no", *[F.coalesce(n, none).alias(n) for n in names])
+    return j.where("js_seconds <> view_seconds or js_resets <> view_resets or js_capped <> view_capped")

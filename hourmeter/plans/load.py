@@ -2,14 +2,16 @@
 
 One run = one distributed clean over every picked file, then one commit:
 
-  1. list the drop folder, fingerprint each file, keep files whose
-     (name, checksum) is not registered (new, changed, or previously failed)   A1-A3
+  1. list the drop folder; files whose length and modification time are registered
+     are not read; fingerprint the others and keep those whose (name, checksum) is
+     not registered (new, changed, or previously failed)                       A1-A3
   2. read the machine list, upsert machines and their branches                  A5, A8
   3. clean all picked files in one job; files that cannot be read fail alone    B13
   4. insert branches and drivers seen in the clean rows                         A9, A10
   5. append events whose natural key is new (first write wins: earlier file,
      then earlier line), and rejected lines whose (file, line) is new           A11, A12
-  6. write the new registry version (the commit), then the run logs            A7, A13-A15
+  6. write the new registry version and commit all small tables at once, or be
+     rejected if another run has committed meanwhile; then the run logs         A7, A13-A15
 
 Re-running the same folder inserts nothing.  Every count that the run log
 needs is an aggregate, never a driver-side loop over rows.
@@ -46,14 +48,27 @@ def pick_files(candidates: DataFrame, registry: DataFrame, reprocess_all: bool =
 def insert_branches(branches: DataFrame, names: DataFrame) -> DataFrame:
     """A9 (and the branch half of A8): names not yet present get the next ids, in name order."""
     new = names.where(F.col("name").isNotNull()).distinct().join(branches.select("name"), "name", "left_anti")
-    base = branches.agg(F.coalesce(F.max("branch_id"), F.lit(0)).alias("_base"))
-    # ids for new names: a global rank over the (small) set of new names
-    ranked = new.crossJoin(F.broadcast(base)).select(
-        (F.col("_base") + F.row_number().over(Window.orderBy("name"))).cast("int").alias("branch_id"), "name"
-    )
+    base = branches.agg(F.coalesce(F.max("branch_id"), F.lit(0)).alias("_base"))  # one row
+    # ids in name order without one task for all names: ranges of names, the rank inside a range, and the
+    # sizes of the ranges before it
+    parts = new.repartitionByRange("name").withColumn("_part", F.spark_partition_id()).checkpoint()
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("name"))
+    sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))  # one row a range
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    ranked = parts.withColumn("_at", inside).join(starts, "_part").crossJoin(F.broadcast(base))
+    ranked = ranked.select((F.col("_base") + F.col("_start") + F.col("_at")).cast("int").alias("branch_id"), "name")
     return branches.select("branch_id", "name").unionByName(ranked)
 
 
+def bad_machine_types(machine_list: DataFrame) -> str | None:
+    """The A8 type check of every load and replay: an error message if the list has other types."""
+    bad = machine_list.where(~F.col("machine_type").isin(MACHINE_TYPES)).select("machine_type").distinct()
+    # in order; more than the log's message can hold is never needed
+    names = [r[0] for r in bad.orderBy("machine_type").limit(ERROR_MESSAGE_MAX).collect()]
+    return f"machine list has machine_type outside {MACHINE_TYPES}: {names}" if names else None
+
+
 def upsert_machines(machines: DataFrame, branches: DataFrame, machine_list: DataFrame, now) -> tuple[DataFrame, DataFrame]:
     """Returns (new machines table, changed rows).  Rows whose branch and type are not
     distinct from the stored ones are left alone (updated_at unchanged)."""
@@ -96,8 +111,8 @@ def insert_drivers(drivers: DataFrame, rows: DataFrame) -> DataFrame:
 
 def new_events(existing: DataFrame, rows: DataFrame, branches: DataFrame, load_id: str, now) -> DataFrame:
     """Clean rows whose natural key is not stored yet; within the batch the
-    earliest (file_name, source_line) copy wins.  The anti join includes
-    ``event_date`` so only the affected date partitions of the fact are read."""
+    earliest (file_name, source_line) copy wins.  The dates of the batch are named to
+    the scan as literals, so only those partitions of the fact are read."""
     b = branches.select(F.col("name").alias("reported_branch"), F.col("branch_id").alias("event_branch_id"))
     r = rows.join(b, "reported_branch").select(
         *NATURAL_KEY,
@@ -112,19 +127,22 @@ def new_events(existing: DataFrame, rows: DataFrame, branches: DataFrame, load_i
     key = ["event_date", *NATURAL_KEY]
     firsts = r.groupBy(*key).agg(F.min(F.struct("file_name", "source_line")).alias("_w"))
     r = r.join(firsts, key).where(F.struct("file_name", "source_line") == F.col("_w")).drop("_w")
-    r = r.join(existing.select(*key), key, "left_anti")
+    days = [d[0] for d in r.select("event_date").distinct().collect()]  # one value a calendar day
+    r = r.join(existing.where(F.col("event_date").isin(days)).select(*key), key, "left_anti")
     return r.withColumn("loaded_at", F.lit(now)).withColumn("load_id", F.lit(load_id))
 
 
 def new_rejected(existing: DataFrame, rejected: DataFrame, load_id: str, now) -> DataFrame:
     """Rejected lines whose (file, line) is not stored yet (an earlier load's row stays)."""
-    r = rejected.join(existing.select("file_name", "line_no"), ["file_name", "line_no"], "left_anti")
+    names = rejected.select("file_name").distinct()
+    held = existing.select("file_name", "line_no").join(names, "file_name", "left_semi")
+    r = rejected.join(held, ["file_name", "line_no"], "left_anti")
     return r.withColumn("rejected_at", F.lit(now)).withColumn("load_id", F.lit(load_id))
 
 
 def register_files(registry: DataFrame, loaded: DataFrame, load_id: str, now) -> DataFrame:
     """Upsert by file name; a new load adds 1 to load_count, takes the new checksum and
-    header, and lists its load id.  Dates and first_loaded_at never change."""
+    header, length and modification time, and lists its load id.  Dates and first_loaded_at never change."""
     old = registry.alias("o")
     new = loaded.select(
         "file_name",
@@ -132,6 +150,8 @@ def register_files(registry: DataFrame, loaded: DataFrame, load_id: str, now) ->
         F.col("data_date").alias("n_data"),
         F.col("checksum").alias("n_checksum"),
         F.col("header").alias("n_header"),
+        F.col("length").alias("n_length"),
+        F.col("modified").alias("n_modified"),
     )
     j = old.join(new, "file_name", "full_outer")
     hit = F.col("n_checksum").isNotNull() | F.col("n_data").isNotNull() | F.col("n_header").isNotNull()
@@ -147,6 +167,8 @@ def register_files(registry: DataFrame, loaded: DataFrame, load_id: str, now) ->
         .otherwise(F.col("load_ids"))
         .alias("load_ids"),
         F.when(hit, F.col("n_header")).otherwise(F.col("header")).alias("header"),
+        F.when(hit, F.col("n_length")).otherwise(F.col("length")).alias("length"),
+        F.when(hit, F.col("n_modified")).otherwise(F.col("modified")).alias("modified"),
     )
 
 
@@ -155,10 +177,11 @@ class RunResult:
     started_at: dt.datetime
     load_id: str
     summary: DataFrame  # A18
+    machines_changed: int = 0  # A8: machines that the list added or changed
 
 
 def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
 def run_ingest(
@@ -169,25 +192,32 @@ def run_ingest(
     reprocess_all: bool = False,
     triggered_by: str | None = None,
     started_at: dt.datetime | None = None,
-    paths: list[str] | None = None,
+    only: DataFrame | None = None,
 ) -> RunResult:
-    """Pick, clean and load every new or changed daily file in ``incoming``
-    (or only ``paths``, e.g. the files of one stream micro-batch)."""
+    """Pick, clean and load every new or changed daily file in ``incoming`` (or only the file names in
+    ``only``, e.g. those of one stream micro-batch).  A file without a byte is a failed file like any other."""
     ensure_checkpoint_dir(spark)
     started = started_at or _now()
     trig = triggered_by or "schedule"
-    listing = FS.list_daily_files(spark, incoming) if paths is None else FS.daily_files_of(spark, paths)
-    by_name = {r["file_name"]: r["path"] for r in listing.select("file_name", "path").collect()}  # file listing
-    if not by_name:
+    listing = FS.list_daily_files(spark, incoming)
+    if only is not None:
+        listing = listing.join(only.select("file_name").distinct(), "file_name", "left_semi")
+    seen = listing.count()
+    if not seen:
         log_pipeline_run(store, started, trig, 0, 0)
         return RunResult(started, "", run_summary(store, started))
-    candidates = FS.file_fingerprints(FS.read_file_lines(spark, sorted(by_name.values())))
-    picked_names = [r[0] for r in pick_files(candidates, store.tables().source_files, reprocess_all).select("file_name").collect()]
-    records = FS.read_daily_csv(spark, [by_name[n] for n in picked_names]) if picked_names else None
-    machine_list = FS.read_machine_list(spark, machine_list_path)
+    registry = store.tables().source_files.select("file_name", "checksum", "length", "modified")
+    known = listing.join(registry.select("file_name", "length", "modified"), ["file_name", "length", "modified"], "left_semi")
+    fresh = listing if reprocess_all else listing.join(known.select("file_name"), "file_name", "left_anti")
+    # the paths to read, which the readers need on the driver like any input path
+    lines = FS.read_lines(spark, [r["path"] for r in fresh.where("length > 0").select("path").collect()])
+    prints = FS.file_fingerprints(lines)
+    candidates = fresh.select("file_name", "length", "modified").join(prints, "file_name", "left")
+    candidates = candidates.withColumn("checksum", F.coalesce("checksum", F.lit("empty")))
+    machine_list = FS.read_machine_list(spark, machine_list_path, store.branch_prefix)
     return load_records(
-        spark, store, records, candidates, machine_list, reprocess_all=reprocess_all, triggered_by=trig,
-        started_at=started, files_seen=len(by_name),
+        spark, store, FS.records_from_lines(lines), candidates, machine_list, reprocess_all=reprocess_all, triggered_by=trig,
+        started_at=started, files_seen=seen,
     )
 
 
@@ -202,13 +232,17 @@ def load_records(
     started_at: dt.datetime | None = None,
     files_seen: int | None = None,
 ) -> RunResult:
-    """A16 for a batch: pick (A3) among ``candidates`` (file_name, checksum), clean the
-    picked files' ``records`` and commit them (A7-A14) as one load."""
+    """A16 for a batch: pick (A3) among ``candidates`` (file_name, checksum, and length and modified where
+    they come from a listing), clean the picked files' ``records`` and commit them (A7-A14) as one load.
+    Raises ``CommitConflict`` if another run commits between reading and committing."""
     ensure_checkpoint_dir(spark)
     started = started_at or _now()
     trig = triggered_by or "schedule"
     load_id = uuid.uuid4().hex
     t = store.tables()
+    for c in ("length", "modified"):
+        if c not in candidates.columns:
+            candidates = candidates.withColumn(c, F.lit(None).cast("bigint"))
     picked = pick_files(candidates, t.source_files, reprocess_all).checkpoint()
     files_to_load = picked.count()
     seen = files_seen if files_seen is not None else candidates.count()
@@ -217,21 +251,20 @@ def load_records(
         return RunResult(started, load_id, run_summary(store, started))
 
     machine_list = machine_list.checkpoint()
-    bad_types = machine_list.where(~F.col("machine_type").isin(MACHINE_TYPES)).select("machine_type").distinct()
-    bad = [r[0] for r in bad_types.limit(5).collect()]
+    bad = bad_machine_types(machine_list)
 
     records = records.join(picked.select("file_name"), "file_name", "left_semi")
     cleaned: Cleaned = clean_records(
-        records, machine_list, event_types_df(spark), files=picked.select("file_name"), cut=lambda df: df.checkpoint()
+        records, machine_list, event_types_df(spark), files=picked.select("file_name"), branch_prefix=store.branch_prefix,
+        cut=lambda df: df.checkpoint(),
     )
     cleaned.classified = cleaned.classified.checkpoint()  # cut lineage: one clean, several consumers
 
     failures = cleaned.failures
     if bad:
-        msg = f"machine list has machine_type outside {MACHINE_TYPES}: {bad}"
-        failures = picked.select("file_name", F.lit(msg).alias("error"))
+        failures = picked.select("file_name", F.lit(bad).alias("error"))
     failures = failures.checkpoint()
-    good = picked.select("file_name", "checksum").join(failures.select("file_name"), "file_name", "left_anti")
+    good = picked.select("file_name", "checksum", "length", "modified").join(failures.select("file_name"), "file_name", "left_anti")
     good = (
         good.join(cleaned.headers.select("file_name", "header"), "file_name", "left")
         .withColumn("delivery_date", X.delivery_date_from_name("file_name"))
@@ -239,17 +272,18 @@ def load_records(
         .checkpoint()
     )
     n_good = good.count()
+    machines_changed = 0
 
     now = _now()
-    lf = F.lit(now)
     runs = []
     if n_good:
         rows = cleaned.rows.join(good.select("file_name"), "file_name", "left_semi")
         rejected = cleaned.rejected.join(good.select("file_name"), "file_name", "left_semi")
         # machines and their branches (A8), then branches and drivers from the rows
         branches = insert_branches(t.branches, machine_list.select(F.col("branch").alias("name"))).checkpoint()
-        machines, _changed = upsert_machines(t.machines, branches, machine_list, now)
+        machines, changed = upsert_machines(t.machines, branches, machine_list, now)
         machines = machines.checkpoint()
+        machines_changed = changed.count()
         branches = insert_branches(branches, rows.select(F.col("reported_branch").alias("name"))).checkpoint()
         drivers = insert_drivers(t.drivers, rows).checkpoint()
         ev = new_events(t.events, rows, branches, load_id, now).checkpoint()
@@ -257,10 +291,12 @@ def load_records(
         store.append("events", ev, partition_by=["event_date"])
         write_rollup(store, t.events, ev, load_id)  # interval rollup of the touched dates, read once committed
         store.append("rejected_rows", rj)
-        store.write_version("branches", branches)
-        store.write_version("machines", machines)
-        store.write_version("drivers", drivers)
-        store.write_version("source_files", register_files(t.source_files, good, load_id, now))  # the commit
+        store.commit(t.extra["manifest"], {
+            "branches": store.write_version("branches", branches),
+            "machines": store.write_version("machines", machines),
+            "drivers": store.write_version("drivers", drivers),
+            "source_files": store.write_version("source_files", register_files(t.source_files, good, load_id, now)),
+        })
         inserted = ev.groupBy("file_name").agg(F.count("*").alias("rows_loaded"))
         s = cleaned.summary.join(good.select("file_name"), "file_name", "left_semi").join(inserted, "file_name", "left")
         runs.append(
@@ -268,7 +304,7 @@ def load_records(
                 F.lit(load_id).alias("run_id"),
                 "file_name",
                 F.lit(started).alias("started_at"),
-                lf.alias("finished_at"),
+                F.lit(_now()).alias("finished_at"),
                 F.lit("success").alias("status"),
                 "rows_read",
                 F.coalesce("rows_loaded", F.lit(0)).cast("bigint").alias("rows_loaded"),
@@ -278,10 +314,10 @@ def load_records(
                 F.lit(trig).alias("triggered_by"),
             )
         )
-    runs.append(failed_runs(failures, load_id, started, now, trig))
+    runs.append(failed_runs(failures, load_id, started, _now(), trig))
     log = runs[0] if len(runs) == 1 else runs[0].unionByName(runs[1])
     store.append("ingestion_runs", log)
-    return RunResult(started, load_id, run_summary(store, started))
+    return RunResult(started, load_id, run_summary(store, started), machines_changed)
 
 
 def failed_runs(failures: DataFrame, run_id: str, started, now, trig: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from hourmeter.model import event_types_df
 from hourmeter.operators.cleaning import Cleaned, clean_records
 from hourmeter.operators.intervals import run_intervals
+from hourmeter.session import ensure_checkpoint_dir
 from hourmeter.sources import files as FS
 
 NATURAL_KEY = ["ref_no", "event_time", "event_type", "run_hours_seconds"]
@@ -79,11 +80,13 @@ def report_from_cleaned(c: Cleaned) -> CleanReport:
     )
 
 
-def clean_report(spark: SparkSession, folder: str, machine_list_path: str) -> CleanReport:
-    """A19 over every ``*.csv`` in ``folder``."""
+def clean_report(spark: SparkSession, folder: str, machine_list_path: str, branch_prefix: str = "") -> CleanReport:
+    """A19 over every ``*.csv`` in ``folder``.  The parsed records are cut once for all consumers."""
     listing = FS.list_daily_files(spark, folder, pattern=r"(?i)\.csv$")
-    paths = [r[0] for r in listing.select("path").collect()]  # file paths, not rows
+    paths = [r[0] for r in listing.where("length > 0").select("path").collect()]  # file paths, not rows
     recs = FS.read_daily_csv(spark, paths)
-    ml = FS.read_machine_list(spark, machine_list_path)
-    c = clean_records(recs, ml, event_types_df(spark), files=listing.select("file_name"))
+    ml = FS.read_machine_list(spark, machine_list_path, branch_prefix)
+    ensure_checkpoint_dir(spark)
+    c = clean_records(recs, ml, event_types_df(spark), files=listing.select("file_name"), branch_prefix=branch_prefix, cut=lambda df: df.checkpoint())
+    c.classified = c.classified.checkpoint()
     return report_from_cleaned(c)

@@ -9,7 +9,6 @@ per call; ``Snapshot.release()`` frees them.
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -17,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourmeter.functions import exprs as X
-from hourmeter.functions.constants import NO_DRIVER
 from hourmeter.model import Tables
 from hourmeter.operators import filters as FL
 from hourmeter.operators import rankings as RK
@@ -169,7 +167,14 @@ class Snapshot:
             ).alias("data_quality"),
         )
 
+    def write(self, folder: str) -> None:
+        """Every section as a table of its own: nothing grows into one row."""
+        for name in ("kpis", "daily_hours_by_branch", "machine_hours", "safety_by_branch", "top_drivers", "files", "quality"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+
     def to_json(self) -> str:
+        """The document as text, with one element a machine as its readers expect; ``write`` is the way that
+        does not gather the machines."""
         return self.document().select(F.to_json(F.struct("*")).alias("j")).first()["j"]
 
 
@@ -207,6 +212,3 @@ def dashboard_snapshot(t: Tables, date_from=None, date_to=None, cache: bool = Tr
         quality=quality_section(t),
         _cached=cached,
     )
-
-
-__all__ = ["Snapshot", "dashboard_snapshot", "kpis", "daily_hours_by_branch", "machine_hours", "resolve_period", "NO_DRIVER", "dt"]

@@ -4,18 +4,22 @@ Layout under ``root``:
 
   events/event_date=YYYY-MM-DD/...   append-only fact, one ``load_id`` per run
   rejected_rows/                     append-only quarantine, ``load_id`` per run
-  interval_days/event_date=.../      interval rollup, rewritten per touched date by each load
-  event_days/event_date=.../         event-count rollup, likewise
+  interval_days/event_date=.../rollup_load_id=.../   interval rollup of a touched date, one folder a load
+  event_days/event_date=.../rollup_load_id=.../      event-count rollup, likewise
   ingestion_runs/ pipeline_runs/     append-only logs
-  branches/v=N/ machines/v=N/ drivers/v=N/ source_files/v=N/
-                                     small tables, rewritten whole as version N+1
+  branches/v=<id>/ machines/v=<id>/ drivers/v=<id>/ source_files/v=<id>/
+                                     small tables, rewritten whole by each load
+  _manifest/<N>                      commit N: which version of each small table is current
 
-Commit protocol: a run appends its fact and quarantine rows under a fresh
-``load_id``, writes new versions of the small tables, and last writes the new
-version of ``source_files`` whose rows list the committed load ids.  Readers
-keep only facts whose (file_name, load_id) is listed there, so a run that dies
-before that last write leaves nothing visible.  Versions are picked by the
-highest ``v=N`` folder that has Spark's ``_SUCCESS`` marker.
+Commit protocol: a run reads manifest N, appends its fact and quarantine rows
+under a fresh ``load_id``, writes new versions of the small tables under names
+of its own, and last creates manifest N+1, which names a version of every small
+table.  Creating it fails if another run has committed N+1 meanwhile: that run
+is rejected (``CommitConflict``) and nothing of it is ever visible, since every
+reader takes all small tables through one manifest and keeps only facts whose
+(file_name, load_id) the manifest's ``source_files`` lists.  The creation is
+exclusive where the file system's create without overwrite is (HDFS; object
+stores with conditional writes).
 
 Interval rollup: a load recomputes ``operators.intervals.interval_rollup`` for
 every date it adds events to (readings never carry across midnight, so a date
@@ -23,13 +27,14 @@ depends only on its own events) from the committed events of those dates plus
 its own, and appends it under its ``load_id`` before the commit.  Readers take,
 per date, the newest rollup whose load is committed: a load that died leaves a
 rollup nobody reads, and a later committed load touching the date supersedes it.
+``compact_rollups`` deletes superseded ones.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
-import re
+import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +48,8 @@ SCHEMAS = {
     "drivers": "driver_key string, first_name string, surname string, display_name string",
     "source_files": (
         "file_name string, delivery_date date, data_date date, checksum string, first_loaded_at timestamp, "
-        "last_loaded_at timestamp, load_count int, load_ids array<string>, header array<string>"
+        "last_loaded_at timestamp, load_count int, load_ids array<string>, header array<string>, "
+        "length bigint, modified bigint"
     ),
     "events": (
         "ref_no string, event_time timestamp_ntz, event_date date, event_type string, run_hours_seconds bigint, "
@@ -68,18 +74,17 @@ SCHEMAS = {
 VERSIONED = ["branches", "machines", "drivers", "source_files"]
 
 
-def _local(path: str) -> str | None:
-    if path.startswith("file:"):
-        return re.sub(r"^file:/*", "/", path)
-    if "://" in path:
-        return None
-    return path
+class CommitConflict(RuntimeError):
+    """Another run committed first; nothing of this one is visible."""
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    """``branch_prefix``: the company name that files put before branch names (C3), if any."""
+
+    def __init__(self, spark: SparkSession, root: str, branch_prefix: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.branch_prefix = branch_prefix
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -90,25 +95,36 @@ class Store:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def versions(self, table: str) -> list[int]:
-        fs, p = self._jvm_fs(self.path(table))
+    def manifest(self) -> tuple[int, dict[str, str]]:
+        """The last commit: its number (0: none yet) and the current version of each small table."""
+        fs, p = self._jvm_fs(self.path("_manifest"))
         if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            m = re.fullmatch(r"v=(\d+)", st.getPath().getName())
-            if m and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def current_version(self, table: str) -> int | None:
-        v = self.versions(table)
-        return v[-1] if v else None
-
-    def read(self, table: str) -> DataFrame:
+            return 0, {}
+        n = max((int(st.getPath().getName()) for st in fs.listStatus(p) if st.getPath().getName().isdigit()), default=0)
+        if not n:
+            return 0, {}
+        rows = self.spark.read.text(f"{self.path('_manifest')}/{n}", wholetext=True).first()
+        return n, json.loads(rows[0])
+
+    def commit(self, base: int, versions: dict[str, str]) -> int:
+        """Make ``versions`` current if nothing was committed since manifest ``base`` was read."""
+        now, held = self.manifest()
+        if now != base:
+            raise CommitConflict(f"commit {base + 1} is taken: read {base}, now {now}")
+        fs, p = self._jvm_fs(f"{self.path('_manifest')}/{base + 1}")
+        try:
+            out = fs.create(p, False)
+        except Exception as e:
+            raise CommitConflict(f"commit {base + 1} is taken") from e
+        out.write(bytearray(json.dumps({**held, **versions}, sort_keys=True).encode()))
+        out.close()
+        return base + 1
+
+    def read(self, table: str, versions: dict[str, str] | None = None) -> DataFrame:
+        """A table; a small one as of ``versions`` (default: the last commit)."""
         schema = SCHEMAS[table]
         if table in VERSIONED:
-            v = self.current_version(table)
+            v = (self.manifest()[1] if versions is None else versions).get(table)
             if v is None:
                 return self.spark.createDataFrame([], schema)
             return self.spark.read.schema(schema).parquet(f"{self.path(table)}/v={v}")
@@ -117,10 +133,11 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path(table))
 
-    def write_version(self, table: str, df: DataFrame) -> int:
-        v = (self.current_version(table) or 0) + 1
+    def write_version(self, table: str, df: DataFrame) -> str:
+        """Write a version of a small table; it is current once a commit names it."""
+        v = uuid.uuid4().hex
         cols = [f.name for f in T._parse_datatype_string(SCHEMAS[table]).fields]
-        df.select(*cols).coalesce(1).write.mode("error").parquet(f"{self.path(table)}/v={v}")
+        df.select(*cols).write.mode("error").parquet(f"{self.path(table)}/v={v}")
         return v
 
     def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
@@ -132,22 +149,24 @@ class Store:
 
     # ------------------------------------------------------------ committed view
     def tables(self) -> Tables:
-        sf = self.read("source_files")
+        number, versions = self.manifest()
+        sf = self.read("source_files", versions)
         committed = sf.select("file_name", F.explode("load_ids").alias("load_id"))
         events = self.read("events").join(committed, ["file_name", "load_id"], "left_semi")
         rejected = self.read("rejected_rows").join(committed, ["file_name", "load_id"], "left_semi")
         return Tables(
             interval_days=self._committed_rollup(committed, "interval_days"),
             event_days=self._committed_rollup(committed, "event_days"),
-            branches=self.read("branches"),
-            machines=self.read("machines"),
-            drivers=self.read("drivers"),
+            branches=self.read("branches", versions),
+            machines=self.read("machines", versions),
+            drivers=self.read("drivers", versions),
             event_types=event_types_df(self.spark),
             source_files=sf,
             events=events,
             ingestion_runs=self.read("ingestion_runs"),
             rejected_rows=rejected,
             pipeline_runs=self.read("pipeline_runs"),
+            extra={"manifest": number},
         )
 
     def _committed_rollup(self, committed: DataFrame, table: str) -> DataFrame | None:
@@ -163,10 +182,6 @@ class Store:
         )
         return rd.join(latest, ["event_date", "rollup_load_id"], "left_semi")
 
-    def exists(self) -> bool:
-        loc = _local(self.root)
-        return os.path.isdir(loc) if loc else True
-
 
 def write_rollup(store: Store, committed_events: DataFrame, new_events: DataFrame, load_id: str) -> None:
     """Append the interval and event rollups of every date ``new_events`` touches, under ``load_id``
@@ -185,13 +200,13 @@ def write_rollup(store: Store, committed_events: DataFrame, new_events: DataFram
     rolled_at = F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
     for table, roll in (("interval_days", interval_rollup(run_intervals(base))), ("event_days", event_rollup(base))):
         roll = roll.withColumn("rollup_load_id", F.lit(load_id)).withColumn("rolled_at", rolled_at)
-        store.append(table, roll, partition_by=["event_date"])
+        store.append(table, roll, partition_by=["event_date", "rollup_load_id"])
 
 
 def materialize(store: Store, t: Tables, load_id: str = "initial") -> None:
     """Write a whole Tables bundle (e.g. the test-table facade) as one committed load."""
-    spark = store.spark
     now = F.current_timestamp()
+    base = store.manifest()[0]
     store.append("events", t.events.withColumn("loaded_at", now).withColumn("load_id", F.lit(load_id)), ["event_date"])
     write_rollup(store, store.tables().events, store.spark.read.schema(SCHEMAS["events"]).parquet(store.path("events"))
                  .where(F.col("load_id") == load_id), load_id)
@@ -201,9 +216,6 @@ def materialize(store: Store, t: Tables, load_id: str = "initial") -> None:
         store.append("ingestion_runs", t.ingestion_runs.select(
             *[F.col(c).cast("timestamp") if c in ("started_at", "finished_at") else F.col(c) for c in t.ingestion_runs.columns]
         ))
-    store.write_version("branches", t.branches)
-    store.write_version("machines", t.machines.withColumn("updated_at", now))
-    store.write_version("drivers", t.drivers)
     sf = t.source_files.select(
         "file_name", "delivery_date", "data_date", "checksum",
         F.col("first_loaded_at").cast("timestamp").alias("first_loaded_at"),
@@ -211,6 +223,36 @@ def materialize(store: Store, t: Tables, load_id: str = "initial") -> None:
         F.col("load_count").cast("int").alias("load_count"),
         F.array(F.lit(load_id)).alias("load_ids"),
         F.lit(None).cast("array<string>").alias("header"),
+        F.lit(None).cast("bigint").alias("length"),
+        F.lit(None).cast("bigint").alias("modified"),
     )
-    store.write_version("source_files", sf)  # the commit
-    del spark
+    store.commit(base, {
+        "branches": store.write_version("branches", t.branches),
+        "machines": store.write_version("machines", t.machines.withColumn("updated_at", now)),
+        "drivers": store.write_version("drivers", t.drivers),
+        "source_files": store.write_version("source_files", sf),
+    })
+
+
+def compact_rollups(store: Store) -> int:
+    """Delete the folders of superseded rollups and return how many there were.
+
+    A rollup lies in a folder of its date and load.  The newest committed one of each date stays, and so does
+    every folder whose load is not committed (it may be running).  Readers that began before a newer commit may
+    still hold an older folder, so run this when no such reader is left."""
+    t = store.tables()
+    committed = {r[0] for r in t.source_files.select(F.explode("load_ids")).distinct().collect()}  # one value a load
+    gone = 0
+    for table, df in (("interval_days", t.interval_days), ("event_days", t.event_days)):
+        if df is None:
+            continue
+        newest = {(str(r[0]), r[1]) for r in df.select("event_date", "rollup_load_id").distinct().collect()}  # one row a date
+        fs, root = store._jvm_fs(store.path(table))
+        for day in fs.listStatus(root):
+            date = day.getPath().getName().partition("event_date=")[2]
+            for load in fs.listStatus(day.getPath()) if date else []:
+                load_id = load.getPath().getName().partition("rollup_load_id=")[2]
+                if load_id in committed and (date, load_id) not in newest:
+                    fs.delete(load.getPath(), True)
+                    gone += 1
+    return gone

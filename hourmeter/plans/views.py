@@ -23,12 +23,12 @@ VIEW_NAMES = [
 
 def register_views(spark: SparkSession, t: Tables) -> list[str]:
     """Register the views over ``t``; Catalyst plans SQL on them like any DataFrame."""
-    iv = IV.run_intervals(t.events)
     views = {
         "v_events": V.v_events(t),
-        "v_run_intervals": iv,
-        "v_machine_daily_hours": IV.machine_daily_hours(t, iv),
-        "v_driver_daily_hours": IV.driver_daily_hours(t, iv),
+        "v_run_intervals": IV.run_intervals(t.events),
+        # from the stored rollups where there are some
+        "v_machine_daily_hours": IV.machine_daily_hours(t),
+        "v_driver_daily_hours": IV.driver_daily_hours(t),
         "v_event_counts": V.event_counts(t),
         "v_available_days": V.available_days(t),
     }

@@ -44,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="hourmeter-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:
@@ -57,10 +59,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage-cutting tables (never a machine-local temp dir on a cluster)."""
     return ensure_checkpoint_dir(spark)
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

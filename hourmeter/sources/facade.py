@@ -6,7 +6,7 @@ grows with the scale factor:
 
   branch   <- region            (branch_id = r_regionkey + 1, name = normalised r_name)
   machine  <- customer          (ref_no = 'M' + zero-padded c_custkey, home branch via nation)
-  driver   <- supplier 1..9     (events with k % 10 = 0 have no driver)
+  driver   <- supplier          (every supplier; events with k % 10 = 0 have no driver)
   reading  <- events            (time truncated to the second, counter = running sum of
                                  round(value * 100) per machine, wrapping at 50,000 = a reset)
 
@@ -45,7 +45,7 @@ ACTIVITY_EVENT_TYPE = [
     ("error", 1, "IMPACT"),
 ]
 COUNTER_WRAP = 50000
-DRIVER_MODULUS = 10
+NO_DRIVER_EVERY = 10
 OTHER_BRANCH_EVERY = 20
 REGION_COUNT = 5
 
@@ -84,7 +84,6 @@ def facade_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def facade_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier")
-    s = s.where((F.col("s_suppkey") >= 1) & (F.col("s_suppkey") < DRIVER_MODULUS))
     first = F.regexp_extract("s_name", r"^([^#]*)", 1)
     sur = F.regexp_extract("s_name", r"#0*(\d+)$", 1)
     d = X.normalise_driver(first, sur)
@@ -142,9 +141,14 @@ def facade_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def facade_events(spark: SparkSession, sf_dir: str, machines: DataFrame, drivers: DataFrame) -> DataFrame:
     r = facade_readings(spark, sf_dir)
     m = machines.select(F.col("_machine_id").alias("user_id"), "home_branch_id")
-    # drivers is a filtered 9-row slice of supplier: bounded, broadcast is safe
-    d = F.broadcast(drivers.select("_driver_no", "driver_key"))
-    j = r.join(m, "user_id").join(d, F.pmod(r.k, F.lit(DRIVER_MODULUS)) == d._driver_no, "left")
+    d = drivers.select("_driver_no", "driver_key")
+    # drivers are dealt over all suppliers; the one-row aggregate tells how many there are
+    n = drivers.agg(F.min("_driver_no").alias("_first"), (F.max("_driver_no") - F.min("_driver_no") + 1).alias("_n"))
+    r = r.crossJoin(F.broadcast(n)).withColumn(
+        "_driver_no",
+        F.when(F.pmod("k", F.lit(NO_DRIVER_EVERY)) != 0, F.pmod(F.col("event_id") * 7 + F.col("k"), F.col("_n")) + F.col("_first")),
+    )
+    j = r.join(m, "user_id").join(d, "_driver_no", "left")
     branch = F.when(
         F.pmod(F.col("event_id"), F.lit(OTHER_BRANCH_EVERY)) == 0, F.pmod(F.col("k"), F.lit(REGION_COUNT)) + 1
     ).otherwise(F.col("home_branch_id"))
@@ -211,8 +215,13 @@ DEFECTS = [
     (43, "spaced_ref"),
     (41, "late_time"),
 ]
+# --- Fixed values: the days of a month whose file is not as it should be, in the folder with gaps
+EMPTY_FILE_DAYS = [7]  # delivered without a byte
+BROKEN_FILE_DAYS = [11, 22]  # delivered with a header that lacks the required columns
+UNDELIVERED_DAYS = [13, 26]
+BROKEN_HEADER = "Foo,Bar"
 CSV_HEADER = "DateAndTime,RefNo.,BranchName,TxFlagStrings,RunHours,DriverName,DriverSurname"
-BRANCH_PREFIX_TEXT = "Ridgeback "
+BRANCH_PREFIX = "acme"  # the company name that the rendered files put before branch names
 
 
 def facade_raw_lines(spark: SparkSession, sf_dir: str, t: Tables | None = None) -> DataFrame:
@@ -223,9 +232,7 @@ def facade_raw_lines(spark: SparkSession, sf_dir: str, t: Tables | None = None)
     """
     t = t or facade_tables(spark, sf_dir)
     e = t.events
-    d = F.broadcast(
-        facade_drivers(spark, sf_dir).select("driver_key", F.col("first_name").alias("d_first"), F.col("surname").alias("d_sur"))
-    )  # 9 rows at most
+    d = facade_drivers(spark, sf_dir).select("driver_key", F.col("first_name").alias("d_first"), F.col("surname").alias("d_sur"))
     b = t.branches.select(F.col("branch_id").alias("event_branch_id"), F.col("name").alias("b_name"))
     et = F.broadcast(t.event_types.select(F.col("code").alias("event_type"), F.col("label").alias("t_label")))
     j = e.join(b, "event_branch_id").join(et, "event_type").join(d, "driver_key", "left")
@@ -250,8 +257,8 @@ def facade_raw_lines(spark: SparkSession, sf_dir: str, t: Tables | None = None)
         .when(dk == "spaced_ref", F.concat(F.lit(" "), F.lower("ref_no"), F.lit(" ")))
         .otherwise(F.col("ref_no"))
     )
-    branch_txt = F.when(dk == "upper_branch", F.concat(F.lit("RIDGEBACK  "), F.upper("b_name"))).otherwise(
-        F.concat(F.lit(BRANCH_PREFIX_TEXT), F.col("b_name"))
+    branch_txt = F.when(dk == "upper_branch", F.concat(F.lit(BRANCH_PREFIX.upper() + "  "), F.upper("b_name"))).otherwise(
+        F.concat(F.lit(BRANCH_PREFIX.title() + " "), F.col("b_name"))
     )
     type_txt = F.when(dk == "unknown_type", F.lit("Teleport")).otherwise(F.col("t_label"))
     rh_txt = F.when(dk == "negative_run_hours", F.lit("-5")).otherwise(F.col("run_hours_seconds").cast("string"))
@@ -274,6 +281,26 @@ def facade_raw_lines(spark: SparkSession, sf_dir: str, t: Tables | None = None)
     return headers.unionByName(body)
 
 
+def data_day_of_month(file_name="file_name") -> F.Column:
+    return F.day(F.date_sub(F.to_date(F.substring(file_name, 1, 10)), 1))
+
+
+def facade_lines_with_gaps(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same folder after a bad month: (lines, delivered file names).  Some days' files were not delivered,
+    some are empty, and some have a useless header; all other lines stay."""
+    day = data_day_of_month()
+    delivered = lines.where(~day.isin(UNDELIVERED_DAYS))
+    names = delivered.select("file_name").distinct()
+    text = F.when(day.isin(BROKEN_FILE_DAYS) & (F.col("line_no") == 1), F.lit(BROKEN_HEADER)).otherwise(F.col("raw_line"))
+    return delivered.where(~day.isin(EMPTY_FILE_DAYS)).withColumn("raw_line", text), names
+
+
+def facade_with_gaps(t: Tables) -> Tables:
+    """The tables whose registry knows the files that such a folder loads."""
+    lost = [*EMPTY_FILE_DAYS, *BROKEN_FILE_DAYS, *UNDELIVERED_DAYS]
+    return t.with_(source_files=t.source_files.where(~data_day_of_month().isin(lost)))
+
+
 def facade_machine_index(t: Tables) -> DataFrame:
     """The machine list as the cleaning rules see it: (ref_no, branch, machine_type)."""
     return t.machines.join(
@@ -287,7 +314,7 @@ MACHINE_LIST_FILE = "machine_list.csv"
 STALE_COPY_EVERY = 13  # an earlier line with an outdated type and branch: the later line must win
 BLANK_REF_EVERY = 17  # an extra line with a blank reference: skipped
 SPACED_REF_EVERY = 7  # " m000007 ": trimmed and upper-cased
-UPPER_BRANCH_EVERY = 11  # "RIDGEBACK  NORTHGATE": prefix dropped, title case
+UPPER_BRANCH_EVERY = 11  # "ACME  HILLSIDE": prefix dropped, title case
 BARE_BRANCH_EVERY = 3  # branch written without the company prefix
 PADDED_TYPE_EVERY = 5  # "Forklift  ": whitespace collapsed
 
@@ -309,19 +336,19 @@ def facade_machine_list_lines(spark: SparkSession, sf_dir: str, t: Tables | None
 
     ref_txt = F.when(every(SPACED_REF_EVERY), F.concat(F.lit(" "), F.lower("ref_no"), F.lit(" "))).otherwise(F.col("ref_no"))
     branch_txt = (
-        F.when(every(UPPER_BRANCH_EVERY), F.concat(F.lit("RIDGEBACK  "), F.upper("b_name")))
+        F.when(every(UPPER_BRANCH_EVERY), F.concat(F.lit(BRANCH_PREFIX.upper() + "  "), F.upper("b_name")))
         .when(every(BARE_BRANCH_EVERY), F.col("b_name"))
-        .otherwise(F.concat(F.lit(BRANCH_PREFIX_TEXT), F.col("b_name")))
+        .otherwise(F.concat(F.lit(BRANCH_PREFIX.title() + " "), F.col("b_name")))
     )
     type_txt = F.when(every(PADDED_TYPE_EVERY), F.concat(F.col("machine_type"), F.lit("  "))).otherwise(F.col("machine_type"))
     stale_type = F.when(F.col("machine_type") == "PPT", F.lit("Forklift")).otherwise(F.lit("PPT"))
     lines = F.array(
         F.struct(F.lit(4).alias("slot"), F.concat_ws(",", type_txt, ref_txt, branch_txt).alias("raw_line")),
         F.when(every(STALE_COPY_EVERY), F.struct(
-            F.lit(2).alias("slot"), F.concat_ws(",", stale_type, F.col("ref_no"), F.lit("Ridgeback Old Yard")).alias("raw_line")
+            F.lit(2).alias("slot"), F.concat_ws(",", stale_type, F.col("ref_no"), F.lit("Acme Old Yard")).alias("raw_line")
         )),
         F.when(every(BLANK_REF_EVERY), F.struct(
-            F.lit(3).alias("slot"), F.concat_ws(",", F.col("machine_type"), F.lit(""), F.lit("Ridgeback Nowhere")).alias("raw_line")
+            F.lit(3).alias("slot"), F.concat_ws(",", F.col("machine_type"), F.lit(""), F.lit("Acme Nowhere")).alias("raw_line")
         )),
     )
     body = m.select(mid, F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("l")).select(

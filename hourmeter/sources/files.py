@@ -10,6 +10,8 @@ belong to such records; everything else stays a one-line record.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,38 +24,43 @@ _TOKEN = r'("(?:[^"]++|"")*+"?|[^",]++|,)'
 _QUOTED_BODY = r'^"((?:[^"]++|"")*+)"?$'
 
 
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The files right in ``folder``, from the file system's listing: (file_name, path, length, modified).
+
+    A listing holds what the readers skip as well: files without a byte.  It is file metadata, one entry a
+    file; no content is read.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    rows = [
+        (st.getPath().getName(), st.getPath().toString(), st.getLen(), st.getModificationTime())
+        for st in (fs.listStatus(p) if fs.exists(p) else [])
+        if st.isFile()
+    ]
+    return spark.createDataFrame(rows, "file_name string, path string, length bigint, modified bigint")
+
+
 def list_daily_files(spark: SparkSession, folder: str, pattern: str = DAILY_FILE_PATTERN) -> DataFrame:
-    """A1: telemetry files in a folder (name matches the daily pattern), by name."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "false")
-        .load(folder)
-        .select("path", "length", "modificationTime")
-    )
-    return (
-        listing.withColumn("file_name", X.file_basename("path"))
-        .where(F.col("file_name").rlike(pattern))
-        .select("file_name", "path", "length", "modificationTime")
-    )
+    """A1: telemetry files in a folder (name matches the daily pattern), empty ones included."""
+    return list_files(spark, folder).where(F.col("file_name").rlike(pattern))
 
 
-def daily_files_of(spark: SparkSession, paths: list[str], pattern: str = DAILY_FILE_PATTERN) -> DataFrame:
-    """A1 for an explicit list of paths (same columns as ``list_daily_files``)."""
-    df = spark.createDataFrame([(p,) for p in paths], "path string")
-    return (
-        df.withColumn("file_name", X.file_basename("path"))
-        .where(F.col("file_name").rlike(pattern))
-        .select("file_name", "path", F.lit(None).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modificationTime"))
-    )
+def glob_escaped(path: str) -> str:
+    """A path that the readers take literally."""
+    return re.sub(r"([\\\[\]{}*?,])", r"\\\1", path)
 
 
 def read_lines(spark: SparkSession, paths) -> DataFrame:
     """Physical lines with exact line numbers: (file_name, file_path, block, line_no, line)."""
-    raw = spark.read.option("lineSep", "\n").text(paths)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not paths:
+        return spark.createDataFrame([], "file_name string, file_path string, block bigint, line_no bigint, line string")
+    raw = spark.read.option("lineSep", "\n").text([glob_escaped(p) for p in paths])
     scanned = raw.select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
+        F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("_mid"),
     )
@@ -158,90 +165,16 @@ def records_from_lines(lines: DataFrame) -> DataFrame:
     return recs.where(X.collapse("raw_line") != "").withColumn("fields", parse_fields(F.col("raw_line")))
 
 
-def _split_bytes(spark: SparkSession) -> int:
-    v = str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    for suf in ("kb", "mb", "gb", "k", "m", "g", "b"):
-        if v.endswith(suf):
-            return int(float(v[: -len(suf)]) * units.get(suf[0], 1))
-    return int(v)
-
-
-def read_whole_files(spark: SparkSession, paths) -> DataFrame:
-    """Lines of files read one file per row (for files no larger than one input split):
-    (file_name, file_path, block, line_no, line) with block = 0."""
-    whole = spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"), "value"
-    )
-    return whole.select(
-        "file_name", "file_path", F.lit(0).cast("bigint").alias("block"), F.posexplode(F.split("value", "\n", -1)).alias("pos", "line")
-    ).select("file_name", "file_path", "block", (F.col("pos") + 1).cast("bigint").alias("line_no"), "line")
-
-
-def _uri(p: str) -> str:
-    return p if ":" in p.split("/", 1)[0] else "file:" + p
-
-
-def plain_records(lines: DataFrame) -> DataFrame:
-    """Records of quote-free files: every non-blank line is one record (no shuffle)."""
-    line = F.when(F.col("line_no") == 1, F.regexp_replace("line", r"^\x{FEFF}", "")).otherwise(F.col("line"))
-    raw = F.regexp_replace(line, "\r", "")
-    return (
-        lines.select("file_name", "line_no", raw.alias("raw_line"))
-        .where(X.collapse("raw_line") != "")
-        .withColumn("fields", F.split("raw_line", ",", -1))
-    )
-
-
-def read_file_lines(spark: SparkSession, paths, whole_file_max_bytes: int | None = None) -> DataFrame:
-    """Numbered physical lines of many files: whole-file rows for files up to one input
-    split, block offsets for larger ones (columns as ``read_lines``)."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    limit = whole_file_max_bytes if whole_file_max_bytes is not None else _split_bytes(spark)
-    sizes = spark.read.format("binaryFile").load(paths).select("path", "length").collect()  # listing metadata
-    small = [r["path"] for r in sizes if r["length"] <= limit]
-    big = [r["path"] for r in sizes if r["length"] > limit]
-    parts = ([read_whole_files(spark, small)] if small else []) + ([read_lines(spark, big)] if big else [])
-    if not parts:
-        return spark.createDataFrame([], "file_name string, file_path string, block bigint, line_no bigint, line string")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def read_daily_csv(spark: SparkSession, paths, whole_file_max_bytes: int | None = None) -> DataFrame:
+def read_daily_csv(spark: SparkSession, paths) -> DataFrame:
     """A4 over files: (file_name, line_no, raw_line, fields).
 
-    Files up to ``whole_file_max_bytes`` (default: ``spark.sql.files.maxPartitionBytes``,
-    the size of one input split) are read one file per row and numbered by position,
-    with no shuffle; larger files are read by lines and numbered from block offsets.
-    Sizes come from the file listing (metadata only).
+    One reader for files of any size: lines are numbered from block offsets, and whether a record needs the
+    quoted parser is decided from its own text, so neither the records nor the fingerprints depend on a setting.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    limit = whole_file_max_bytes if whole_file_max_bytes is not None else _split_bytes(spark)
-    sizes = spark.read.format("binaryFile").load(paths).select("path", "length").collect()  # listing metadata
-    small = [r["path"] for r in sizes if r["length"] <= limit]
-    big = [r["path"] for r in sizes if r["length"] > limit]
-    parts = []
-    if small:
-        whole = spark.read.text(small, wholetext=True).select(F.col("_metadata.file_path").alias("p"), "value")
-        # which small files hold a quote at all (file paths only come back)
-        quoted = {r["p"] for r in whole.where(F.col("value").contains('"')).select("p").collect()}
-        plain = [p for p in small if p not in quoted and _uri(p) not in quoted]
-        fancy = [p for p in small if p in quoted or _uri(p) in quoted]
-        if plain:
-            parts.append(plain_records(read_whole_files(spark, plain)))
-        if fancy:
-            parts.append(records_from_lines(read_whole_files(spark, fancy)))
-    if big:
-        parts.append(records_from_lines(read_lines(spark, big)))
-    if not parts:
-        return spark.createDataFrame([], "file_name string, line_no bigint, raw_line string, fields array<string>")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def machine_index_from_records(records: DataFrame) -> DataFrame:
+    return records_from_lines(read_lines(spark, paths))
+
+
+def machine_index_from_records(records: DataFrame, branch_prefix: str = "") -> DataFrame:
     """A5 from parsed records: (ref_no, branch, machine_type), last duplicate wins.
 
     Columns are found by header name (first occurrence); blank refs are skipped.
@@ -263,13 +196,13 @@ def machine_index_from_records(records: DataFrame) -> DataFrame:
     rows = data.select(
         "line_no",
         X.normalise_ref(get("i_ref")).alias("ref_no"),
-        X.normalise_branch(get("i_branch")).alias("branch"),
+        X.normalise_branch(get("i_branch"), branch_prefix).alias("branch"),
         X.collapse(get("i_type")).alias("machine_type"),
     ).where(F.col("ref_no") != "")
     last = rows.groupBy("ref_no").agg(F.max_by(F.struct("branch", "machine_type"), "line_no").alias("m"))
     return last.select("ref_no", "m.branch", "m.machine_type")
 
 
-def read_machine_list(spark: SparkSession, path: str) -> DataFrame:
+def read_machine_list(spark: SparkSession, path: str, branch_prefix: str = "") -> DataFrame:
     """A5: the machine list CSV -> (ref_no, branch, machine_type)."""
-    return machine_index_from_records(read_daily_csv(spark, path))
+    return machine_index_from_records(read_daily_csv(spark, path), branch_prefix)

@@ -29,7 +29,8 @@ struct<
   summary: struct<rows_read: bigint, rows_clean: bigint, rows_rejected: bigint,
                   rejected_by_reason: map<string, bigint>, late_arrival_rows: bigint, branch_mismatch_rows: bigint>,
   machines: array<struct<ref_no: string, branch: string, machine_type: string>>,
-  run: struct<started_at: string, triggered_by: string>
+  run: struct<started_at: string, triggered_by: string>,
+  broken: string
 >
 """
 
@@ -40,10 +41,20 @@ class Payload:
     rows: DataFrame
     rejected: DataFrame
     machines: DataFrame
+    failures: DataFrame  # (value, error): documents that are not JSON of this shape, or name no file
 
 
 def explode_payload(docs: DataFrame, col: str = "value") -> Payload:
-    p = docs.select(F.from_json(F.col(col), PAYLOAD_SCHEMA).alias("p")).where(F.col("p").isNotNull())
+    parsed = docs.select(
+        F.col(col).alias("value"), F.from_json(F.col(col), PAYLOAD_SCHEMA, {"columnNameOfCorruptRecord": "broken"}).alias("p")
+    )
+    error = (
+        F.when(F.col("p").isNull() | F.col("p.broken").isNotNull(), F.lit("not a document of cleaned rows"))
+        .when(F.coalesce(F.col("p.file.file_name"), F.lit("")) == "", F.lit("document names no file"))
+    )
+    parsed = parsed.withColumn("error", error)
+    failures = parsed.where(F.col("error").isNotNull()).select("value", "error")
+    p = parsed.where(F.col("error").isNull()).select("p")
     files = p.select(
         F.col("p.file.file_name").alias("file_name"),
         F.to_date(F.nullif(F.col("p.file.delivery_date"), F.lit(""))).alias("delivery_date"),
@@ -66,7 +77,7 @@ def explode_payload(docs: DataFrame, col: str = "value") -> Payload:
     machines = base.select(F.inline_outer(F.coalesce("machines", F.array().cast(base.schema["machines"].dataType)))).where(
         F.col("ref_no").isNotNull()
     )
-    return Payload(files=files, rows=rows, rejected=rejected, machines=machines.distinct())
+    return Payload(files=files, rows=rows, rejected=rejected, machines=machines.distinct(), failures=failures)
 
 
 PAYLOAD_BLOCK_LINES = 1000

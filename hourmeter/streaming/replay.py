@@ -33,8 +33,11 @@ def replay_rejected(spark: SparkSession, store: Store, machine_list_path: str, r
     )
     hdr = hdr.join(rej.select("file_name").distinct(), "file_name", "left_semi")
     records = rej.withColumn("fields", FS.parse_fields(F.col("raw_line"))).unionByName(hdr)
-    ml = FS.read_machine_list(spark, machine_list_path).checkpoint()
-    c = clean_records(records, ml, event_types_df(spark), cut=lambda df: df.checkpoint())
+    ml = FS.read_machine_list(spark, machine_list_path, store.branch_prefix).checkpoint()
+    bad = L.bad_machine_types(ml)
+    if bad:
+        raise ValueError(bad)
+    c = clean_records(records, ml, event_types_df(spark), branch_prefix=store.branch_prefix, cut=lambda df: df.checkpoint())
     c.classified = c.classified.checkpoint()
     load_id = "replay-" + uuid.uuid4().hex
     now = L._now()
@@ -48,14 +51,16 @@ def replay_rejected(spark: SparkSession, store: Store, machine_list_path: str, r
     if touched.take(1):
         store.append("events", ev, partition_by=["event_date"])
         write_rollup(store, t.events, ev, load_id)
-        store.write_version("branches", branches)
-        store.write_version("machines", machines)
-        store.write_version("drivers", drivers)
         reg = t.source_files.join(touched.withColumn("_hit", F.lit(True)), "file_name", "left").withColumn(
             "load_ids",
             F.when(F.col("_hit"), F.concat("load_ids", F.array(F.lit(load_id)))).otherwise(F.col("load_ids")),
         ).drop("_hit")
-        store.write_version("source_files", reg)  # the commit
+        store.commit(t.extra["manifest"], {
+            "branches": store.write_version("branches", branches),
+            "machines": store.write_version("machines", machines),
+            "drivers": store.write_version("drivers", drivers),
+            "source_files": store.write_version("source_files", reg),
+        })
     loaded = ev.groupBy("file_name").agg(F.count("*").alias("rows_loaded"))
     return (
         c.summary.join(loaded, "file_name", "left")

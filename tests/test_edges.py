@@ -8,13 +8,30 @@ from .helpers import FILE, HDR, clean_texts
 
 
 def test_nbsp_in_fields(spark, write_files):
-    text = HDR + "\n" + "2026-09-07T06:00:00,\u00a0fba1\u00a0,Ridgeback\u00a0\u00a0Harbour,Impact\u00a0,100,Jo\u00a0,Smith\n"
+    text = HDR + "\n" + "2026-09-07T06:00:00,\u00a0qx70\u00a0,Acme\u00a0\u00a0Millpond,Impact\u00a0,100,Jo\u00a0,Smith\n"
     c = clean_texts(spark, write_files, {FILE: text})
     r = c.rows.first()
-    assert (r["ref_no"], r["reported_branch"], r["event_type"]) == ("FBA1", "Harbour", "IMPACT")
+    assert (r["ref_no"], r["reported_branch"], r["event_type"]) == ("QX70", "Millpond", "IMPACT")
     assert r["driver"]["driver_key"] == "jo smith"
 
 
+def test_fingerprint_and_lines_do_not_depend_on_the_split_size(spark, write_files):
+    from hourmeter.sources import files as FS
+
+    d = write_files({FILE: "\n".join(f"row {i},\u00e9" for i in range(500))}, sub="odd [name] 100% #1")
+    path = FS.list_daily_files(spark, d).first()["path"]
+    before, seen = spark.conf.get("spark.sql.files.maxPartitionBytes"), set()
+    try:
+        for size in ("128m", "1000", "77"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            lines = FS.read_lines(spark, [path])
+            numbers = sorted(r["line_no"] for r in lines.collect())
+            seen.add((FS.file_fingerprints(lines).first()["checksum"], tuple(numbers)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(seen) == 1 and next(iter(seen))[1] == tuple(range(1, 501))
+
+
 def test_no_carry_across_midnight(spark):
     ev = spark.createDataFrame(
         [

@@ -11,11 +11,11 @@ from .helpers import FILE, HDR, clean_texts
 
 TEXT = (
     HDR + "\n"
-    "2026-09-07T06:00:00,FBA1,Harbour,Impact,100,Anna,Smith\n"
-    "2026-09-07T06:10:00,FBA1,Harbour,Speeding,400,,\n"
-    "2026-09-07T06:10:00,FBA1,Harbour,Speeding,400,,\n"
-    "2026-09-07T06:20:00,ZZZ9,Harbour,Impact,500,,\n"
-    "2026-09-07T06:30:00,P2,Airport,Power Up,50,Bo,Li\n"
+    "2026-09-07T06:00:00,QX70,Millpond,Impact,100,Anna,Smith\n"
+    "2026-09-07T06:10:00,QX70,Millpond,Speeding,400,,\n"
+    "2026-09-07T06:10:00,QX70,Millpond,Speeding,400,,\n"
+    "2026-09-07T06:20:00,ZZZ9,Millpond,Impact,500,,\n"
+    "2026-09-07T06:30:00,T4,Quayside,Power Up,50,Bo,Li\n"
 )
 
 
@@ -42,11 +42,11 @@ def test_payload_documents_round_trip(spark, write_files):
 def test_machine_list_rules(spark, write_files):
     text = (
         "MachineType,BranchName,RefNo.\n"
-        "PPT,Ridgeback Old Yard,FBA1\n"  # stale line: the later one wins
-        "Forklift  ,RIDGEBACK  HARBOUR, fba1 \n"
-        "Reach Truck,Airport,\n"  # blank ref: skipped
-        "PPT,ridgeback north  gate,P2\n"
+        "PPT,Acme Old Yard,QX70\n"  # stale line: the later one wins
+        "Forklift  ,ACME  MILLPOND, qx70 \n"
+        "Reach Truck,Quayside,\n"  # blank ref: skipped
+        "PPT,acme north  gate,T4\n"
     )
     d = write_files({"machine_list.csv": text}, sub="ml2")
-    got = sorted(tuple(r) for r in FS.read_machine_list(spark, d + "/machine_list.csv").collect())
-    assert got == [("FBA1", "Harbour", "Forklift"), ("P2", "North Gate", "PPT")]
+    got = sorted(tuple(r) for r in FS.read_machine_list(spark, d + "/machine_list.csv", "acme").collect())
+    assert got == [("QX70", "Millpond", "Forklift"), ("T4", "North Gate", "PPT")]

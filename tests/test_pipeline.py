@@ -15,25 +15,25 @@ from hourmeter.plans.views import VIEW_NAMES, register_views
 from hourmeter.sources.payload import explode_payload
 from hourmeter.streaming.ingest import stream_ingest
 from hourmeter.streaming.replay import replay_rejected
-from tests.helpers import HDR
+from tests.helpers import HDR, PREFIX
 
-MACHINES = "RefNo.,BranchName,MachineType\nFBA1,Harbour,Forklift\nP2 ,Airport,PPT\n"
-MACHINES_FIXED = MACHINES + "R3,Northgate,Reach Truck\n"
+MACHINES = "RefNo.,BranchName,MachineType\nQX70,Millpond,Forklift\nT4 ,Quayside,PPT\n"
+MACHINES_FIXED = MACHINES + "W5,Hillside,Reach Truck\n"
 DAY1 = "\n".join(
     [
         HDR,
-        # the run-hours case: +1800 in 1800 s, a reset, +1800, +3150 in 600 s (capped)
-        "2026-09-07T08:00:00,FBA1,Ridgeback Harbour,Power Up,1000,Ashwin,Daniels",
-        "2026-09-07T08:30:00,FBA1,Ridgeback Harbour,Unit (Time/GPS) Update Level,2800,Ashwin,Daniels",
-        "2026-09-07T09:00:00,FBA1,Ridgeback Harbour,Impact,50,Ashwin,Daniels",
-        "2026-09-07T09:30:00,FBA1,Ridgeback Airport,Speeding,1850,,",
-        "2026-09-07T09:40:00,FBA1,Ridgeback Airport,Harsh Braking,5000,,",
-        "2026-09-07T10:00:00,R3,Ridgeback Northgate,Impact,100,Jo,Smith",
-        "2026-09-07T10:30:00,R3,Ridgeback Northgate,Impact,400,Jo,Smith",
-        "2026-09-07T11:00:00,P2,Ridgeback Airport,Excess Idle,10,,",
+        # steps of QX70: +900 in 1200 s, a reset, +600 in 600 s, +5000 in 900 s (capped to 900)
+        "2026-09-07T13:00:00,QX70,Acme Millpond,Power Up,2000,Lena,Vos",
+        "2026-09-07T13:20:00,QX70,Acme Millpond,Unit (Time/GPS) Update Level,2900,Lena,Vos",
+        "2026-09-07T13:40:00,QX70,Acme Millpond,Impact,10,Lena,Vos",
+        "2026-09-07T13:50:00,QX70,Acme Quayside,Speeding,610,,",
+        "2026-09-07T14:05:00,QX70,Acme Quayside,Harsh Braking,5610,,",
+        "2026-09-07T15:00:00,W5,Acme Hillside,Impact,30,Bo,Lund",
+        "2026-09-07T15:10:00,W5,Acme Hillside,Impact,330,Bo,Lund",
+        "2026-09-07T16:00:00,T4,Acme Quayside,Excess Idle,7,,",
     ]
 ) + "\n"
-DAY2 = HDR + "\n2026-09-08T08:00:00,P2,Ridgeback Airport,Power Up,20,Jo,Smith\n2026-09-08T08:15:00,P2,Ridgeback Airport,Impact,920,Jo,Smith\n"
+DAY2 = HDR + "\n2026-09-08T20:00:00,T4,Acme Quayside,Power Up,40,Bo,Lund\n2026-09-08T20:30:00,T4,Acme Quayside,Impact,1840,Bo,Lund\n"
 F1 = "2026-09-08_DailyTelemetryData.csv"
 F2 = "2026-09-09_DailyTelemetryData.csv"
 
@@ -47,7 +47,7 @@ def loaded(spark, tmp_path_factory):
     (root / "ml").mkdir()
     ml = root / "ml" / "machine_list.csv"
     ml.write_text(MACHINES)
-    store = Store(spark, str(root / "wh"))
+    store = Store(spark, str(root / "wh"), PREFIX)
     q = stream_ingest(spark, store, str(inc), str(ml), str(root / "ckpt"))
     q.awaitTermination(600)
     (inc / F2).write_text(DAY2)
@@ -69,13 +69,12 @@ def test_run_hours_reset_and_cap(spark, loaded):
     store, _, _ = loaded
     t = store.tables()
     d = {(r["ref_no"], str(r["event_date"])): r for r in IV.machine_daily_hours(t).collect()}
-    fba = d[("FBA1", "2026-09-07")]
-    assert (fba["run_seconds"], fba["counter_resets"], fba["capped_intervals"]) == (4200, 1, 1)
-    assert fba["run_hours"] == 1.17 and fba["operating_branch"] == "Airport"  # 2-2 tie: lowest branch id
-    assert d[("P2", "2026-09-08")]["run_seconds"] == 900
-    assert ("P2", "2026-09-07") not in d  # a single reading has no interval
-    rec = QL.reconcile_run_hours(t).collect()
-    assert [(r["ref_no"], r["js_seconds"], r["view_seconds"]) for r in rec] == [("P2", 0, None)]
+    qx = d[("QX70", "2026-09-07")]
+    assert (qx["run_seconds"], qx["counter_resets"], qx["capped_intervals"]) == (2400, 1, 1)
+    assert qx["run_hours"] == 0.67 and qx["operating_branch"] == "Millpond"  # 2-2 tie: lowest branch id
+    assert d[("T4", "2026-09-08")]["run_seconds"] == 1800
+    assert ("T4", "2026-09-07") not in d  # a single reading has no interval
+    assert QL.reconcile_run_hours(t).collect() == []  # the two methods agree, single readings included
 
 
 def test_sql_views(spark, loaded):
@@ -83,9 +82,9 @@ def test_sql_views(spark, loaded):
     names = register_views(spark, store.tables())
     assert names == VIEW_NAMES
     r = spark.sql("select sum(run_seconds) s from v_machine_daily_hours").first()
-    assert r["s"] == 4200 + 900
+    assert r["s"] == 2400 + 1800
     r = spark.sql("select driver_name, run_hours from v_driver_daily_hours where event_date = date'2026-09-07' order by 1").collect()
-    assert [(x[0], x[1]) for x in r] == [("Ashwin Daniels", 0.5), ("No driver logged on", 0.67)]
+    assert [(x[0], x[1]) for x in r] == [("Lena Vos", 0.25), ("No driver logged on", 0.42)]
 
 
 def test_dashboard_document(spark, loaded):
@@ -96,9 +95,9 @@ def test_dashboard_document(spark, loaded):
     assert doc["period"] == {"from": "2026-09-07", "to": "2026-09-08"}
     k = doc["kpis"]
     assert k["total_machines"] == 2 and k["active_machines"] == 2 and k["active_drivers"] == 2
-    assert k["safety_events"] == 5 and k["impacts"] == 2 and k["run_hours"] == 1.4
-    assert [m["ref_no"] for m in doc["machine_hours"]][0] == "FBA1"
-    assert [d["driver_name"] for d in doc["top_drivers"]] == ["Ashwin Daniels", "Jo Smith"]
+    assert k["safety_events"] == 5 and k["impacts"] == 2 and k["run_hours"] == 1.2
+    assert [m["ref_no"] for m in doc["machine_hours"]][0] == "QX70"
+    assert [d["driver_name"] for d in doc["top_drivers"]] == ["Bo Lund", "Lena Vos"]
     assert doc["data_quality"]["events_without_driver"] == 3
     assert [f["file_name"] for f in doc["data_quality"]["files"]] == [F1, F2]
 
@@ -120,7 +119,7 @@ def test_replay_after_machine_list_fix(spark, loaded):
     fixed.write_text(MACHINES_FIXED)
     out = replay_rejected(spark, store, str(fixed), "machine_not_in_machine_list").collect()
     assert [(r["file_name"], r["rows_replayed"], r["rows_loaded"]) for r in out] == [(F1, 2, 2)]
-    assert store.tables().events.where("ref_no = 'R3'").count() == 2
+    assert store.tables().events.where("ref_no = 'W5'").count() == 2
     # a second replay finds the events already loaded
     out2 = replay_rejected(spark, store, str(fixed), "machine_not_in_machine_list").collect()
     assert out2[0]["rows_loaded"] == 0
@@ -130,28 +129,29 @@ def test_explode_payload(spark):
     doc = {
         "file": {"file_name": F1, "delivery_date": "2026-09-08", "data_date": "2026-09-07", "checksum": "abc"},
         "rows": [
-            {"ref_no": "FBA1", "event_time": "2026-09-07 06:00:00", "event_type": "IMPACT", "run_hours_seconds": 5,
-             "reported_branch": "Harbour", "driver": None, "source_line": 2, "is_late_arrival": False, "branch_mismatch": False}
+            {"ref_no": "QX70", "event_time": "2026-09-07 06:00:00", "event_type": "IMPACT", "run_hours_seconds": 5,
+             "reported_branch": "Millpond", "driver": None, "source_line": 2, "is_late_arrival": False, "branch_mismatch": False}
         ],
         "summary": {"rows_read": 1, "rows_clean": 1, "rows_rejected": 0, "rejected_by_reason": {}},
-        "machines": [{"ref_no": "FBA1", "branch": "Harbour", "machine_type": "Forklift"}],
+        "machines": [{"ref_no": "QX70", "branch": "Millpond", "machine_type": "Forklift"}],
         "run": {"started_at": "2026-09-08T04:00:00Z", "triggered_by": None},
     }
-    df = spark.createDataFrame([(json.dumps(doc),), ("not json",)], "value string")
+    df = spark.createDataFrame([(json.dumps(doc),), ("not json",), ("{bad json",)], "value string")
     p = explode_payload(df)
     assert p.rows.count() == 1 and p.rows.first()["driver"] is None
     assert p.rejected.count() == 0
     f = p.files.first()
     assert str(f["data_date"]) == "2026-09-07" and f["triggered_by"] == "schedule"
+    assert p.files.count() == 1 and [r["value"] for r in p.failures.collect()] == ["not json", "{bad json"]
 
 
 def test_clean_report(spark, loaded):
     _, ml, root = loaded
-    rep = RP.clean_report(spark, str(root / "incoming"), ml)
+    rep = RP.clean_report(spark, str(root / "incoming"), ml, PREFIX)
     totals = {r["event_type"]: r["events"] for r in rep.totals_by_type.collect()}
     assert totals["IMPACT"] == 2 and sum(totals.values()) == 8
     flagged = rep.flagged_machine_days.collect()
-    assert [(r["ref_no"], r["run_seconds"], r["counter_resets"], r["capped_intervals"]) for r in flagged] == [("FBA1", 4200, 1, 1)]
+    assert [(r["ref_no"], r["run_seconds"], r["counter_resets"], r["capped_intervals"]) for r in flagged] == [("QX70", 2400, 1, 1)]
     s = {r["file_name"]: r["rows_read"] for r in rep.summary.collect()}
     assert s == {F1: 8, F2: 2}
 
@@ -181,8 +181,8 @@ def test_stored_rollup_matches_events_and_ignores_uncommitted(spark, loaded):
     assert e3(t) == e3(from_events) == sorted(tuple(r) for r in V.event_counts(t, V.v_events(t)).collect())
     for f in (V.available_days, V.data_coverage):
         assert sorted(tuple(r) for r in f(t).collect()) == sorted(tuple(r) for r in f(from_events).collect())
-    assert any(r[2] == "R3" for r in e1(t))  # the replayed machine-day is in the stored rollup
+    assert any(r[2] == "W5" for r in e1(t))  # the replayed machine-day is in the stored rollup
     # a load that wrote its rollup and died before the commit: its rollup is never read
-    fake = t.events.where(F.col("ref_no") == "FBA1").withColumn("run_hours_seconds", F.col("run_hours_seconds") * 7)
+    fake = t.events.where(F.col("ref_no") == "QX70").withColumn("run_hours_seconds", F.col("run_hours_seconds") * 7)
     write_rollup(store, t.events.limit(0), fake, "died-before-commit")
     assert e1(store.tables()) == e1(from_events) and e3(store.tables()) == e3(from_events)
