@@ -14,12 +14,13 @@ Layout under ``root``:
 Commit protocol: a run reads manifest N, appends its fact and quarantine rows
 under a fresh ``load_id``, writes new versions of the small tables under names
 of its own, and last creates manifest N+1, which names a version of every small
-table.  Creating it fails if another run has committed N+1 meanwhile: that run
+table.  That fails if another run has committed N+1 meanwhile: the later run
 is rejected (``CommitConflict``) and nothing of it is ever visible, since every
 reader takes all small tables through one manifest and keeps only facts whose
-(file_name, load_id) the manifest's ``source_files`` lists.  The creation is
-exclusive where the file system's create without overwrite is (HDFS; object
-stores with conditional writes).
+(file_name, load_id) the manifest's ``source_files`` lists.  A manifest is
+written under another name and renamed without overwriting, which is exclusive
+where the file system's rename is (HDFS; an object store needs a file system
+layer with such a rename).
 
 Interval rollup: a load recomputes ``operators.intervals.interval_rollup`` for
 every date it adds events to (readings never carry across midnight, so a date
@@ -36,6 +37,7 @@ import datetime as _dt
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,13 +113,22 @@ class Store:
         now, held = self.manifest()
         if now != base:
             raise CommitConflict(f"commit {base + 1} is taken: read {base}, now {now}")
-        fs, p = self._jvm_fs(f"{self.path('_manifest')}/{base + 1}")
-        try:
-            out = fs.create(p, False)
-        except Exception as e:
-            raise CommitConflict(f"commit {base + 1} is taken") from e
+        # written whole under another name, then renamed: a commit appears complete or not at all
+        fs, draft = self._jvm_fs(f"{self.path('_manifest')}/.draft-{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
         out.write(bytearray(json.dumps({**held, **versions}, sort_keys=True).encode()))
         out.close()
+        jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
+        hadoop = jvm.org.apache.hadoop.fs
+        context = hadoop.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        target = hadoop.Path(f"{self.path('_manifest')}/{base + 1}")
+        try:
+            context.rename(fs.makeQualified(draft), fs.makeQualified(target), gateway.new_array(hadoop.Options.Rename, 0))
+        except Py4JJavaError as e:
+            fs.delete(draft, False)
+            if fs.exists(target):
+                raise CommitConflict(f"commit {base + 1} is taken") from e
+            raise
         return base + 1
 
     def read(self, table: str, versions: dict[str, str] | None = None) -> DataFrame:
