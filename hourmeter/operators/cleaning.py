@@ -186,8 +186,10 @@ def clean_records(
 
     # The first line of each (file, ref, time, type, run hours) key among rows that passed
     key = ["file_name", "ref_no", "event_time", "code", "rh_value"]
-    firsts = d.where(F.col("_r0").isNull()).groupBy(*key).agg(F.min("line_no").alias("_first_line"))
-    d = d.join(firsts, key, "left")
+    passed = d.where(F.col("_r0").isNull())
+    firsts = passed.groupBy(*key).agg(F.min("line_no").alias("_first_line"))
+    # rejected lines take no part in the join
+    d = passed.join(firsts, key).unionByName(d.where(F.col("_r0").isNotNull()).withColumn("_first_line", F.lit(None).cast("bigint")))
     is_dup = F.col("_r0").isNull() & (F.col("line_no") > F.col("_first_line"))
     d = d.withColumn("reason", F.when(is_dup, F.lit("duplicate_row_in_file")).otherwise(F.col("_r0"))).withColumn(
         "detail", F.when(is_dup, F.lit(None).cast("string")).otherwise(F.col("_d0"))

@@ -14,6 +14,7 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # checkpoints go when nothing refers to them
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
