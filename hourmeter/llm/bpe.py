@@ -25,6 +25,8 @@ import tiktoken.registry
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourmeter.llm import textkernel as TK
+
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 2_048
 _SAFE_CUT = r"(?<=\p{L})(?=[ \t\n\r.,;:!?])"
@@ -117,11 +119,11 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk_chars: int = CHUNK_CH
     executor can open, ``pattern`` splits a text into pre-tokens."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     long_text: Column = F.length("text") > chunk_chars
-    short = base.where(~long_text).mapInArrow(_short(path, pattern), "doc_id long, ids array<int>, decoded binary")
+    short = base.where(~long_text).mapInArrow(TK.tidied(_short(path, pattern)), "doc_id long, ids array<int>, decoded binary")
     cut = base.where(long_text).select("doc_id", F.unhex(F.md5("text")).alias("key"), "text")
-    pieces = cut.mapInArrow(_pieces(chunk_chars, overlap_chars), "doc_id long, key binary, piece int, n_pieces int, text string")
+    pieces = cut.mapInArrow(TK.tidied(_pieces(chunk_chars, overlap_chars)), "doc_id long, key binary, piece int, n_pieces int, text string")
     pieces = pieces.groupBy("doc_id", "key", "piece", "n_pieces", "text").agg(F.count(F.lit(1)).alias("copies"))
-    parts = pieces.mapInArrow(_encode_pieces(path, pattern, chunk_chars), "doc_id long, key binary, piece int, n_pieces int, text string, copies long, met boolean, ids array<int>, start long, stop long")
+    parts = pieces.mapInArrow(TK.tidied(_encode_pieces(path, pattern, chunk_chars)), "doc_id long, key binary, piece int, n_pieces int, text string, copies long, met boolean, ids array<int>, start long, stop long")
     whole = parts.groupBy("doc_id", "key").applyInArrow(_stitch(path, pattern), "doc_id long, copies long, ids array<int>, decoded binary")
     whole = whole.select("doc_id", "ids", "decoded", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
     return short.unionByName(whole)

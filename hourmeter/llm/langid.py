@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourmeter.llm import textkernel as TK
+
 ORDERS = (1, 2, 3)
 BINS = 1 << 14
 PER_LANGUAGE = 1_500
@@ -46,16 +48,11 @@ class Model:
     temperature: float
 
 
-def _codes(texts: list[str]) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
-    """For slices of texts: first and end text, each order's bin at every character, and character offsets.
+def _codes(column: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
+    """For slices of a text column, lower-cased: first and end text, each order's bin at every character, and character offsets.
     The last order - 1 positions of a text run over into the next; their bins are the number of all bins."""
-    i = 0
-    while i < len(texts):
-        j, size = i, 0
-        while j < len(texts) and (j == i or size + len(texts[j]) < SLICE_CHARS):
-            size += len(texts[j]) + 2
-            j += 1
-        own = [f" {t} " for t in texts[i:j]]
+    for i, j in TK.slices(TK.utf8(column)[1], SLICE_CHARS):
+        own = [f" {(t or '').lower()} " for t in column.slice(i, j - i).to_pylist()]
         off = np.zeros(len(own) + 1, np.int64)
         np.cumsum([len(t) for t in own], out=off[1:])
         c = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -71,18 +68,13 @@ def _codes(texts: list[str]) -> Iterator[tuple[int, int, list[np.ndarray], np.nd
                 code[np.maximum(off[1:] - t, 0)] = len(ORDERS) * BINS
             out.append(code)
         yield i, j, out, off
-        i = j
-
-
-def _lowered(col: pa.Array) -> list[str]:
-    return [(t or "").lower() for t in col.to_pylist()]
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = len(ORDERS) * BINS + 1
     seen, total, docs = np.zeros(size, bool), np.zeros(size, np.int64), 0
     for batch in batches:
-        for _, _, codes, off in _codes(_lowered(batch.column(0))):
+        for _, _, codes, off in _codes(batch.column(0)):
             for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
                 seen[:] = False
                 for code in codes:
@@ -95,7 +87,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bin", "n"])
 
 
-def _rows(texts: list[str], idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def _rows(texts: pa.Array, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     out = []
     for _, _, codes, off in _codes(texts):
         for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
@@ -157,7 +149,7 @@ def _fit(idf: np.ndarray, languages: list[str]):
         draw = table.column("draw").to_numpy()
         order = np.argsort(draw, kind="stable")
         label = np.array([languages.index(x) for x in table.column("lang").to_pylist()])
-        rows = _rows(_lowered(table.column("text").combine_chunks()), idf)
+        rows = _rows(TK.one_array(table.column("text")), idf)
         held = np.zeros(len(rows), bool)
         held[order[::5]] = len(rows) >= 50
         w, b = fit_rows(rows, label, len(languages), len(idf), order[~held[order]])
@@ -180,7 +172,7 @@ def train(spark: SparkSession, docs: DataFrame, usable: Column, per_language: in
         raise ValueError(f"over {MAX_LANGUAGES} languages")
     languages = sorted(sizes)
     dims = len(ORDERS) * BINS
-    counts = rows.select("text").mapInArrow(_document_counts, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+    counts = rows.select("text").mapInArrow(TK.tidied(_document_counts), "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
     df = np.zeros(dims + 1)
     for r in counts.collect():  # at most one row a bin
         df[r["bin"]] = r["n"]
@@ -207,7 +199,7 @@ def _predict(model: Model):
         for batch in batches:
             kept = [c for c in batch.schema.names if c != "_lid_text"]
             best, score = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for i, j, codes, off in _codes(_lowered(batch.column("_lid_text"))):
+            for i, j, codes, off in _codes(batch.column("_lid_text")):
                 total = np.zeros((j - i, w.shape[1]))
                 for code in codes:
                     for c in range(w.shape[1]):
@@ -225,7 +217,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     if model is None:
         return docs.withColumns({"_lid_lang": F.lit(UNKNOWN), "_lid_score": F.lit(0.0)})
     fields = T.StructType([*docs.schema.fields, T.StructField("_lid_lang", T.StringType()), T.StructField("_lid_score", T.DoubleType())])
-    out = docs.withColumn("_lid_text", text).mapInArrow(_predict(model), fields)
+    out = docs.withColumn("_lid_text", text).mapInArrow(TK.tidied(_predict(model)), fields)
     letters = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     return out.withColumns({"_lid_lang": F.when(letters, F.col("_lid_lang")).otherwise(UNKNOWN), "_lid_score": F.when(letters, F.col("_lid_score")).otherwise(0.0)})
 

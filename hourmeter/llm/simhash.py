@@ -186,13 +186,13 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             fp = text_fingerprints(batch.column(1), shingle)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(TK.tidied(run), "doc_id long, fp long")
 
 
 def fingerprint_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     """Links (src, dst) that span each cell's groups of fingerprints within ``max_bits``; ``fps`` has distinct fp."""
-    cells = fps.select("fp").mapInArrow(_cells(max_bits), "cell long, fp long")
-    return cells.repartition("cell").sortWithinPartitions("cell", "fp").mapInArrow(_links(max_bits), "src long, dst long").distinct()
+    cells = fps.select("fp").mapInArrow(TK.tidied(_cells(max_bits)), "cell long, fp long")
+    return cells.repartition("cell").sortWithinPartitions("cell", "fp").mapInArrow(TK.tidied(_links(max_bits)), "src long, dst long").distinct()
 
 
 def simhash_groups(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:

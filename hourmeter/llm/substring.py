@@ -211,16 +211,19 @@ def _removed(n: int, full: bool, words: list[int], masks: list[int], window: int
 
 
 def _apply(window: int):
+    kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_text": pa.string(), "spans": pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "kept_text", "spans")}
-            full, words, masks = (batch.column(c).to_pylist() for c in ("_ss_full", "_ss_words", "_ss_masks"))
+            names = [c for c in batch.schema.names if not c.startswith("_ss_")]
             for i, j, buf, off in TK.text_slices(batch.column("_ss_text")):
+                out: dict[str, list] = {c: [] for c in kinds}
+                full, words, masks = (batch.column(c).slice(i, j - i).to_pylist() for c in ("_ss_full", "_ss_words", "_ss_masks"))
                 start, end, first = TK.words(buf, off)
                 joined, pos = TK.joined(buf, start, end)
                 raw = joined.tobytes()
-                for k in range(i, j):
-                    a, b = int(first[k - i]), int(first[k - i + 1])
+                for k in range(j - i):
+                    a, b = int(first[k]), int(first[k + 1])
                     gone = _removed(b - a, bool(full[k]), words[k] or [], masks[k] or [], window)
                     edge = np.flatnonzero(np.diff(np.r_[False, gone, False]))
                     spans = list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
@@ -233,10 +236,8 @@ def _apply(window: int):
                     out["n_removed"].append(int(gone.sum()))
                     out["kept_text"].append(b" ".join(keep).decode())
                     out["spans"].append([{"first": x, "words": y - x} for x, y in spans])
-            kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_text": pa.string(), "spans": pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))}
-            left = [batch.column(c) for c in batch.schema.names if not c.startswith("_ss_")]
-            names = [c for c in batch.schema.names if not c.startswith("_ss_")]
-            yield pa.RecordBatch.from_arrays([*left, *(pa.array(out[c], kinds[c]) for c in kinds)], [*names, *(f"_sub_{c}" for c in kinds)])
+                own = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*(own.column(c) for c in names), *(pa.array(out[c], kinds[c]) for c in kinds)], [*names, *(f"_sub_{c}" for c in kinds)])
 
     return run
 
@@ -250,7 +251,7 @@ def repeat_starts(spark: SparkSession, docs: DataFrame, window: int = WINDOW, ma
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     keyed = base.select("doc_id", F.unhex(F.md5("text")).alias("text_key"), "text")
 
-    census = base.mapInArrow(_census(window), "gram long, doc_id long")
+    census = base.mapInArrow(TK.tidied(_census(window)), "gram long, doc_id long")
     shared = census.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("gram")
     wanted = saved(spark, census.join(shared, "gram").groupBy("doc_id").agg(F.collect_list("gram").alias("grams")), "substring-census")
 
@@ -260,7 +261,7 @@ def repeat_starts(spark: SparkSession, docs: DataFrame, window: int = WINDOW, ma
 
     todo = wanted.join(ids.distinct(), "doc_id").join(copies, ["doc_id", "text_key"], "left_anti")
     distinct = keyed.join(todo, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "grams")
-    found = distinct.mapInArrow(_contexts(window), "doc_id long, text_key binary, word long, anchor int, context binary, prefix binary")
+    found = distinct.mapInArrow(TK.tidied(_contexts(window)), "doc_id long, text_key binary, word long, anchor int, context binary, prefix binary")
     found = saved(spark, found.withColumn("leaf", F.unhex(F.md5("context"))), "substring-contexts")
 
     leaves = found.groupBy("leaf", "anchor", "context", "prefix").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
@@ -268,7 +269,7 @@ def repeat_starts(spark: SparkSession, docs: DataFrame, window: int = WINDOW, ma
     heavy = leaves.groupBy("prefix").count().where(F.col("count") > max_leaves).select("prefix")
     heavy = saved(spark, heavy, "substring-heavy")
     light = leaves.join(heavy, "prefix", "left_anti").repartitionByRange("prefix").sortWithinPartitions("prefix")
-    nodes = light.select("prefix", "anchor", "leaf", "context", "first_id", "last_id").mapInArrow(_subtrees(window), "leaf binary, first_ids array<long>")
+    nodes = light.select("prefix", "anchor", "leaf", "context", "first_id", "last_id").mapInArrow(TK.tidied(_subtrees(window)), "leaf binary, first_ids array<long>")
     if not heavy.isEmpty():
         nodes = nodes.unionByName(_deep(leaves.join(heavy, "prefix", "left_semi"), window))
 
@@ -302,4 +303,4 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, m
     rows = docs.withColumns({"_ss_text": text, "_ss_row_id": F.col("doc_id").cast("long"), "_ss_row_key": F.unhex(F.md5(text))})
     rows = rows.join(starts, (F.col("_ss_row_id") == F.col("_ss_id")) & (F.col("_ss_row_key") == F.col("_ss_key")), "left").drop("_ss_id", "_ss_key", "_ss_row_id", "_ss_row_key")
     more = T._parse_datatype_string("_sub_n_words long, _sub_n_removed long, _sub_kept_text string, _sub_spans array<struct<first:long,words:long>>")
-    return rows.mapInArrow(_apply(window), T.StructType([*docs.schema.fields, *more.fields]))
+    return rows.mapInArrow(TK.tidied(_apply(window)), T.StructType([*docs.schema.fields, *more.fields]))

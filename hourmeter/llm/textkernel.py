@@ -7,7 +7,8 @@ batch, so memory is a small multiple of ``SLICE_BYTES`` or of the longest single
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,22 @@ _GRAM = np.uint64(0xD6E8FEB86659FD93)
 _POW: list[np.ndarray] = []
 
 
+def tidied(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that gives the memory it used back to the system when its task ends: Spark
+    keeps Python workers for later tasks, and what they hold counts against the executor."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def _powers() -> tuple[np.ndarray, np.ndarray]:
     if not _POW:
         for r in (_R, _R_INV):
@@ -58,6 +75,11 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
+def one_array(col: pa.ChunkedArray) -> pa.Array:
+    """A table's column as one array."""
+    return pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], col.type)
+
+
 def slices(off: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes; a longer text is a range of its own."""
     n, i = len(off) - 1, 0

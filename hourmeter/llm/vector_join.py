@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourmeter.llm import textkernel as TK
 from hourmeter.llm.frames import saved
 from hourmeter.llm.graph import components, local_roots
 
@@ -131,7 +132,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = 0.9
     """One row per row of ``vectors`` (vec_id, embedding, label): vec_id, n_links, component_id, kept."""
     reach = math.sqrt(2 - 2 * cosine)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
-    good = rows.where("vec_id is not null and label is not null").mapInArrow(_usable, "vec_id long, label string, dim int, vec binary")
+    good = rows.where("vec_id is not null and label is not null").mapInArrow(TK.tidied(_usable), "vec_id long, label string, dim int, vec binary")
     good = saved(spark, good.withColumn("key", F.unhex(F.md5(F.concat(F.encode("label", "UTF-8"), F.lit(b"\0"), "vec")))), "vectors")
     distinct = good.groupBy("key", "label", "dim", "vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("node"))
     distinct = saved(spark, distinct, "vectors-distinct")
@@ -141,7 +142,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = 0.9
         wanted = min(MAX_PIVOTS, max(1, math.ceil(r["n"] / VECTORS_A_PIVOT)))
         drawn = distinct.where(F.col("dim") == r["dim"]).orderBy("key").limit(wanted).select("vec").collect()
         pivots[r["dim"]] = _unit(_matrix(pa.array([bytes(x["vec"]) for x in drawn], pa.binary()), r["dim"]))
-    cells = distinct.mapInArrow(_cells(pivots, reach), "node long, label string, dim int, n long, vec binary, cell int, home boolean")
+    cells = distinct.mapInArrow(TK.tidied(_cells(pivots, reach)), "node long, label string, dim int, n long, vec binary, cell int, home boolean")
     cells = saved(spark, cells, "vectors-cells")
     counts = cells.groupBy("label", "dim", "cell").agg(F.sum(F.col("home").cast("long")).alias("homes"), F.count(F.lit(1)).alias("members"))
     counts = counts.select("label", "dim", "cell", F.ceil(F.col("homes") / BLOCK).cast("int").alias("hb"), F.ceil(F.col("members") / BLOCK).cast("int").alias("mb")).where("hb > 0")
