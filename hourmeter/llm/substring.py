@@ -253,6 +253,8 @@ def repeat_starts(spark: SparkSession, docs: DataFrame, window: int = WINDOW, ma
 
     census = base.mapInArrow(TK.tidied(_census(window)), "gram long, doc_id long")
     shared = census.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("gram")
+    # a table of its own, so that the join's two sides are plain exchanges and a hot gram can be split
+    shared = saved(spark, shared, "substring-shared")
     wanted = saved(spark, census.join(shared, "gram").groupBy("doc_id").agg(F.collect_list("gram").alias("grams")), "substring-census")
 
     ids = keyed.select("doc_id", "text_key")
@@ -279,7 +281,7 @@ def repeat_starts(spark: SparkSession, docs: DataFrame, window: int = WINDOW, ma
     spans = hits.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("word", "mask")).alias("at"))
     spans = spans.select("doc_id", "text_key", F.lit(False).alias("full"), F.col("at.word").alias("words"), F.col("at.mask").alias("masks"))
     spans = saved(spark, spans, "substring-spans")
-    discard(spark, wanted, found, leaves, heavy)
+    discard(spark, shared, wanted, found, leaves, heavy)
     empty = [F.lit(None).cast(t) for t in ("array<long>", "array<int>")]
     return spans.unionByName(copies.select("doc_id", "text_key", F.lit(True).alias("full"), empty[0].alias("words"), empty[1].alias("masks")))
 
