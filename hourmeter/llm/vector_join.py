@@ -8,6 +8,10 @@ another can only be at home there if e - d <= 2r; the same bound on the plane ha
 alone.  Cells are cut into blocks of bounded size, and a block of homes meets each block of members, so no task
 holds a hot cell.  Every candidate is verified by its cosine in double precision.
 
+How many pivots pay depends on the data: clustered vectors are hardly ever copied, while vectors spread evenly in
+many dimensions lie near every boundary.  The copies that 1, 4, 16, ... pivots would cause are measured on
+``PROBES`` vectors, and the number with the least estimated work is taken; the result is the same for any number.
+
 Equal vectors are merged before the join.  A block returns each home's number of links and a spanning forest of
 its links, never the pairs.
 
@@ -32,8 +36,11 @@ from hourmeter.llm.frames import saved
 from hourmeter.llm.graph import components, local_roots
 
 MAX_PIVOTS = 512
-VECTORS_A_PIVOT = 2_000
-BLOCK = 2_048
+PROBES = 1_024
+BLOCK = 16_384
+BLOCK_BYTES = 32 << 20
+#: Microseconds to ship a row and to compare a pair, about; they only weigh one number of pivots against another.
+ROW_COST, PAIR_COST = 8.0, 0.05
 _MARGIN = 1e-9
 
 
@@ -64,6 +71,38 @@ def _matrix(vec: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(vec.to_pylist()), "<f8").reshape(-1, dim)
 
 
+def _members(x: np.ndarray, p: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """For unit vectors and pivots: home cell of each vector, and whether it belongs to each cell."""
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * p @ p.T))
+    far = np.sqrt(np.maximum(0.0, 2 - 2 * x @ p.T))
+    home = far.argmin(axis=1)
+    d = far[np.arange(len(far)), home][:, None]
+    plane = (far**2 - d**2) <= 2 * reach * apart[home] + _MARGIN
+    member = (far - d <= 2 * reach + _MARGIN) & plane
+    member[np.arange(len(far)), home] = True
+    return home, member
+
+
+def block_rows(dim: int) -> int:
+    return max(64, min(BLOCK, BLOCK_BYTES // (8 * dim)))
+
+
+def pivots_that_pay(pivots: np.ndarray, probes: np.ndarray, reach: float, together: float) -> int:
+    """Of 1, 4, 16, ... first pivots, the number with the least work for one vector.  ``together`` is how many
+    vectors share a vector's label."""
+    best, least, k = 1, math.inf, 1
+    block = block_rows(pivots.shape[1])
+    while k <= len(pivots):
+        copies = _members(probes, pivots[:k], reach)[1].sum(axis=1).mean()
+        homes = together / k
+        rows = math.ceil(copies * homes / block) + copies * math.ceil(homes / block)
+        work = ROW_COST * rows + PAIR_COST * copies * homes
+        if work < least:
+            best, least = k, work
+        k *= 4
+    return best
+
+
 def _cells(pivots: dict[int, np.ndarray], reach: float):
     """Homes and copies: a row for each cell that a vector belongs to."""
 
@@ -73,14 +112,8 @@ def _cells(pivots: dict[int, np.ndarray], reach: float):
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
                 x, p = _unit(_matrix(batch.column("vec").take(pa.array(rows)), dim)), pivots[int(dim)]
-                apart = np.sqrt(np.maximum(0.0, 2 - 2 * p @ p.T))
                 for lo in range(0, len(rows), 4_096):
-                    far = np.sqrt(np.maximum(0.0, 2 - 2 * x[lo : lo + 4_096] @ p.T))
-                    home = far.argmin(axis=1)
-                    d = far[np.arange(len(far)), home][:, None]
-                    plane = (far**2 - d**2) <= 2 * reach * apart[home] + _MARGIN
-                    member = (far - d <= 2 * reach + _MARGIN) & plane
-                    member[np.arange(len(far)), home] = True
+                    home, member = _members(x[lo : lo + 4_096], p, reach)
                     r, c = np.nonzero(member)
                     take = pa.array(rows[lo + r])
                     yield pa.RecordBatch.from_arrays(
@@ -136,16 +169,20 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = 0.9
     good = saved(spark, good.withColumn("key", F.unhex(F.md5(F.concat(F.encode("label", "UTF-8"), F.lit(b"\0"), "vec")))), "vectors")
     distinct = good.groupBy("key", "label", "dim", "vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("node"))
     distinct = saved(spark, distinct, "vectors-distinct")
-    sizes = distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()  # vector lengths
+    labels = distinct.groupBy("dim", "label").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    sizes = labels.groupBy("dim").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("together")).collect()  # vector lengths
     pivots = {}
     for r in sizes:
-        wanted = min(MAX_PIVOTS, max(1, math.ceil(r["n"] / VECTORS_A_PIVOT)))
-        drawn = distinct.where(F.col("dim") == r["dim"]).orderBy("key").limit(wanted).select("vec").collect()
-        pivots[r["dim"]] = _unit(_matrix(pa.array([bytes(x["vec"]) for x in drawn], pa.binary()), r["dim"]))
+        drawn = distinct.where(F.col("dim") == r["dim"]).orderBy("key").limit(MAX_PIVOTS + PROBES).select("vec").collect()
+        drawn = _unit(_matrix(pa.array([bytes(x["vec"]) for x in drawn], pa.binary()), r["dim"]))
+        first = drawn[: min(MAX_PIVOTS, max(1, len(drawn) // 2))]
+        probes = drawn[len(first) :] if len(drawn) > len(first) else drawn
+        pivots[r["dim"]] = first[: pivots_that_pay(first, probes, reach, r["together"])]
     cells = distinct.mapInArrow(TK.tidied(_cells(pivots, reach)), "node long, label string, dim int, n long, vec binary, cell int, home boolean")
     cells = saved(spark, cells, "vectors-cells")
     counts = cells.groupBy("label", "dim", "cell").agg(F.sum(F.col("home").cast("long")).alias("homes"), F.count(F.lit(1)).alias("members"))
-    counts = counts.select("label", "dim", "cell", F.ceil(F.col("homes") / BLOCK).cast("int").alias("hb"), F.ceil(F.col("members") / BLOCK).cast("int").alias("mb")).where("hb > 0")
+    block = F.greatest(F.lit(64), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BYTES // 8) / F.col("dim"))))  # block_rows()
+    counts = counts.select("label", "dim", "cell", F.ceil(F.col("homes") / block).cast("int").alias("hb"), F.ceil(F.col("members") / block).cast("int").alias("mb")).where("hb > 0")
     placed = cells.join(counts, ["label", "dim", "cell"])
     spread = F.xxhash64("vec")
     cut = ["node", "label", "dim", "n", "vec", "cell"]

@@ -146,12 +146,32 @@ def test_embedding_links_match_brute_force(spark):
 
 
 def test_blocks_of_a_hot_cell_add_up(spark, monkeypatch):
-    monkeypatch.setattr(vector_join, "BLOCK", 7)
+    monkeypatch.setattr(vector_join, "BLOCK_BYTES", 64 * 4 * 8)
     rnd = np.random.default_rng(2)
-    v = [[1.0, 0.0, 0.0, float(x)] for x in rnd.uniform(-0.01, 0.01, 60)]  # all linked with all
+    v = [[1.0, 0.0, 0.0, float(x)] for x in rnd.uniform(-0.01, 0.01, 300)]  # all linked with all
     df = spark.createDataFrame([(i, x, 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
     got = vector_join.near_duplicates(spark, df).collect()
-    assert {(r["n_links"], r["component_id"]) for r in got} == {(59, 0)}
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(299, 0)}
+
+
+def test_any_number_of_pivots_gives_the_same_links(spark, monkeypatch):
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(400, 3))  # few dimensions: many links, many boundaries
+    df = spark.createDataFrame([(i, [float(v) for v in row], i % 2) for i, row in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    found = []
+    for k in (1, 16, 64):
+        monkeypatch.setattr(vector_join, "pivots_that_pay", lambda pivots, *a, k=k: min(k, len(pivots)))
+        found.append(sorted(map(tuple, vector_join.near_duplicates(spark, df).collect())))
+    assert found[0] == found[1] == found[2] and sum(r[1] for r in found[0]) > 50
+
+
+def test_clustered_vectors_take_more_pivots_than_scattered_ones():
+    rnd = np.random.default_rng(4)
+    centres = rnd.normal(size=(64, 64))
+    clustered = np.repeat(centres, 20, axis=0) + rnd.normal(size=(1280, 64)) * 0.01
+    scattered = rnd.normal(size=(1280, 64))
+    k = [vector_join.pivots_that_pay(x[rnd.permutation(1280)][:64], x, 0.2, 1e6) for x in map(vector_join._unit, (clustered, scattered))]
+    assert k[0] == 64 >= k[1]
 
 
 def test_components_of_chains_and_stars(spark):
