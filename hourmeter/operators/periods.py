@@ -20,10 +20,16 @@ def burst_flag(df: DataFrame, key: str, ts: str, limit: int, window_seconds: int
     seconds, and part of the second where the window begins.  Whole seconds are counted from one row a
     key-second; both parts are running counts inside one key-second, so no task needs more rows together
     than one key has in one second.
+
+    Nulls: a null key is a key like any other.  A hit without time stands in no other hit's window; it counts
+    the hits of its key without time, as a RANGE frame over nulls does.  No row is lost.
     """
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = df.withColumn("_us", us).withColumn("_s", F.floor(F.col("_us") / 1_000_000)).withColumn("_f", F.pmod("_us", F.lit(1_000_000)))
-    instants = base.groupBy(F.col(key).alias("_k"), "_s", "_f").agg(F.count(F.lit(1)).alias("_n"))
+    # a struct that holds the key is never null itself, so joins on it meet null keys too
+    base = df.withColumn("_k", F.struct(F.col(key))).withColumn("_us", us).withColumn("_s", F.floor(F.col("_us") / 1_000_000)).withColumn("_f", F.pmod("_us", F.lit(1_000_000)))
+    instants = base.groupBy("_k", "_s", "_f").agg(F.count(F.lit(1)).alias("_n"))
+    timeless = instants.where("_s is null").select("_k", "_s", "_f", F.col("_n").alias("hits_in_window"))
+    instants = instants.where("_s is not null")
     # whole seconds between the window's first second and the hit's own
     seconds = instants.groupBy("_k", "_s").agg(F.sum("_n").alias("_t"))
     whole = Window.partitionBy("_k").orderBy("_s").rangeBetween(-(int(window_seconds) - 1), -1)
@@ -37,9 +43,11 @@ def burst_flag(df: DataFrame, key: str, ts: str, limit: int, window_seconds: int
     own = counted.where("_asks = 0").select("_k", "_s", "_f", "_upto")
     first = counted.where("_asks = 1").select("_k", (F.col("_s") + int(window_seconds)).alias("_s"), "_f", (F.col("_all") - F.col("_upto")).alias("_after"))
     total = own.join(first, ["_k", "_s", "_f"]).join(seconds, ["_k", "_s"])
-    total = total.select("_k", "_s", "_f", (F.col("_upto") + F.col("_after") + F.col("_whole")).alias("hits_in_window"))
-    out = base.join(total.withColumnsRenamed({"_s": "_s2", "_f": "_f2"}), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_s") == F.col("_s2")) & (F.col("_f") == F.col("_f2")))
-    return out.withColumn("is_limited", F.col("hits_in_window") > F.lit(limit)).drop("_us", "_s", "_f", "_k", "_s2", "_f2")
+    total = total.select("_k", "_s", "_f", (F.col("_upto") + F.col("_after") + F.col("_whole")).alias("hits_in_window")).unionByName(timeless)
+    total = total.withColumnsRenamed({"_k": "_k2", "_s": "_s2", "_f": "_f2"})
+    same = (F.col("_k") == F.col("_k2")) & F.col("_s").eqNullSafe(F.col("_s2")) & F.col("_f").eqNullSafe(F.col("_f2"))
+    out = base.join(total, same, "left")
+    return out.withColumn("is_limited", F.col("hits_in_window") > F.lit(limit)).drop("_us", "_k", "_s", "_f", "_k2", "_s2", "_f2")
 
 
 def relative_periods(t: Tables) -> DataFrame:

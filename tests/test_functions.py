@@ -102,6 +102,19 @@ def test_burst_flag_against_brute_force(spark):
         assert got[i] == (hits, hits > 3)
 
 
+def test_burst_flag_keeps_null_keys_and_null_times(spark):
+    times = [None, "2026-01-01 00:00:00.2", "2026-01-01 00:00:00.9", "2026-01-01 00:00:30", "2026-01-01 00:01:00.2", "2026-01-01 00:01:00.3"]
+    rows = [(100 * n + 10 * i + j, k, t) for n, k in enumerate([None, "a", None]) for i, t in enumerate(times) for j in range(1 + i % 2)]
+    df = spark.createDataFrame(rows, "id long, k string, t string").withColumn("t", F.col("t").cast("timestamp")).repartition(3)
+    frame = Window.partitionBy("k").orderBy(F.unix_micros("t")).rangeBetween(-59_999_999, 0)
+    want = {r["id"]: r["n"] for r in df.withColumn("n", F.count(F.lit(1)).over(frame)).collect()}
+    out = burst_flag(df, "k", "t", limit=2, window_seconds=60)
+    assert out.columns == ["id", "k", "t", "hits_in_window", "is_limited"]
+    got = out.collect()
+    assert len(got) == len(rows) and {r["id"]: r["hits_in_window"] for r in got} == want
+    assert all(r["is_limited"] == (want[r["id"]] > 2) for r in got)
+
+
 def test_listing_and_fingerprints(spark, tmp_path):
     from hourmeter.sources import files as FS
 
