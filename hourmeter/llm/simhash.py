@@ -26,8 +26,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourmeter.llm import textkernel as TK
 from hourmeter.llm.frames import saved
@@ -178,15 +179,18 @@ def _links(max_bits: int):
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) for every row of ``docs``; fp is the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int = 3, more: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id, fp) and the columns ``more`` for every row of ``docs``; fp is the fingerprint as a signed 64-bit integer."""
+    more = more or {}
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[c.alias(n) for n, c in more.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = text_fingerprints(batch.column(1), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *batch.schema.names[2:]])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(TK.tidied(run), "doc_id long, fp long")
+    fields = [T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), *rows.schema.fields[2:]]
+    return rows.mapInArrow(TK.tidied(run), T.StructType(fields))
 
 
 def fingerprint_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -195,26 +199,38 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return cells.repartition("cell").sortWithinPartitions("cell", "fp").mapInArrow(TK.tidied(_links(max_bits)), "src long, dst long").distinct()
 
 
+def _rooted(spark: SparkSession, marked: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, first_id, root) for every distinct fp of ``marked``: its smallest doc_id and its group's smallest fp."""
+    copies = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    roots = components(spark, fingerprint_links(copies, max_bits), "simhash-links")
+    return copies.join(roots, copies.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     marked = saved(spark, fingerprints(docs, shingle), "simhash-fp")
-    copies = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = components(spark, fingerprint_links(copies, max_bits), "simhash-links")
-    named = copies.join(roots, copies.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    named = _rooted(spark, marked, max_bits)
     groups = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_fp = named.join(groups, "root").select("fp", "component_id")
     return marked.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``docs`` with one document of each group, all columns kept: the rows whose doc_id is the group's
-    smallest, one of them where that doc_id repeats.  Rows without doc_id can't be told apart and stay."""
-    groups = simhash_groups(spark, docs, shingle, max_bits)
-    key = F.col("doc_id").cast("long")
+    """``docs`` with one row of each group, all columns kept: the one with the smallest doc_id, then fingerprint,
+    then MD5 of the text, then hash of the whole row, so reruns keep the same row.  A doc_id that stands on texts
+    of several groups can stay once for each.  Rows without doc_id can't be told apart and stay."""
+    cells = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]  # a null is not its neighbour's null
+    same = {"_sh_id": F.col("doc_id").cast("long"), "_sh_text": F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))), "_sh_row": F.xxhash64(*cells)}
     named = docs.where(F.col("doc_id").isNotNull())
-    winners = groups.where("component_id = doc_id").select(F.col("doc_id").alias("_sh_id")).distinct()
-    several = named.groupBy(key.alias("_sh_id")).agg(F.count(F.lit(1)).alias("_sh_n")).where("_sh_n > 1").select("_sh_id")
-    kept = named.join(winners, key == F.col("_sh_id"), "left_semi")
-    single = kept.join(several, key == F.col("_sh_id"), "left_anti")
-    repeated = kept.join(several, key == F.col("_sh_id"), "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).unionByName(docs.where(F.col("doc_id").isNull()))
+    marked = saved(spark, fingerprints(named, shingle, {n: same[n] for n in ("_sh_text", "_sh_row")}), "simhash-fp")
+    # rows of one fingerprint come down to its first before the groups meet
+    key = F.struct("doc_id", "fp", "_sh_text", "_sh_row")
+    firsts = marked.groupBy("fp").agg(F.min(key).alias("_sh_first"))
+    roots = _rooted(spark, marked, max_bits).select("fp", "root")
+    winners = firsts.join(roots, "fp").groupBy("root").agg(F.min("_sh_first").alias("_sh_first"))
+    winners = winners.select(F.col("_sh_first.doc_id").alias("_sh_id"), "_sh_first._sh_text", "_sh_first._sh_row")
+    several = marked.select(F.col("doc_id").alias("_sh_id"), "_sh_text", "_sh_row").join(winners, list(same), "left_semi").groupBy(*same).agg(F.count(F.lit(1)).alias("_sh_n"))
+    kept = named.withColumns(same).join(several, list(same))
+    single = kept.where("_sh_n = 1")
+    repeated = kept.where("_sh_n > 1").dropDuplicates(list(same))
+    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(F.col("doc_id").isNull()))

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from hourmeter.llm import simhash, substring, vector_join
 from hourmeter.llm.graph import components
@@ -118,6 +119,21 @@ def test_one_document_of_each_group_stays(spark, odd_documents):
     assert simhash.keep_one(spark, odd_documents.limit(0)).count() == 0
 
 
+def test_each_group_of_fingerprints_keeps_exactly_one_row(spark):
+    one, two = " ".join(WORDS), " ".join(reversed(WORDS))
+    rows = [(1, one, "a"), (2, two, "a"), (2, one, "a"), (2, two, "b"), (2, two, "b"), (5, None, "a"), (5, "", "a"), (6, "", None), (7, "elm oak", "x"), (7, "elm  oak", "y")]
+    rows += [(3, "own words of three", None), (3, "own words of three", None), (8, "the last one", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    fps = [brute_fingerprint(r[1]) for r in rows]
+    label = smallest_reachable(np.bitwise_count(np.array(fps, np.uint64)[:, None] ^ np.array(fps, np.uint64)[None, :]) <= 2, rows)
+    group = {r: int(k) for r, k in zip(rows, label, strict=True)}
+    kept = [tuple(r) for r in simhash.keep_one(spark, docs.repartition(4)).collect()]
+    assert sorted(group[r] for r in kept) == sorted(set(group.values()))
+    assert all(r[0] == min(x[0] for x in rows if group[x] == group[r]) for r in kept)
+    again = [tuple(r) for r in simhash.keep_one(spark, docs.orderBy(F.desc("doc_id"), F.desc("source")).coalesce(1)).collect()]
+    assert sorted(again, key=str) == sorted(kept, key=str)
+
+
 def test_embedding_links_match_brute_force(spark):
     rnd = np.random.default_rng(11)
     rows, centres = [], rnd.normal(size=(25, 16))
