@@ -17,8 +17,9 @@ its links, never the pairs.
 
 Vectors with equal, non-null labels (and equal length) are compared.  Vectors that are null, empty, zero or hold
 a null or non-finite component, and rows without label or vec_id, link with nothing: no links, own component.
-Rows that repeat a vec_id count as vectors of their own and share that id in the components.  An empty table
-gives an empty result.
+Rows that repeat a vec_id count as vectors of their own: each has the links and the component of its own vector,
+and a component is named by its smallest vec_id.  So unlinked vectors of one vec_id can name their components
+alike, and ``kept`` holds for every row that bears its component's id.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -153,10 +154,11 @@ def _join(cosine: float):
         root = local_roots(len(node), a, b)
         child = np.flatnonzero(root != np.arange(len(node)))
         src = np.concatenate([node[h], node[child]])
-        dst = np.concatenate([np.full(len(h), -1, np.int64), node[root[child]]])
-        some = np.concatenate([links, np.full(len(child), -1, np.int64)])
-        live = (some != 0) & (src != dst)
-        return pa.table({"node": src[live], "other": dst[live], "links": some[live]})
+        dst = np.concatenate([node[h], node[root[child]]])
+        some = np.concatenate([links, np.zeros(len(child), np.int64)])
+        edge = np.arange(len(src)) >= len(h)
+        live = np.where(edge, src != dst, some != 0)
+        return pa.table({"node": src[live], "other": dst[live], "links": some[live], "edge": edge[live]})
 
     return run
 
@@ -167,8 +169,9 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = 0.9
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     good = rows.where("vec_id is not null and label is not null").mapInArrow(TK.tidied(_usable), "vec_id long, label string, dim int, vec binary")
     good = saved(spark, good.withColumn("key", F.unhex(F.md5(F.concat(F.encode("label", "UTF-8"), F.lit(b"\0"), "vec")))), "vectors")
-    distinct = good.groupBy("key", "label", "dim", "vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("node"))
-    distinct = saved(spark, distinct, "vectors-distinct")
+    distinct = good.groupBy("key", "label", "dim", "vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first_id"))
+    # a vec_id can stand on several vectors, so each vector has a number of its own, fixed by the table
+    distinct = saved(spark, distinct.withColumn("node", F.monotonically_increasing_id()), "vectors-distinct")
     labels = distinct.groupBy("dim", "label").agg(F.count(F.lit(1)).cast("double").alias("n"))
     sizes = labels.groupBy("dim").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("together")).collect()  # vector lengths
     pivots = {}
@@ -188,12 +191,14 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = 0.9
     cut = ["node", "label", "dim", "n", "vec", "cell"]
     homes = placed.where("home").select(*cut, F.lit(True).alias("as_home"), F.pmod(spread, F.col("hb")).cast("int").alias("h"), F.explode(F.sequence(F.lit(0), F.col("mb") - 1)).alias("m"))
     members = placed.select(*cut, F.lit(False).alias("as_home"), F.explode(F.sequence(F.lit(0), F.col("hb") - 1)).alias("h"), F.pmod(spread, F.col("mb")).cast("int").alias("m"))
-    found = homes.unionByName(members).groupBy("label", "dim", "cell", "h", "m").applyInArrow(_join(cosine), "node long, other long, links long")
+    found = homes.unionByName(members).groupBy("label", "dim", "cell", "h", "m").applyInArrow(_join(cosine), "node long, other long, links long, edge boolean")
     found = saved(spark, found, "vectors-links")
-    links = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(spark, found.where("links < 0").select(F.col("node").alias("src"), F.col("other").alias("dst")), "vectors-components")
-    named = distinct.select("key", "node", "n").join(links, "node", "left").join(roots, "node", "left")
-    named = named.select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id"))
+    links = found.where("not edge").groupBy("node").agg(F.sum("links").alias("links"))
+    roots = components(spark, found.where("edge").select(F.col("node").alias("src"), F.col("other").alias("dst")), "vectors-components")
+    rooted = distinct.select("key", "node", "n", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = rooted.join(ids, "root").join(links, "node", "left")
+    named = named.select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     linked = good.select("vec_id", "key").join(named, "key").select("vec_id", "n_links", "component_id")
     return linked.unionByName(_alone(rows, good)).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 

@@ -161,6 +161,23 @@ def test_embedding_links_match_brute_force(spark):
     assert vector_join.near_duplicates(spark, df.limit(0)).count() == 0
 
 
+def test_a_vec_id_on_several_vectors_and_labels(spark):
+    rnd = np.random.default_rng(12)
+    centres = rnd.normal(size=(6, 8))
+    rows = [(int(i % 9) - 1, [float(x) for x in centres[i % 6] + rnd.normal(size=8) * 0.03], int(i // 6 % 2)) for i in range(60)]
+    rows += [(7, rows[0][1], rows[0][2]), (7, rows[0][1], rows[0][2]), (-1, rows[1][1], rows[1][2])]
+    rows += [(100, [1.0] + [0.0] * 7, 5), (100, [1.0, 0.01] + [0.0] * 6, 5), (100, [0.0, 1.0] + [0.0] * 6, 5), (100, [1.0] + [0.0] * 7, 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in vector_join.near_duplicates(spark, df, 0.98).collect())
+    x, label = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    norm = np.sqrt((x * x).sum(axis=1))
+    near = (x @ x.T / np.outer(norm, norm) >= 0.98) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    root = smallest_reachable(near, rows)
+    first = {k: min(r[0] for r, j in zip(rows, root, strict=True) if j == k) for k in set(root)}
+    assert got == sorted((r[0], int(near[k].sum()), first[root[k]]) for k, r in enumerate(rows))
+
+
 def test_blocks_of_a_hot_cell_add_up(spark, monkeypatch):
     monkeypatch.setattr(vector_join, "BLOCK_BYTES", 64 * 4 * 8)
     rnd = np.random.default_rng(2)
