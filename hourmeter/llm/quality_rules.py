@@ -27,7 +27,7 @@ STOP_WORDS = (
 #: ratio, least, most (None: no bound)
 THRESHOLDS: list[tuple[str, float | None, float | None]] = [
     ("mean_word_chars", 1.5, 25.0),
-    ("symbols_per_word", None, 1.0),
+    ("symbols_per_word", None, 0.1),
     ("stop_words_per_word", 0.005, None),
     ("dup_lines_per_line", None, 0.5),
 ]

@@ -144,6 +144,16 @@ def test_quality_table_is_compiled(spark):
     assert not quality_rules.judge(docs, [("stop_words_per_word", 0.5, None)]).first()["_qr_kept"]
 
 
+def test_pipe_tables_go_and_clean_prose_stays(spark):
+    w = [f"w{i}" for i in range(120)]
+    prose = " ".join(w[:60] + ["the", "of", "&", "and"] + w[60:])
+    pipes = [" ".join(["the", "of"] + [f"{a} {b} |" for a, b in zip(w[::2], w[1::2], strict=True)]), " | ".join(w[:4]) + " the " + " | ".join(w[4:])]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([prose, *pipes])], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    assert not any(r["_qr_base_failed"] for r in got.values())
+    assert {d: r["_qr_kept"] for d, r in got.items()} == {0: True, 1: False, 2: False}
+
+
 # ---------------------------------------------------------------- BPE
 
 
