@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourmeter.llm import bpe, chat, langid, mixing, quality_rules, sharding, simhash, substring, urls, vector_join
+from hourmeter.session import checkpoint_root
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,12 +67,16 @@ OLD_SHARDS, NEW_SHARDS = 12, 16
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents from 12 old shards into 16 of near equal bytes."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
-    out = sharding.reshard(spark, docs, sharding.old_shard_by_hash(OLD_SHARDS), NEW_SHARDS)
-    return out.select(
-        "doc_id", F.col("_sh_size").alias("size"), "text_crc32", F.lit("bytes").alias("law"), F.col("_sh_new").alias("shard"), F.col("_sh_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("_sh_old").alias("old_shard")
+    """All documents from 12 old shards into 16 of near equal bytes, read back from the rewritten shards' files; a
+    shard that nothing touched has no new files."""
+    old = sharding.old_shard_by_hash(OLD_SHARDS)
+    out = sharding.reshard(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), old, NEW_SHARDS)
+    path = f"{checkpoint_root(spark).rstrip('/')}/llm-shards-{uuid.uuid4().hex}"
+    touched = sharding.rewrite(out, path, NEW_SHARDS)
+    back = spark.read.schema(out.drop("_sh_old", "_sh_new").withColumn("shard", F.lit(0)).schema).parquet(path)
+    untouched = out.where(~F.col("_sh_new").isin(touched)).withColumn("shard", F.col("_sh_new")).select(back.columns)
+    return sharding.with_size(back.unionByName(untouched)).select(
+        "doc_id", F.col("_sh_size").alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", F.col("_sh_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), old.alias("old_shard")
     )
 
 

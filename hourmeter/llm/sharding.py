@@ -6,7 +6,7 @@ a minimum-cost flow from old shard sizes to new capacities is solved: bytes that
 nothing, moved bytes cost one each.  Whole blocks then realise the flow, and small blocks are moved on until
 the shards' sizes differ by less than about one block.  Documents take their block's shard in a join, and a
 gapless slot inside the shard from counts by (shard, bucket of doc_id), so no task holds a whole shard.
-``rewrite`` writes only the shards that lose or gain a block.
+``rewrite`` writes only the shards that lose or gain a block and deletes old shards that are left empty.
 
 A group of equal texts is never split; if one is larger than a shard's capacity, its shard is that large.
 
@@ -145,10 +145,17 @@ def reshard(spark: SparkSession, docs: DataFrame, old_shard, n_new: int, blocks:
 
 def rewrite(resharded: DataFrame, path: str, n_new: int) -> list[int]:
     """Write the shards that lose or gain rows, one folder ``shard=<k>`` each, and return their numbers; a shard
-    whose rows all stay keeps its old files.  Only shard numbers reach the driver."""
-    moved = resharded.where(F.col("_sh_old") != F.col("_sh_new"))
-    pairs = moved.select("_sh_old", "_sh_new").distinct().collect()  # old x new shards at most
-    touched = sorted({k for r in pairs for k in (r["_sh_old"], r["_sh_new"]) if k < n_new})
+    whose rows all stay keeps its old files.  ``path`` may hold the old layout, and ``resharded`` may read it: new
+    files are staged and take their folders' place once all are written, and only then the folders of old shards
+    that have no rows any more go.  Only shard numbers reach the driver."""
+    pairs = resharded.select("_sh_old", "_sh_new").distinct().collect()  # old x new shards at most
+    moved = {k for r in pairs if r["_sh_old"] != r["_sh_new"] for k in (r["_sh_old"], r["_sh_new"])}
+    touched = sorted(k for k in moved if k < n_new)
     out = resharded.where(F.col("_sh_new").isin(touched)).withColumn("shard", F.col("_sh_new")).drop("_sh_old", "_sh_new")
-    out.repartition("shard", F.floor(F.col("_sh_slot") / ROWS_A_BUCKET)).write.mode("overwrite").partitionBy("shard").parquet(path)
+    write = out.repartition("shard", F.floor(F.col("_sh_slot") / ROWS_A_BUCKET)).write.mode("overwrite")
+    write.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("shard").parquet(path)
+    spark = resharded.sparkSession
+    for k in sorted(moved - {r["_sh_new"] for r in pairs}):
+        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/shard={k}")
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
     return touched

@@ -62,6 +62,44 @@ def test_only_affected_shards_are_rewritten(spark, tmp_path):
     assert sorted(map(tuple, back.select("doc_id", "shard").collect())) == sorted(map(tuple, want.collect()))
 
 
+@pytest.mark.parametrize(("n_old", "n_new"), [(6, 3), (3, 6), (4, 4)])
+def test_shards_are_rewritten_in_the_folder_of_the_old_layout(spark, tmp_path, n_old, n_new):
+    path = str(tmp_path / "shards")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(400)] + [(None, None), (7, "")], "doc_id long, text string")
+    docs.withColumn("shard", sharding.old_shard_by_hash(n_old)).repartition("shard").write.partitionBy("shard").parquet(path)
+    out = sharding.reshard(spark, spark.read.parquet(path).drop("shard"), sharding.old_shard_by_hash(n_old), n_new, blocks=64)
+    want = sorted(((r["doc_id"], r["text"], r["_sh_new"]) for r in out.collect()), key=str)
+    assert sharding.rewrite(out, path, n_new)
+    back = spark.read.schema("doc_id long, text string, shard int").parquet(path)
+    assert sorted(((r["doc_id"], r["text"], r["shard"]) for r in back.collect()), key=str) == want
+
+
+def test_untouched_shards_keep_their_files_and_emptied_ones_go(spark, tmp_path):
+    path = tmp_path / "shards"
+    rows = [(i, f"text {i}", i % 3) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string, shard int").write.partitionBy("shard").parquet(str(path))
+    kept = sorted(p.name for p in (path / "shard=0").iterdir())
+    moved = spark.read.parquet(str(path)).select("doc_id", "text", F.col("shard").alias("_sh_old"), F.when(F.col("shard") == 1, 2).otherwise(F.col("shard")).alias("_sh_new"), F.col("doc_id").alias("_sh_slot"))
+    assert sharding.rewrite(moved, str(path), 3) == [1, 2]
+    assert sorted(p.name for p in (path / "shard=0").iterdir()) == kept and not (path / "shard=1").exists()
+    back = spark.read.parquet(str(path)).select("doc_id", "shard").collect()
+    assert sorted(map(tuple, back)) == [(i, 2 if k == 1 else k) for i, _, k in rows]
+
+
+def test_registered_sharding_reads_rewritten_files(spark, tmp_path, odd_documents):
+    odd_documents.write.parquet(str(tmp_path / "documents.parquet"))
+    out = queries.op4_sharding(spark, str(tmp_path))
+    assert any("llm-shards-" in f for f in out.inputFiles())
+    got = sorted(((r["doc_id"], r["size"], r["text_crc32"], r["old_shard"]) for r in out.collect()), key=str)
+    plain = sharding.with_size(odd_documents).select("doc_id", "_sh_size", F.crc32(F.coalesce("text", F.lit(""))), sharding.old_shard_by_hash(queries.OLD_SHARDS))
+    assert got == sorted(map(tuple, plain.collect()), key=str)
+    for name in range(queries.NEW_SHARDS):
+        slots = sorted(r["slot"] for r in out.where(F.col("shard") == name).collect())
+        assert slots == list(range(len(slots)))
+    odd_documents.limit(0).write.parquet(str(tmp_path / "none/documents.parquet"))
+    assert queries.op4_sharding(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_targets_are_shared_again_above_the_cap(spark):
     rows = [("a", 10, 1), ("b", 1000, 1), ("c", 500, 2), (None, 90, 1)]
     df = spark.createDataFrame([(i, s, z, n) for i, (s, z, n) in enumerate(rows)], "doc_id long, source string, size long, n long")
