@@ -9,7 +9,9 @@ fingerprint to a fixed set of reference fingerprints are tabulated.  A pair with
 agrees in all blocks but ``max_bits`` at most, so it has equal coordinates in at least four whole blocks.
 Every choice of four blocks gives one cell, named by the coordinates in them; a linked pair meets in at
 least one cell.  Inside a cell, pairs whose coordinates differ by more than ``max_bits`` anywhere are
-discarded, and survivors are verified by their bits.  Cells hold distinct fingerprints that agree in about
+discarded, and survivors are verified by their bits.  A cell of over ``PROBE_FROM`` rows has too many pairs for
+that: there, each fingerprint's possible partners, by flips of the bits on which the cell differs, are looked up.
+Cells hold distinct fingerprints that agree in about
 two thirds of their bits, so a cell has at most 2^22 rows of 8 bytes whatever the corpus; copies were
 merged before.  A cell emits a spanning forest of its links, never all pairs.
 
@@ -38,6 +40,8 @@ KEPT_BLOCKS = 4
 REFERENCES = 16
 #: Cells above this size probe each fingerprint's possible partners instead of comparing neighbours.
 PROBE_FROM = 1024
+#: Rows of one pivot table: it takes 8 bytes a row, block and reference.
+TABLE_ROWS = 16_384
 
 _BYTES = np.uint64(0x0101010101010101)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -125,13 +129,16 @@ def _near(fp: np.ndarray, cell: np.ndarray, max_bits: int) -> tuple[np.ndarray,
     rank = np.arange(len(fp)) - np.repeat(cuts[:-1], sizes)
     room = np.repeat(sizes, sizes)
     small = room <= PROBE_FROM
-    far = pivot_table(fp, max_bits).sum(axis=1, dtype=np.int16)  # distances to the whole references
+    tabled, place = fp[small], np.cumsum(small) - 1
+    far = np.zeros((len(tabled), REFERENCES), np.int16)  # distances to the whole references
+    for lo in range(0, len(tabled), TABLE_ROWS):
+        far[lo : lo + TABLE_ROWS] = pivot_table(tabled[lo : lo + TABLE_ROWS], max_bits).sum(axis=1, dtype=np.int16)
     left, right = [], []
     step = 1
     todo = np.flatnonzero(small & (rank + step < room))
     while len(todo):
         a, b = todo, todo + step
-        near = np.abs(far[a] - far[b]).max(axis=1) <= max_bits  # maximum coordinate difference
+        near = np.abs(far[place[a]] - far[place[b]]).max(axis=1) <= max_bits  # maximum coordinate difference
         a, b = a[near], b[near]
         ok = np.bitwise_count(fp[a] ^ fp[b]) <= max_bits
         left.append(a[ok])

@@ -109,6 +109,21 @@ def test_simhash_links_match_all_pairs(spark, monkeypatch, probe_from):
     assert {x: roots.get(x, x) for x in fps} == {x: fps[k] for x, k in zip(fps, label, strict=True)}
 
 
+def test_pivot_tables_are_of_small_cells_and_slices(monkeypatch):
+    rnd = np.random.default_rng(6)
+    fp = np.concatenate([np.arange(3000, dtype=np.uint64), rnd.integers(0, 1 << 12, 900).astype(np.uint64) + np.uint64(1 << 40), np.array([5, 6], np.uint64)])
+    cell = np.repeat(np.arange(5), [3000, 300, 300, 300, 2])
+    seen, table = [], simhash.pivot_table
+    monkeypatch.setattr(simhash, "TABLE_ROWS", 400, raising=False)
+    monkeypatch.setattr(simhash, "pivot_table", lambda x, n: seen.append(len(x)) or table(x, n))
+    a, b = simhash._near(fp, cell, 2)
+    assert sum(seen) == 902 and max(seen) <= 400
+    apart = np.bitwise_count(fp[:, None] ^ fp[None, :])
+    i, j = np.nonzero((apart <= 2) & (cell[:, None] == cell[None, :]) & (fp[:, None] != fp[None, :]))
+    want = {(int(x), int(y)) for x, y in zip(i, j, strict=True) if x < y}
+    assert {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist(), strict=True) if fp[x] != fp[y]} == want
+
+
 def test_one_document_of_each_group_stays(spark, odd_documents):
     rows = odd_documents.collect()
     kept = simhash.keep_one(spark, odd_documents)
