@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmeter.llm import bpe, chat, langid, mixing, quality_rules, sharding, simhash, substring, urls, vector_join
+from hourmeter.llm import bpe, chat, langid, mixing, prefix_trie, quality_rules, sharding, simhash, substring, urls, vector_join
 from hourmeter.session import checkpoint_root
 
 
@@ -167,6 +167,55 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out().alias("held_out"), F.col("_lid_lang").alias("lang_pred"), F.col("_lid_score").alias("score"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per node of the rebuilt conversations' prefix trie: members, children, leaves, saved tokens and who ends there."""
+    turns = prefix_trie.numbered(spark, table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    rebuilt, convs = prefix_trie.shared_heads(turns, 20, F.crc32(F.col("conv_id").cast("string")) % 4)
+    return prefix_trie.trie(spark, rebuilt, convs)
+
+
+#: crc32 bit by bit: a conv_id's digits are folded one after the other, eight halvings each.
+_CRC_BIT = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+OP13_SQL = f"""
+with recursive t as (
+  select conv_id, coalesce(role, '') role, coalesce(text, '') text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) pos
+  from conversations where conv_id is not null
+), crc as (
+  select conv_id, 0 k, 4294967295::bigint c from (select distinct conv_id from t)
+  union all
+  select conv_id, k + 1, case when k % 9 = 0 then xor(c, ascii(substr(conv_id::varchar, k // 9 + 1, 1))) else {_CRC_BIT} end
+  from crc where k < 9 * length(conv_id::varchar)
+), convs as (
+  select conv_id, xor(c, 4294967295) % 4 h, conv_id - conv_id % 20 base from crc where k = 9 * length(conv_id::varchar)
+), has as (
+  select c.conv_id, h, count(b.pos) m from convs c left join t b on b.conv_id = c.base and b.pos <= h group by all
+), rebuilt as (
+  select c.conv_id, b.pos, role, text from convs c join t b on b.conv_id = c.base and b.pos <= h
+  union all select t.conv_id, t.pos - h + m, role, text from t join has using (conv_id) where t.pos > h
+), path as (
+  select conv_id, pos depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) words,
+    string_agg(sha256(role || chr(10) || text), '/') over (partition by conv_id order by pos) node
+  from rebuilt union all select conv_id, 0, 0, '' from convs
+), deep as (
+  select conv_id, max(depth) n from path group by conv_id
+), nodes as (
+  select node, depth, min(p.conv_id) conv_id, count(*) n_convs, any_value(words) words, string_agg(case when depth = n then p.conv_id end::varchar, ',' order by p.conv_id) ends
+  from path p join deep d on d.conv_id = p.conv_id group by node, depth
+), up as (
+  select n.node, n.depth, p.node parent from nodes n join path p on p.conv_id = n.conv_id and p.depth = n.depth - 1
+), kids as (
+  select parent node, count(*) n_children from up group by parent
+), below as (
+  select a.node, a.depth, sum((y.n_convs - 1) * y.words) saved_tokens, count(*) filter (y.node not in (select node from kids)) n_leaves
+  from nodes y join path a on a.conv_id = y.conv_id and a.depth <= y.depth group by a.node, a.depth
+)
+select n.conv_id, n.depth::bigint as depth, q.conv_id parent_conv_id, n.n_convs, coalesce(n_children, 0)::bigint n_children, n_leaves::bigint n_leaves,
+  saved_tokens::bigint saved_tokens, sha256(coalesce(n.ends, '')) ends_sha256
+from nodes n join below using (node) left join kids using (node) left join up using (node) left join nodes q on q.node = up.parent
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_chat_format": op2_chat_format,
@@ -178,6 +227,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_quality_rules": OP6_SQL}
+ORACLE: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_quality_rules": OP6_SQL, "op13_prefix_trie": OP13_SQL}
