@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmeter.llm import bpe, chat, langid, mixing, prefix_trie, quality_rules, sharding, simhash, substring, urls, vector_join
+from hourmeter.llm import alignment, bpe, chat, langid, mixing, prefix_trie, quality_rules, sharding, simhash, substring, urls, vector_join
 from hourmeter.session import checkpoint_root
 
 
@@ -167,6 +167,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out().alias("held_out"), F.col("_lid_lang").alias("lang_pred"), F.col("_lid_score").alias("score"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: tokens of both tokenizers, groups, links, and the links' corpus-wide counts."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out, _ = alignment.align(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per node of the rebuilt conversations' prefix trie: members, children, leaves, saved tokens and who ends there."""
     turns = prefix_trie.numbered(spark, table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
@@ -227,6 +236,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op11_token_alignment": op11_token_alignment,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
