@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmeter.llm import alignment, bpe, chat, langid, mixing, prefix_trie, quality_rules, sharding, simhash, substring, urls, vector_join
+from hourmeter.llm import alignment, bpe, chat, langid, mixing, prefix_trie, quality_rules, secrets, sharding, simhash, substring, urls, vector_join
 from hourmeter.session import checkpoint_root
 
 
@@ -176,6 +176,93 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: spans of the fixed patterns, and all spans with those of random keys."""
+    out = secrets.scan(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counted = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k, _ in secrets.PATTERNS]
+    return out.select("doc_id", *counted, F.sha2(secrets.told(F.col("base")), 256).alias("base_sha256"), secrets.told(secrets.in_order(F.col("base"), F.col("added"))).alias("spans"))
+
+
+def _sql_matches(name: str, source: str, pattern: str) -> str:
+    """Matches of a pattern with their offsets, from the lengths of matches and of the text between."""
+    return f"""{name} as (
+  select rid, t[i] s, list_sum(list_transform(g[1:i], lambda x: length(x)))::bigint + coalesce(list_sum(list_transform(t[1:i - 1], lambda x: length(x))), 0)::bigint lo
+  from (select rid, t, g, unnest(range(1, len(t) + 1)) i from (select rid, regexp_extract_all(text, '{pattern}') t, string_split_regex(text, '{pattern}') g from {source}))
+)"""
+
+
+_SQL_ASSIGN = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+_SQL_TAIL = (
+    "case when z >= 0 then q else 1 - q end from (select *, exp(-z * z / 2) / sqrt(2 * 3.141592653589793) * u * (0.319381530 + u * (-0.356563782 + u * (1.781477937 + u * (-1.821255978 + u * 1.330274429)))) q "
+    "from (select *, 1 / (1 + 0.2316419 * abs(z)) u from {}))"
+)
+OP12_SQL = f"""
+with r as (
+  select row_number() over () rid, doc_id, coalesce(text, '') as text from documents
+), {_sql_matches("m_assign", "r", _SQL_ASSIGN)}, {_sql_matches("m_access", "r", "AKIA[A-Z0-9]+")}, {_sql_matches("m_hex", "r", "[0-9a-f]+")},
+{_sql_matches("m_key", "r", "[A-Za-z0-9+/_-]{20,}")}, base as (
+  select rid, 0 place, 'assign' kind, lo, lo + length(s) stop from m_assign where length(regexp_extract(s, '{_SQL_ASSIGN}', 2)) >= 6
+  union all select rid, 1, 'access', lo, lo + length(s) from m_access where length(s) >= 20
+  union all select rid, 2, 'hex', lo, lo + length(s) from m_hex where length(s) >= 24
+), e as (
+  select rid, lo, s, case
+    when regexp_full_match(s, '[0-9a-f]+') and s ~ '.*[0-9].*' and s ~ '.*[a-f].*' then '0123456789abcdef'
+    when regexp_full_match(s, '[0-9A-F]+') and s ~ '.*[0-9].*' and s ~ '.*[A-F].*' then '0123456789ABCDEF'
+    when regexp_full_match(s, '[A-Z2-7]+') and s ~ '.*[2-7].*' and s ~ '.*[A-Z].*' then 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+    when regexp_full_match(s, '[0-9a-z]+') and s ~ '.*[0-9].*' and s ~ '.*[a-z].*' then '0123456789abcdefghijklmnopqrstuvwxyz'
+    when regexp_full_match(s, '[0-9A-Z]+') and s ~ '.*[0-9].*' and s ~ '.*[A-Z].*' then '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ'
+    when not (s ~ '.*[0-9].*' and s ~ '.*[A-Z].*' and s ~ '.*[a-z].*') then null
+    when regexp_full_match(s, '[0-9A-Za-z]+') then '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'
+    when regexp_full_match(s, '[0-9A-Za-z+/]+') then 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/'
+    when regexp_full_match(s, '[0-9A-Za-z_-]+') then 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_'
+  end alphabet from m_key
+), keys as (
+  select distinct s, alphabet, length(s)::double n, length(alphabet)::double a from e where alphabet is not null
+), c as (
+  select s, i, instr(alphabet, substr(s, i, 1)) - 1 v, n, a from (select *, unnest(range(1, length(s) + 1)) i from keys)
+), stat as (
+  select s, any_value(n) n, any_value(a) a, sum(v)::double sv, sum(v * v)::double sq, sum(v * w)::double sp, sum((v >= a // 2)::int)::double ones,
+    1.0 + count(*) filter (i > 1 and (v >= a // 2) <> (p >= a // 2)) n_runs
+  from (select *, coalesce(lead(v) over o, first_value(v) over o) w, lag(v) over o p from c window o as (partition by s order by i)) group by s
+), twice as (
+  select s, sum(k * k)::double squares from (select s, v, count(*) k from c group by s, v) group by s
+), scored as (
+  select *, (n * sp - sv * sv) / nullif(n * sq - sv * sv, 0) serial, 1 + 2 * ones * (n - ones) / n mean,
+    (a / n * squares - n) * n / (n - 1) / ((a - 1) * n / (n - 1)) per, (a - 1) * n / (n - 1) free from stat join twice using (s)
+), z as (
+  select s, 1 test, (pow(greatest(per, 0), 1.0 / 3) - (1 - 2 / (9 * free))) / sqrt(2 / (9 * free)) z from scored
+  union all select s, 2, case when (mean - 1) * (mean - 2) > 0 then abs(n_runs - mean) / sqrt((mean - 1) * (mean - 2) / (n - 1)) end from scored
+  union all select s, 3, abs(serial + 1 / (n - 1)) / sqrt(n * n / ((n - 1) * (n - 1) * (n - 2))) from scored
+), tails as (
+  select s, test, {_SQL_TAIL.format("z")}
+), halves as (
+  select s, -sum(ln(greatest(least(coalesce(case when test = 1 then p else 2 * p end, 0), 1), 1e-300))) h from tails t(s, test, p) group by s
+), judged as (
+  select s, alphabet, floor(2 * log2(n))::int size, exp(-h) * (1 + h + h * h / 2) p from halves join keys using (s)
+), stepped as (
+  select *, case when p < 0.001 then 0 else least(floor(p * 100), 99) + 1 end step from judged
+), counted as (
+  select alphabet, size, step, count(*) n from stepped group by all
+), bounds as (
+  select alphabet, size, min(step) bound from (
+    select *, sum(case when step > 20 then n else 0 end) over (partition by alphabet, size) * 1.25 * (1 - case when step = 1 then 0.001 else (step - 1) / 100.0 end) expected,
+      sum(n) over (partition by alphabet, size order by step desc) accepted from counted)
+  where step > 0 and 1 - expected / accepted <= 0.05 group by all
+), added as (
+  select rid, 3 place, 'random' kind, e.lo, e.lo + length(e.s) stop from e join stepped x using (s) join bounds b on b.alphabet = x.alphabet and b.size = x.size and step >= bound
+  where not exists (select 1 from base where base.rid = e.rid and base.lo <= e.lo and base.stop >= e.lo + length(e.s))
+), told as (
+  select rid, string_agg(concat_ws(':', kind, lo, stop), ',' order by lo, place) filter (place < 3) base, string_agg(concat_ws(':', kind, lo, stop), ',' order by lo, place) spans,
+    count(*) filter (kind = 'assign') n_assign, count(*) filter (kind = 'access') n_access, count(*) filter (kind = 'hex') n_hex
+  from (select * from base union all select * from added) group by rid
+)
+select doc_id, coalesce(n_assign, 0)::bigint n_assign, coalesce(n_access, 0)::bigint n_access, coalesce(n_hex, 0)::bigint n_hex,
+  sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans
+from r left join told using (rid)
+"""
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per node of the rebuilt conversations' prefix trie: members, children, leaves, saved tokens and who ends there."""
     turns = prefix_trie.numbered(spark, table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
@@ -237,7 +324,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
     "op11_token_alignment": op11_token_alignment,
+    "op12_secret_scan": op12_secret_scan,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_quality_rules": OP6_SQL, "op13_prefix_trie": OP13_SQL}
+ORACLE: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_quality_rules": OP6_SQL, "op12_secret_scan": OP12_SQL, "op13_prefix_trie": OP13_SQL}
