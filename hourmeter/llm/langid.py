@@ -3,15 +3,19 @@
 Features are character n-grams (one to three characters, lower-cased) hashed to ``BINS`` bins an order; a
 feature's value is its share of the text's n-grams times its inverse document frequency, scaled.  Inverse
 document frequencies are counted over all training documents.  The weights are fitted by
-follow-the-regularised-leader with an elastic net on at most ``per_language`` documents of each language,
-drawn by a hash of doc_id, and ``SAMPLE`` documents in all but ten a language at least (documented
-parameters; they bound the task that fits them); a fifth of these is
-held back, and the temperature that minimises their log loss calibrates the probabilities.
+follow-the-regularised-leader with an elastic net on at most ``per_language`` documents of each language, and
+``SAMPLE`` documents in all but ten a language at least (documented parameters; they bound the task that fits them).
+The sample is the least hash of (doc_id, text) in each of so many buckets a language, so the bound holds however often
+an id or a row repeats.  A fifth of it is held back, and the temperature that minimises their log loss calibrates the
+probabilities.
+
+Up to ``GROUP`` languages are one model.  More are cut into groups of that many, by name: one model tells the group, one in
+each group, fitted in a task of its own, tells the language, and the probability is the product of both.
 
 The score is linear in the n-grams, so a prediction is one pass over the whole text, however long.
 
 Nulls: a null text, or one without letters, is ``und`` with score 0.  Rows without language don't train.
-Texts of repeated rows train as often as they stand there.  A null doc_id keeps its row and is never held
+Repeated rows train once.  A null doc_id keeps its row and is never held
 out.  Without any training row every text is ``und``.  An empty table gives an empty result.
 """
 
@@ -27,12 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourmeter.llm import textkernel as TK
+from hourmeter.llm.frames import discard, saved
 
 ORDERS = (1, 2, 3)
 BINS = 1 << 14
 PER_LANGUAGE = 1_500
 SAMPLE = 6_000
-MAX_LANGUAGES = 256
+GROUP = 256
 SCALE = 16.0
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.2, 0.02
@@ -46,6 +51,7 @@ class Model:
     weights: np.ndarray  # (bins of all orders, languages), inverse document frequency and scale included
     bias: np.ndarray
     temperature: float
+    parts: list[Model] | None = None  # the languages are numbers of groups then, and this has the groups' models
 
 
 def _codes(column: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
@@ -144,68 +150,97 @@ def fit_temperature(logits: np.ndarray, label: np.ndarray) -> float:
     return float(np.exp((lo + hi) / 2))
 
 
-def _fit(idf: np.ndarray, languages: list[str]):
+def _fit(idf: np.ndarray, languages: list[list[str]]):
+    """Fit the rows (group, text, label, draw) of one group, whose labels ``languages[group]`` lists."""
+
     def run(table: pa.Table) -> pa.Table:
+        group = table.column("group")[0].as_py()
+        place = {x: k for k, x in enumerate(languages[group])}
         draw = table.column("draw").to_numpy()
         order = np.argsort(draw, kind="stable")
-        label = np.array([languages.index(x) for x in table.column("lang").to_pylist()])
+        label = np.array([place[x] for x in table.column("label").to_pylist()])
         rows = _rows(TK.one_array(table.column("text")), idf)
         held = np.zeros(len(rows), bool)
         held[order[::5]] = len(rows) >= 50
-        w, b = fit_rows(rows, label, len(languages), len(idf), order[~held[order]])
-        logits = np.array([x @ w[at] + b for i, (at, x) in enumerate(rows) if held[i]]).reshape(-1, len(languages))
+        w, b = fit_rows(rows, label, len(place), len(idf), order[~held[order]])
+        logits = np.array([x @ w[at] + b for i, (at, x) in enumerate(rows) if held[i]]).reshape(-1, len(place))
         t = fit_temperature(logits, label[held])
         w = (w * idf[:, None] * SCALE).astype("<f8")
-        return pa.table({"weights": pa.array([w.tobytes()], pa.binary()), "bias": pa.array([b.astype("<f8").tobytes()], pa.binary()), "temperature": [t]})
+        return pa.table({"group": pa.array([group], pa.int32()), "weights": pa.array([w.tobytes()], pa.binary()), "bias": pa.array([b.astype("<f8").tobytes()], pa.binary()), "temperature": [t]})
 
     return run
 
 
+def _sample(rows: DataFrame, label: str, n: int, more: str) -> DataFrame:
+    """At most ``n`` different rows of each label: the least draw in each of ``n`` buckets.  ``more`` names what is kept."""
+    bucket = F.pmod(F.xxhash64("draw", F.lit("bucket")), F.lit(n))
+    chosen = rows.groupBy(label, bucket.alias("bucket")).agg(F.min("draw").alias("draw")).select(label, "draw")
+    return rows.join(chosen, [label, "draw"], "left_semi").dropDuplicates([label, "draw"]).select("text", "lang", "draw", more)
+
+
+def _models(sample: DataFrame, idf: np.ndarray, languages: list[list[str]]) -> list[Model]:
+    """The models of the groups in ``sample`` (group, label, text, draw); their number is bounded by the languages."""
+    fitted = sample.groupBy("group").applyInArrow(_fit(idf, languages), "group int, weights binary, bias binary, temperature double").collect()
+    of = {r["group"]: r for r in fitted}
+    return [Model(x, np.frombuffer(of[g]["weights"], "<f8").reshape(len(idf), len(x)), np.frombuffer(of[g]["bias"], "<f8"), of[g]["temperature"]) for g, x in enumerate(languages)]
+
+
 def train(spark: SparkSession, docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE) -> Model | None:
     """Fit on the rows of ``docs`` (doc_id, text, lang) for which ``usable`` holds and lang is not null."""
     rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if not sizes:
+    names = sorted(r["lang"] for r in rows.select("lang").distinct().collect())  # the model has a column for each anyway
+    if not names:
         return None
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages")
-    languages = sorted(sizes)
     dims = len(ORDERS) * BINS
     counts = rows.select("text").mapInArrow(TK.tidied(_document_counts), "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
     df = np.zeros(dims + 1)
     for r in counts.collect():  # at most one row a bin
         df[r["bin"]] = r["n"]
     idf = np.where(df[:-1] > 0, np.log((1 + df[-1]) / (1 + df[:-1])) + 1e-3, 0.0)
-    draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("langid")), 11) / F.lit(float(1 << 53))
-    per_language = min(per_language, max(10, SAMPLE // len(sizes)))
-    rate = F.lit(0.0)
-    for lang, n in sizes.items():
-        rate = F.when(F.col("lang") == lang, min(1.0, per_language / n)).otherwise(rate)
-    sample = rows.withColumn("draw", draw).where(F.col("draw") < rate)
-    model = sample.select("text", "lang", "draw").groupBy().applyInArrow(_fit(idf, languages), "weights binary, bias binary, temperature double").first()
-    if model is None:
-        return None
-    k = len(languages)
-    return Model(languages, np.frombuffer(model["weights"], "<f8").reshape(dims, k), np.frombuffer(model["bias"], "<f8"), model["temperature"])
+    groups = [names[k : k + GROUP] for k in range(0, len(names), GROUP)]
+    of = spark.createDataFrame([(x, g) for g, group in enumerate(groups) for x in group], "lang string, group int")
+    rows = rows.withColumn("draw", F.xxhash64("doc_id", "text", F.lit("langid"))).join(F.broadcast(of), "lang")  # a row a language
+    per_language = min(per_language, max(10, SAMPLE // len(names)))
+    sample = saved(spark, _sample(rows, "lang", per_language, "group"), "langid-sample")
+    models = _models(sample.withColumn("label", F.col("lang")), idf, groups)
+    if len(groups) == 1:
+        discard(spark, sample)
+        return models[0]
+    of_all = sample.select("text", "lang", "draw", F.col("group").cast("string").alias("label"))
+    of_all = _sample(of_all, "label", max(10, SAMPLE // len(groups)), "label").withColumn("group", F.lit(0))
+    top = _models(of_all, idf, [sorted(str(g) for g in range(len(groups)))])[0]
+    discard(spark, sample)
+    top.parts = [models[int(g)] for g in top.languages]
+    return top
+
+
+def _probabilities(model: Model, codes: list[np.ndarray], off: np.ndarray) -> np.ndarray:
+    w = np.vstack([model.weights, np.zeros((1, len(model.languages)))])  # the last bin is no n-gram
+    total = np.zeros((len(off) - 1, w.shape[1]))
+    for code in codes:
+        for c in range(w.shape[1]):
+            total[:, c] += np.add.reduceat(w[:, c].take(code), off[:-1])
+    return _softmax((total / np.diff(off)[:, None] + model.bias) / model.temperature)
 
 
 def _predict(model: Model):
-    w = np.vstack([model.weights, np.zeros((1, len(model.languages)))])  # the last bin is no n-gram
-    bias, t = model.bias, model.temperature
-    names = pa.array(model.languages)
+    languages = [x for part in model.parts for x in part.languages] if model.parts else model.languages
+    first = np.cumsum([0, *(len(part.languages) for part in model.parts or [])])
+    names = pa.array(languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [c for c in batch.schema.names if c != "_lid_text"]
             best, score = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             for i, j, codes, off in _codes(batch.column("_lid_text")):
-                total = np.zeros((j - i, w.shape[1]))
-                for code in codes:
-                    for c in range(w.shape[1]):
-                        total[:, c] += np.add.reduceat(w[:, c].take(code), off[:-1])
-                p = _softmax((total / np.diff(off)[:, None] + bias) / t)
-                best[i:j], score[i:j] = p.argmax(axis=1), p.max(axis=1)
+                p = _probabilities(model, codes, off)
+                at, top = p.argmax(axis=1), p.max(axis=1)
+                for g in np.unique(at) if model.parts else ():
+                    inner, own = _probabilities(model.parts[g], codes, off), at == g
+                    best[i:j][own], score[i:j][own] = first[g] + inner.argmax(axis=1)[own], (top * inner.max(axis=1))[own]
+                if not model.parts:
+                    best[i:j], score[i:j] = at, top
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), names.take(pa.array(best)), pa.array(score)], [*kept, "_lid_lang", "_lid_score"])
 
     return run

@@ -205,3 +205,119 @@ def test_language_edge_cases(spark, odd_documents):
     nobody = odd_documents.withColumn("lang", F.lit(None).cast("string"))
     assert {r["_lid_lang"] for r in langid.identify(spark, nobody).collect()} == {"und"}
     assert langid.identify(spark, odd_documents.limit(0)).count() == 0
+
+
+def plain_ngrams(text):
+    """Bins of a text's n-grams, one character after the other."""
+    c, m = [ord(x) for x in f" {text.lower()} "], (1 << 32) - 1
+    out = Counter()
+    for order, n in enumerate(langid.ORDERS):
+        for i in range(len(c) - n + 1):
+            h = c[i] * 2654435761 & m
+            for t in range(1, n):
+                h = ((h ^ h >> 15) * 2246822519 + c[i + t] * 3266489917) & m
+            h = (h ^ h >> 13) * 2654435769 & m
+            out[(h >> (32 - langid.BINS.bit_length() + 1)) + order * langid.BINS] += 1
+    return out, len(c)
+
+
+def plain_model(texts, labels, draws, names):
+    """TF-IDF, follow-the-regularised-leader and temperature with plain numbers."""
+    grams = [plain_ngrams(t) for t in texts]
+    df = Counter(b for g, _ in grams for b in g)
+    idf = {b: math.log((1 + len(texts)) / (1 + n)) + 1e-3 for b, n in df.items()}
+    rows = [[(b, n / size * idf[b] * langid.SCALE) for b, n in g.items()] + [(-1, 1.0)] for g, size in grams]
+    order = sorted(range(len(texts)), key=lambda i: draws[i])
+    held = set(order[::5]) if len(texts) >= 50 else set()
+    k = len(names)
+    z, n = defaultdict(lambda: [0.0] * k), defaultdict(lambda: [0.0] * k)
+
+    def weight(b, c):
+        l1 = 0.0 if b == -1 else langid.L1
+        if abs(z[b][c]) <= l1:
+            return 0.0
+        return -(z[b][c] - math.copysign(l1, z[b][c])) / ((langid.BETA + math.sqrt(n[b][c])) / langid.ALPHA + langid.L2)
+
+    def logits(row):
+        return [sum(x * weight(b, c) for b, x in row) for c in range(k)]
+
+    def softmax(v):
+        e = [math.exp(x - max(v)) for x in v]
+        return [x / sum(e) for x in e]
+
+    for _ in range(langid.EPOCHS):
+        for i in order:
+            if i in held:
+                continue
+            p = softmax(logits(rows[i]))
+            p[names.index(labels[i])] -= 1
+            old = {b: [weight(b, c) for c in range(k)] for b, _ in rows[i]}
+            for b, x in rows[i]:
+                for c in range(k):
+                    g = x * p[c]
+                    z[b][c] += g - (math.sqrt(n[b][c] + g * g) - math.sqrt(n[b][c])) / langid.ALPHA * old[b][c]
+                    n[b][c] += g * g
+
+    known = [(logits(rows[i]), names.index(labels[i])) for i in held]
+
+    def loss(t):
+        return sum(-math.log(softmax([x / math.exp(t) for x in v])[y] + 1e-12) for v, y in known) / len(known)
+
+    t = min((k / 1000 for k in range(-4000, 4001)), key=loss) if held else 0.0
+    return lambda text: softmax([x / math.exp(t) for x in logits([(b, n / size * idf[b] * langid.SCALE) for g, size in [plain_ngrams(text)] for b, n in g.items() if b in idf] + [(-1, 1.0)])])
+
+
+def toy_documents(spark, n, ids=lambda i: i):
+    rnd = random.Random(n)
+    kinds = {"aa": "banana papaya cassava", "bb": "tree street sleeve", "cc": "io lilo pillion"}
+    rows = [(ids(i), " ".join(rnd.choice(kinds[k].split()) for _ in range(rnd.randint(3, 9))) + f" {i}", k) for i in range(n) for k in [rnd.choice(sorted(kinds))]]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_language_model_matches_plain_arithmetic(spark):
+    rows, docs = toy_documents(spark, 90)
+    marked = docs.withColumn("draw", F.xxhash64("doc_id", "text", F.lit("langid"))).withColumn("bucket", F.pmod(F.xxhash64("draw", F.lit("bucket")), F.lit(langid.PER_LANGUAGE))).collect()
+    least = {}
+    for r in marked:
+        least[r["lang"], r["bucket"]] = min(least.get((r["lang"], r["bucket"]), r["draw"]), r["draw"])
+    drawn = [r for r in marked if least[r["lang"], r["bucket"]] == r["draw"]]
+    assert len(drawn) == len(rows)  # idf is over all of them, as the fit is
+    ask = plain_model([r["text"] for r in drawn], [r["lang"] for r in drawn], [r["draw"] for r in drawn], ["aa", "bb", "cc"])
+    got = langid.predict(docs, langid.train(spark, docs, F.lit(True))).collect()
+    for r in got:
+        p = ask(r["text"])
+        assert r["_lid_lang"] == ["aa", "bb", "cc"][p.index(max(p))] and abs(r["_lid_score"] - max(p)) < 5e-3
+
+
+def test_one_id_or_none_on_very_many_rows_still_trains(spark):
+    for one in (7, 0, None):
+        rows, docs = toy_documents(spark, 3000, lambda i, one=one: one)
+        seen = []
+        fit = langid._sample
+        try:
+            langid._sample = lambda *a: seen.append(fit(*a)) or seen[-1]
+            out = langid.predict(docs, langid.train(spark, docs, F.lit(True), per_language=200)).collect()
+        finally:
+            langid._sample = fit
+        assert 300 < seen[0].count() <= 600 and sum(r["_lid_lang"] == r["lang"] for r in out) > 0.99 * len(out)
+    same = docs.limit(1).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(2000)))).drop("k")
+    out = langid.identify(spark, same).select("_lid_lang", "lang").distinct().collect()
+    assert len(out) == 1 and out[0][0] == out[0][1]
+
+
+def test_more_languages_than_a_group(spark, monkeypatch):
+    monkeypatch.setattr(langid, "GROUP", 4)
+    names = [f"l{k:02d}" for k in range(10)]
+    rnd = random.Random(4)
+    own = {x: ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(3)] for x in names}
+    rows = [(i, " ".join(rnd.choice(own[x]) for _ in range(8)), x) for i in range(600) for x in [names[i % 10]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    out = langid.identify(spark, docs).collect()
+    assert sum(r["_lid_lang"] == r["lang"] for r in out) > 0.95 * len(out) and all(0 < r["_lid_score"] <= 1 for r in out)
+
+
+def test_three_hundred_languages(spark):
+    rows = [(i, f"{'abcdefghij'[i % 10] * 3} {'klmnopqrst'[i // 10 % 10] * 3} {'uvwxyz'[i // 100 % 3] * 3}", f"l{i % 300}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.identify(spark, docs).collect()
+    assert {r["_lid_lang"] for r in out} <= {f"l{k}" for k in range(300)} and sum(r["_lid_lang"] == r["lang"] for r in out) > 0.5 * len(out)
