@@ -246,8 +246,8 @@ with r as (
   select alphabet, size, step, count(*) n from stepped group by all
 ), bounds as (
   select alphabet, size, min(step) bound from (
-    select *, sum(case when step > 20 then n else 0 end) over (partition by alphabet, size) * 1.25 * (1 - case when step = 1 then 0.001 else (step - 1) / 100.0 end) expected,
-      sum(n) over (partition by alphabet, size order by step desc) accepted from counted)
+    select *, (upper + sqrt(upper)) * 1.25 * (1 - case when step = 1 then 0.001 else (step - 1) / 100.0 end) expected
+    from (select *, sum(case when step > 20 then n else 0 end) over (partition by alphabet, size) upper, sum(n) over (partition by alphabet, size order by step desc) accepted from counted))
   where step > 0 and 1 - expected / accepted <= 0.05 group by all
 ), added as (
   select rid, 3 place, 'random' kind, e.lo, e.lo + length(e.s) stop from e join stepped x using (s) join bounds b on b.alphabet = x.alphabet and b.size = x.size and step >= bound

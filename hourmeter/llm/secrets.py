@@ -10,9 +10,9 @@ counts, number of runs of the alphabet's two halves, and serial correlation of n
 
 *False-discovery control.*  Random strings have uniform p-values, whatever their length; words and names have small ones,
 but less surely the shorter they are.  So for each encoding and class of lengths, the candidates of the whole corpus,
-each different one once, tell how many random ones there are (those of p above a fifth, over four fifths), and the acceptance
-bound is the least p at which at most ``FDR`` of what is accepted is expected not to be random.  No bound lies below
-``LEAST_P``.  A class without any p above a fifth accepts nothing.
+each different one once, tell how many random ones there are (those of p above a fifth and one standard deviation of
+their number, over four fifths), and the acceptance bound is the least p at which at most ``FDR`` of what is accepted
+is expected not to be random.  No bound lies below ``LEAST_P``; a class without any p above a fifth accepts nothing.
 
 All in built-in functions.  A text is read once; its spans and candidates go to a table, from which the bounds are counted
 (one row an encoding, length class and step of p, so the table of bounds is of fixed size) and the spans taken.
@@ -216,7 +216,7 @@ def bounds(scanned: DataFrame) -> DataFrame:
     upper = F.sum(F.when(F.col("step") > SURE, F.col("n")).otherwise(0)).over(group)
     accepted = F.sum("n").over(group.orderBy(F.desc("step")))
     least = F.when(F.col("step") == 1, F.lit(LEAST_P)).otherwise((F.col("step") - 1) / F.lit(float(STEPS)))
-    expected = upper * (STEPS / (STEPS - SURE)) * (1 - least)
+    expected = (upper + F.sqrt(upper)) * (STEPS / (STEPS - SURE)) * (1 - least)
     fits = (F.col("step") > 0) & (1 - expected / accepted <= FDR)
     return counted.withColumn("fits", fits).where("fits").groupBy("encoding", "length_class").agg(F.min("step").alias("step"))
 
