@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from hourmeter.llm import textkernel as TK
 from hourmeter.llm.frames import discard, saved
 
-BLOCK_PAIRS = 2_000_000
-SLICE_BYTES = 1 << 20
+BLOCK_PAIRS = 500_000
+SLICE_BYTES = 1 << 18
 #: Fixed value: how byte-level files split a text into pre-tokens.
 _GPT2_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -239,7 +239,7 @@ def aligned(texts: list[str | None], a: ByteLevel, b: Pieces) -> _Slice:
     at = np.flatnonzero(new)
     n_pairs = np.zeros(n, np.int64)
     n_pairs[row] = np.bincount(text_of[at], minlength=len(row))
-    return _Slice({**rows, "groups_sha256": sha}, pair[at], np.diff(np.append(at, len(pair))), n_pairs)
+    return _Slice({**rows, "groups_sha256": sha}, pair[at], np.diff(np.append(at, len(pair))).astype(np.int32), n_pairs)
 
 
 _BLOCK = pa.schema([("block", pa.int64()), *((c, pa.list_(pa.string() if c == "groups_sha256" else pa.int64())) for c in _ROW), ("pairs", pa.list_(pa.int64())), ("held", pa.list_(pa.int32())), ("packed", pa.binary())])
