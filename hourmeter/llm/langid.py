@@ -172,10 +172,11 @@ def _fit(idf: np.ndarray, languages: list[list[str]]):
 
 
 def _sample(rows: DataFrame, label: str, n: int, more: str) -> DataFrame:
-    """At most ``n`` different rows of each label: the least draw in each of ``n`` buckets.  ``more`` names what is kept."""
+    """At most ``n`` different rows of each label: the least draw in each of ``n`` buckets.  ``more`` names what is kept.
+    The chosen draws are broadcast, as there are no more of them than the sample's bound."""
     bucket = F.pmod(F.xxhash64("draw", F.lit("bucket")), F.lit(n))
     chosen = rows.groupBy(label, bucket.alias("bucket")).agg(F.min("draw").alias("draw")).select(label, "draw")
-    return rows.join(chosen, [label, "draw"], "left_semi").dropDuplicates([label, "draw"]).select("text", "lang", "draw", more)
+    return rows.join(F.broadcast(chosen), [label, "draw"], "left_semi").dropDuplicates([label, "draw"]).select("text", "lang", "draw", more)
 
 
 def _models(sample: DataFrame, idf: np.ndarray, languages: list[list[str]]) -> list[Model]:
