@@ -16,6 +16,7 @@ which is kept because the "operating branch" tie-break picks the lowest one.
   rejected_rows  file_name, line_no, raw_line, reason, detail
   interval_days  event_date, ref_no, driver_key, event_branch_id, run_seconds, counter_resets,
                  capped_intervals, intervals (optional; computed from events when absent)
+  event_filters  event_date, level, bucket, bits: Bloom filters over the events' natural keys (optional)
   event_days     event_date, event_branch_id, ref_no, driver_key, event_type, events (same)
 """
 
@@ -58,6 +59,7 @@ class Tables:
     pipeline_runs: DataFrame | None = None
     interval_days: DataFrame | None = None  # committed interval rollup (operators.intervals.interval_rollup)
     event_days: DataFrame | None = None  # committed event rollup (operators.views.event_rollup)
+    event_filters: DataFrame | None = None  # committed key filters (operators.keyfilter.build_filters)
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Tables":
@@ -66,6 +68,7 @@ class Tables:
         if "events" in kw:
             kw.setdefault("interval_days", None)
             kw.setdefault("event_days", None)
+            kw.setdefault("event_filters", None)
         return replace(self, **kw)
 
     def committed_events(self) -> DataFrame:

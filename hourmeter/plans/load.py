@@ -30,6 +30,7 @@ from hourmeter.functions import exprs as X
 from hourmeter.functions.constants import ERROR_MESSAGE_MAX, MACHINE_TYPES
 from hourmeter.model import event_types_df
 from hourmeter.operators.cleaning import Cleaned, clean_records
+from hourmeter.operators.keyfilter import may_be_stored
 from hourmeter.plans.store import Store, write_rollup
 from hourmeter.session import ensure_checkpoint_dir
 from hourmeter.sources import files as FS
@@ -109,10 +110,11 @@ def insert_drivers(drivers: DataFrame, rows: DataFrame) -> DataFrame:
     return drivers.select("driver_key", "first_name", "surname", "display_name").unionByName(new)
 
 
-def new_events(existing: DataFrame, rows: DataFrame, branches: DataFrame, load_id: str, now) -> DataFrame:
+def new_events(existing: DataFrame, rows: DataFrame, branches: DataFrame, load_id: str, now, filters: DataFrame | None = None) -> DataFrame:
     """Clean rows whose natural key is not stored yet; within the batch the
-    earliest (file_name, source_line) copy wins.  The dates of the batch are named to
-    the scan as literals, so only those partitions of the fact are read."""
+    earliest (file_name, source_line) copy wins.  The loads' key filters say which rows may be stored
+    already; only those are compared with the fact, and only their dates, named to the scan as
+    literals, are read from it.  Without filters every date of the batch is."""
     b = branches.select(F.col("name").alias("reported_branch"), F.col("branch_id").alias("event_branch_id"))
     r = rows.join(b, "reported_branch").select(
         *NATURAL_KEY,
@@ -127,11 +129,20 @@ def new_events(existing: DataFrame, rows: DataFrame, branches: DataFrame, load_i
     key = ["event_date", *NATURAL_KEY]
     firsts = r.groupBy(*key).agg(F.min(F.struct("file_name", "source_line")).alias("_w"))
     r = r.join(firsts, key).where(F.struct("file_name", "source_line") == F.col("_w")).drop("_w")
-    days = [d[0] for d in r.select("event_date").distinct().collect()]  # one value a calendar day
-    r = r.join(existing.where(F.col("event_date").isin(days)).select(*key), key, "left_anti")
+    asked = r.select(*key)
+    if filters is not None:
+        filters = filters.where(F.col("event_date").isin(_days(asked)))
+        asked = may_be_stored(asked, filters, "event_date", key).checkpoint()
+    stored = existing.where(F.col("event_date").isin(_days(asked))).select(*key)
+    r = r.join(stored.join(asked, key, "left_semi") if filters is not None else stored, key, "left_anti")
     return r.withColumn("loaded_at", F.lit(now)).withColumn("load_id", F.lit(load_id))
 
 
+def _days(rows: DataFrame) -> list[dt.date]:
+    """The dates of ``rows``, one value a calendar day."""
+    return [d[0] for d in rows.select("event_date").distinct().collect()]
+
+
 def new_rejected(existing: DataFrame, rejected: DataFrame, load_id: str, now) -> DataFrame:
     """Rejected lines whose (file, line) is not stored yet (an earlier load's row stays)."""
     names = rejected.select("file_name").distinct()
@@ -286,7 +297,7 @@ def load_records(
         machines_changed = changed.count()
         branches = insert_branches(branches, rows.select(F.col("reported_branch").alias("name"))).checkpoint()
         drivers = insert_drivers(t.drivers, rows).checkpoint()
-        ev = new_events(t.events, rows, branches, load_id, now).checkpoint()
+        ev = new_events(t.events, rows, branches, load_id, now, t.event_filters).checkpoint()
         rj = new_rejected(t.rejected_rows, rejected, load_id, now)
         store.append("events", ev, partition_by=["event_date"])
         write_rollup(store, t.events, ev, load_id)  # interval rollup of the touched dates, read once committed

@@ -6,6 +6,7 @@ Layout under ``root``:
   rejected_rows/                     append-only quarantine, ``load_id`` per run
   interval_days/event_date=.../rollup_load_id=.../   interval rollup of a touched date, one folder a load
   event_days/event_date=.../rollup_load_id=.../      event-count rollup, likewise
+  event_filters/event_date=.../      Bloom filters over the natural keys that a load added to a date
   ingestion_runs/ pipeline_runs/     append-only logs
   branches/v=<id>/ machines/v=<id>/ drivers/v=<id>/ source_files/v=<id>/
                                      small tables, rewritten whole by each load
@@ -66,6 +67,7 @@ SCHEMAS = {
         "event_date date, event_branch_id int, ref_no string, driver_key string, event_type string, events bigint, "
         "rollup_load_id string, rolled_at timestamp"
     ),
+    "event_filters": "event_date date, level int, bucket int, bits binary, filter_load_id string",
     "rejected_rows": "file_name string, line_no bigint, raw_line string, reason string, detail string, rejected_at timestamp, load_id string",
     "ingestion_runs": (
         "run_id string, file_name string, started_at timestamp, finished_at timestamp, status string, rows_read bigint, "
@@ -168,6 +170,7 @@ class Store:
         return Tables(
             interval_days=self._committed_rollup(committed, "interval_days"),
             event_days=self._committed_rollup(committed, "event_days"),
+            event_filters=self._committed_filters(committed),
             branches=self.read("branches", versions),
             machines=self.read("machines", versions),
             drivers=self.read("drivers", versions),
@@ -180,6 +183,14 @@ class Store:
             extra={"manifest": number},
         )
 
+    def _committed_filters(self, committed: DataFrame) -> DataFrame | None:
+        """The key filters of all committed loads; None in a warehouse whose events were loaded before there were any."""
+        fs, p = self._jvm_fs(self.path("event_filters"))
+        if not fs.exists(p):
+            return None
+        ids = committed.select(F.col("load_id").alias("filter_load_id")).distinct()
+        return self.read("event_filters").join(ids, "filter_load_id", "left_semi")
+
     def _committed_rollup(self, committed: DataFrame, table: str) -> DataFrame | None:
         fs, p = self._jvm_fs(self.path(table))
         if not fs.exists(p):
@@ -195,11 +206,18 @@ class Store:
 
 
 def write_rollup(store: Store, committed_events: DataFrame, new_events: DataFrame, load_id: str) -> None:
-    """Append the interval and event rollups of every date ``new_events`` touches, under ``load_id``
-    (before the commit)."""
+    """Append the interval and event rollups of every date ``new_events`` touches, and the key filters of
+    ``new_events`` itself, under ``load_id`` (before the commit)."""
     from hourmeter.operators.intervals import interval_rollup, run_intervals
+    from hourmeter.operators.keyfilter import build_filters
     from hourmeter.operators.views import event_rollup
 
+    # a warehouse has filters from its first commit on or not at all: they must cover every stored event
+    fs, p = store._jvm_fs(store.path("event_filters"))
+    if fs.exists(p) or not store.manifest()[0]:
+        filters = build_filters(new_events, "event_date", ["event_date", "ref_no", "event_time", "event_type", "run_hours_seconds"])
+        store.append("event_filters", filters.withColumn("filter_load_id", F.lit(load_id)), partition_by=["event_date"])
+
     # the touched dates are the partitions to rewrite: one value per calendar day, named to
     # the scan as literals so it prunes to them statically
     days = [r[0] for r in new_events.select("event_date").distinct().collect()]

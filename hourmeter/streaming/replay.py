@@ -46,7 +46,7 @@ def replay_rejected(spark: SparkSession, store: Store, machine_list_path: str, r
     machines, _ = L.upsert_machines(t.machines, branches, ml, now)
     machines = machines.checkpoint()
     drivers = L.insert_drivers(t.drivers, c.rows).checkpoint()
-    ev = L.new_events(t.events, c.rows, branches, load_id, now).checkpoint()
+    ev = L.new_events(t.events, c.rows, branches, load_id, now, t.event_filters).checkpoint()
     touched = ev.select("file_name").distinct().checkpoint()
     if touched.take(1):
         store.append("events", ev, partition_by=["event_date"])
