@@ -153,3 +153,138 @@ def _json_document(spark: SparkSession, sf: str) -> DataFrame:
 
 
 register("m2_dashboard_snapshot_week", _dashboard_sql(*_WEEK))(_json_document)
+
+
+# ---------------------------------------------------------------- A2, A3, A7, A8, A12: three deliveries, of which one changes files and machines
+
+import datetime as _dt  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from hourmeter.plans.load import load_records  # noqa: E402
+from hourmeter.plans.store import Store  # noqa: E402
+from hourmeter.session import ensure_checkpoint_dir  # noqa: E402
+from hourmeter.sources import files as FS  # noqa: E402
+from hourmeter.sources.facade import BRANCH_PREFIX, data_day_of_month, facade_lines_with_gaps, facade_machine_index, facade_raw_lines  # noqa: E402
+
+CHANGED_DAYS = [5, 15, 25]  # the third delivery's files of these data days end in two more lines
+NEW_BRANCH = "Spare Yard"
+NEW_LINES = ["T23:59:58,M000001,Acme Spare Yard,Impact,987654321,,", "T23:59:59,GHOST,Acme Spare Yard,Impact,1,,"]  # after the data date
+_TIMES = [_dt.datetime(2024, 3, d, 4, 0, 0) for d in (1, 2, 3)]
+_DELIVERED: dict[tuple[str, str], str] = {}  # application, data folder -> warehouse folder
+
+
+def _redelivered(lines: DataFrame) -> DataFrame:
+    last = lines.where(data_day_of_month().isin(CHANGED_DAYS)).groupBy("file_name").agg(F.max("line_no").alias("n"))
+    date = F.date_format(F.date_sub(F.to_date(F.substring("file_name", 1, 10)), 1), "yyyy-MM-dd")
+    texts = F.array(*[F.struct((F.col("n") + k + 1).alias("line_no"), F.concat(date, F.lit(x)).alias("raw_line")) for k, x in enumerate(NEW_LINES)])
+    return lines.unionByName(last.select("file_name", F.inline(texts)))
+
+
+def _changed_list(machines: DataFrame) -> DataFrame:
+    """The machine list after a reorganisation: a tenth moved, a tenth of another type, one machine new, the others as they were."""
+    tenth = F.pmod(F.substring("ref_no", 2, 9).cast("int"), F.lit(10))
+    other = F.when(F.col("machine_type") == "PPT", "Forklift").otherwise("PPT")
+    changed = machines.select("ref_no", F.when(tenth == 3, NEW_BRANCH).otherwise(F.col("branch")).alias("branch"), F.when(tenth == 4, other).otherwise(F.col("machine_type")).alias("machine_type"))
+    return changed.unionByName(machines.sparkSession.range(1).select(F.lit("M999999").alias("ref_no"), F.lit(NEW_BRANCH).alias("branch"), F.lit("PPT").alias("machine_type")))
+
+
+def deliveries(spark: SparkSession, sf: str) -> Store:
+    """A folder with gaps loaded, loaded again as it is, and loaded once more after some files and the machine list have changed.
+    Which files a load picks is left to their fingerprints."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _DELIVERED:
+        root = ensure_checkpoint_dir(spark).rstrip("/") + "/contract-deliveries-" + _uuid.uuid4().hex
+        t = facade_tables(spark, sf)
+        first, names = facade_lines_with_gaps(facade_raw_lines(spark, sf, t))
+        first, names, machines = first.checkpoint(), names.checkpoint(), facade_machine_index(t).checkpoint()
+        store = Store(spark, root, BRANCH_PREFIX)
+        # the second time, the lines come in another order and partitioning
+        told = ((first, machines), (first.repartition(5, "raw_line"), machines), (_redelivered(first).checkpoint(), _changed_list(machines)))
+        for (lines, listed), at in zip(told, _TIMES, strict=True):
+            prints = FS.file_fingerprints(lines.withColumnRenamed("raw_line", "line"))
+            candidates = names.join(prints, "file_name", "left").withColumn("checksum", F.coalesce("checksum", F.lit("empty")))
+            load_records(spark, store, lines.withColumn("fields", FS.parse_fields(F.col("raw_line"))), candidates, listed, started_at=at)
+        _DELIVERED[key] = root
+    return Store(spark, _DELIVERED[key], BRANCH_PREFIX)
+
+
+def _load_no(column: str) -> F.Column:
+    return F.coalesce(*[F.when(F.col(column) == F.lit(at), k + 1) for k, at in enumerate(_TIMES)])
+
+
+_CHANGED_SQL = f"""
+changed AS (SELECT * FROM r_outcome WHERE day(CAST(left(file_name, 10) AS DATE) - 1) IN ({', '.join(map(str, CHANGED_DAYS))}) AND status = 'success'),
+-- a file's length before the third delivery, which the two new lines follow
+ends AS (SELECT file_name, max(line_no) AS n, strftime(CAST(left(file_name, 10) AS DATE) - 1, '%Y-%m-%d') AS d FROM r_lines SEMI JOIN changed USING (file_name) GROUP BY ALL),
+added AS (
+  SELECT file_name, n + 1 AS line_no, d || 'T23:59:58,M000001,Acme Spare Yard,Impact,987654321,,' AS raw_line FROM ends
+  UNION ALL SELECT file_name, n + 2, d || 'T23:59:59,GHOST,Acme Spare Yard,Impact,1,,' FROM ends)
+"""
+
+register(
+    "a3_picked_deliveries",
+    C.with_runs(
+        ","
+        + _CHANGED_SQL
+        + """
+SELECT 1 AS load_no, file_name, status, rows_read, rows_loaded, rows_already_loaded, rows_rejected FROM r_outcome
+UNION ALL SELECT k, file_name, status, rows_read, rows_loaded, rows_already_loaded, rows_rejected FROM r_outcome, (VALUES (2), (3)) v(k) WHERE status = 'failed'
+UNION ALL SELECT 3, file_name, status, rows_read + 2, 1, rows_loaded + rows_already_loaded, rows_rejected + 1 FROM changed"""
+    ),
+)(lambda spark, sf: deliveries(spark, sf).read("ingestion_runs").select(_load_no("started_at").alias("load_no"), "file_name", "status", "rows_read", "rows_loaded", "rows_already_loaded", "rows_rejected"))
+
+register(
+    "a2_a7_registry_after_deliveries",
+    C.with_runs(
+        ","
+        + _CHANGED_SQL
+        + """,
+held AS (SELECT file_name, raw_line FROM r_lines SEMI JOIN (SELECT * FROM r_outcome WHERE status = 'success') USING (file_name) UNION ALL SELECT file_name, raw_line FROM added)
+SELECT file_name, count(*) AS lines, CAST(sum(strlen(raw_line)) AS BIGINT) AS bytes,
+       CASE WHEN file_name IN (SELECT file_name FROM changed) THEN 2 ELSE 1 END AS load_count
+FROM held GROUP BY file_name"""
+    ),
+)(
+    lambda spark, sf: deliveries(spark, sf).tables().source_files.select(
+        "file_name", F.split("checksum", "-")[1].cast("bigint").alias("lines"), F.split("checksum", "-")[2].cast("bigint").alias("bytes"), "load_count"
+    )
+)
+
+
+def _rejections(spark: SparkSession, sf: str) -> DataFrame:
+    """Every stored rejection with the load that stored it: a line rejected before keeps its first row."""
+    store = deliveries(spark, sf)
+    loads = store.read("ingestion_runs").select(F.col("run_id").alias("load_id"), _load_no("started_at").alias("load_no")).distinct()
+    return store.tables().rejected_rows.join(loads, "load_id").select("load_no", "file_name", "line_no", "raw_line", "reason", "detail")
+
+
+register(
+    "a12_rejections_after_deliveries",
+    C.with_runs(
+        ","
+        + _CHANGED_SQL
+        + """
+SELECT 1 AS load_no, file_name, line_no, raw_line, reason, detail FROM r_rejected
+UNION ALL SELECT 3, file_name, line_no, raw_line, 'machine_not_in_machine_list', 'GHOST' FROM added WHERE raw_line LIKE '%GHOST%'"""
+    ),
+)(_rejections)
+
+
+def _machines(spark: SparkSession, sf: str) -> DataFrame:
+    t = deliveries(spark, sf).tables()
+    first = t.machines.agg(F.min("updated_at").alias("first"))  # one row
+    named = t.branches.select(F.col("branch_id").alias("home_branch_id"), F.col("name").alias("home_branch"))
+    return t.machines.join(named, "home_branch_id").crossJoin(first).select("ref_no", "home_branch", "machine_type", F.when(F.col("updated_at") == F.col("first"), 1).otherwise(3).alias("changed_in_load"))
+
+
+register(
+    "a8_machines_after_changed_list",
+    C.with_runs(
+        f""",
+listed AS (SELECT *, CAST(substr(ref_no, 2) AS INTEGER) % 10 AS tenth FROM r_machines)
+SELECT ref_no, CASE WHEN tenth = 3 THEN '{NEW_BRANCH}' ELSE branch END AS home_branch,
+       CASE WHEN tenth <> 4 THEN machine_type WHEN machine_type = 'PPT' THEN 'Forklift' ELSE 'PPT' END AS machine_type,
+       CASE WHEN tenth IN (3, 4) THEN 3 ELSE 1 END AS changed_in_load
+FROM listed UNION ALL SELECT 'M999999', '{NEW_BRANCH}', 'PPT', 3"""
+    ),
+)(_machines)
