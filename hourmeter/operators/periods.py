@@ -12,14 +12,19 @@ DAY_NAMES = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday",
 PERIOD_LABELS = ["yesterday", "this week", "last week", *DAY_NAMES]
 
 
+#: Seconds of a key that a window over whole seconds takes together, or the window's own length if that is longer.
+BLOCK_SECONDS = 3600
+
+
 def burst_flag(df: DataFrame, key: str, ts: str, limit: int, window_seconds: int = 60) -> DataFrame:
     """K4: per key, hits whose age is under ``window_seconds`` (self and same-instant hits
     included); ``is_limited`` when that count exceeds ``limit``.
 
     Exact, and a bursting key is cut by the second: the window of a hit is part of its own second, whole
-    seconds, and part of the second where the window begins.  Whole seconds are counted from one row a
-    key-second; both parts are running counts inside one key-second, so no task needs more rows together
-    than one key has in one second.
+    seconds, and part of the second where the window begins.  Both parts are running counts inside one key-second.
+    Whole seconds are counted from one row a key-second, and a key's history is cut into blocks of at least the window's
+    length: a second counts in its own block and, as history, in the next, so a block has all that its windows reach.
+    No task needs more rows together than one key has in one second, or seconds in two blocks.
 
     Nulls: a null key is a key like any other.  A hit without time stands in no other hit's window; it counts
     the hits of its key without time, as a RANGE frame over nulls does.  No row is lost.
@@ -31,9 +36,11 @@ def burst_flag(df: DataFrame, key: str, ts: str, limit: int, window_seconds: int
     timeless = instants.where("_s is null").select("_k", "_s", "_f", F.col("_n").alias("hits_in_window"))
     instants = instants.where("_s is not null")
     # whole seconds between the window's first second and the hit's own
-    seconds = instants.groupBy("_k", "_s").agg(F.sum("_n").alias("_t"))
-    whole = Window.partitionBy("_k").orderBy("_s").rangeBetween(-(int(window_seconds) - 1), -1)
-    seconds = seconds.select("_k", "_s", F.coalesce(F.sum("_t").over(whole), F.lit(0)).alias("_whole"))
+    block = F.floor(F.col("_s") / max(BLOCK_SECONDS, int(window_seconds)))
+    seconds = instants.groupBy("_k", "_s").agg(F.sum("_n").alias("_t")).withColumn("_own", block)
+    seconds = seconds.withColumn("_block", F.explode(F.array("_own", F.col("_own") + 1)))
+    whole = Window.partitionBy("_k", "_block").orderBy("_s").rangeBetween(-(int(window_seconds) - 1), -1)
+    seconds = seconds.withColumn("_whole", F.coalesce(F.sum("_t").over(whole), F.lit(0))).where("_own = _block").select("_k", "_s", "_whole")
     # running counts inside a second, for the hits themselves and for the instants where their windows begin
     hits = instants.select("_k", "_s", "_f", "_n", F.lit(0).alias("_asks"))
     starts = instants.select("_k", (F.col("_s") - int(window_seconds)).alias("_s"), "_f", F.lit(0).alias("_n"), F.lit(1).alias("_asks"))

@@ -179,19 +179,20 @@ def reconcile_run_hours(t: Tables, daily: DataFrame | None = None) -> DataFrame:
     """K2: an independent run-hours calculation per machine-day, compared with E1; returns the machine-days
     where the two disagree (none on sound data).  A day without a row in E1 counts as zero there.
 
-    The independent method reads the events once and uses no window: readings of a machine-hour are sorted in
-    an array and their steps added up inside it, each hour keeps its first and last reading, and the day adds
-    the steps between its (at most 24) hours.
+    The independent method reads the events once and uses no window.  Readings of a machine at one instant are in counter
+    order, so between them no time runs and no counter falls: an instant is its least and greatest counter and how many
+    differ, whatever number of readings it holds.  Each hour adds the steps between its instants (at most one a second,
+    which is what times are read to) and keeps its first and last, and the day adds the steps between its hours.
     """
-    e = t.events.select("ref_no", "event_date", *[c for c in READING_ORDER if c not in ("ref_no",)])
+    e = t.events.select("ref_no", "event_date", "event_time", "run_hours_seconds")
 
-    def steps(ordered, at, counter):
-        """(seconds, resets, capped) over the neighbours of an array: at/counter give an element's values."""
+    def steps(ordered):
+        """(seconds, resets, capped) over the neighbours of an array of (from, low, till, high, ...)."""
         pairs = F.transform(
             F.when(F.size(ordered) > 1, F.sequence(F.lit(1), F.size(ordered) - 1)).otherwise(F.array().cast("array<int>")),
             lambda i: F.struct(
-                (counter(F.get(ordered, i), 0) - counter(F.get(ordered, i - 1), 1)).alias("up"),
-                F.timestamp_diff("SECOND", at(F.get(ordered, i - 1), 1), at(F.get(ordered, i), 0)).alias("clock"),
+                (F.get(ordered, i)["low"] - F.get(ordered, i - 1)["high"]).alias("up"),
+                F.timestamp_diff("SECOND", F.get(ordered, i - 1)["till"], F.get(ordered, i)["from"]).alias("clock"),
             ),
         )
         total = F.aggregate(pairs, F.lit(0).cast("bigint"), lambda a, x: a + F.when(x["up"] >= 0, F.least(x["up"], x["clock"])).otherwise(0))
@@ -201,16 +202,16 @@ def reconcile_run_hours(t: Tables, daily: DataFrame | None = None) -> DataFrame:
             F.size(F.filter(pairs, lambda x: (x["up"] >= 0) & (x["up"] > x["clock"]))).cast("bigint"),
         )
 
-    hourly = e.groupBy("event_date", "ref_no", F.hour("event_time").alias("hour")).agg(
-        F.array_sort(F.collect_list(F.struct(*READING_ORDER))).alias("r")
-    )
-    s, z, c = steps(F.col("r"), lambda x, _: x["event_time"], lambda x, _: x["run_hours_seconds"])
-    hourly = hourly.select("event_date", "ref_no", "hour", s.alias("s"), z.alias("z"), c.alias("c"), F.get("r", 0).alias("first"), F.element_at("r", -1).alias("last"))
-    days = hourly.groupBy("event_date", "ref_no").agg(
-        F.sum("s").alias("s"), F.sum("z").alias("z"), F.sum("c").alias("c"), F.array_sort(F.collect_list(F.struct("hour", "first", "last"))).alias("h")
-    )
-    side = ("first", "last")
-    s, z, c = steps(F.col("h"), lambda x, k: x[side[k]]["event_time"], lambda x, k: x[side[k]]["run_hours_seconds"])
+    different = e.groupBy("event_date", "ref_no", "event_time", "run_hours_seconds").agg(F.lit(1).alias("_one"))
+    instants = different.groupBy("event_date", "ref_no", "event_time").agg(F.min("run_hours_seconds").alias("low"), F.max("run_hours_seconds").alias("high"), (F.count(F.lit(1)) - 1).alias("jumps"))
+    part = F.struct(F.col("event_time").alias("from"), "low", F.col("event_time").alias("till"), "high")
+    hourly = instants.groupBy("event_date", "ref_no", F.hour("event_time").alias("hour")).agg(F.array_sort(F.collect_list(part)).alias("r"), F.sum("jumps").alias("jumps"))
+    s, z, c = steps(F.col("r"))
+    first, last = F.get("r", 0), F.element_at("r", -1)
+    whole = F.struct(first["from"].alias("from"), first["low"].alias("low"), last["till"].alias("till"), last["high"].alias("high"))
+    hourly = hourly.select("event_date", "ref_no", s.alias("s"), z.alias("z"), (c + F.col("jumps")).alias("c"), whole.alias("part"))
+    days = hourly.groupBy("event_date", "ref_no").agg(F.sum("s").alias("s"), F.sum("z").alias("z"), F.sum("c").alias("c"), F.array_sort(F.collect_list("part")).alias("h"))
+    s, z, c = steps(F.col("h"))
     own = days.select("event_date", "ref_no", (F.col("s") + s).alias("js_seconds"), (F.col("z") + z).alias("js_resets"), (F.col("c") + c).alias("js_capped"))
     h = daily if daily is not None else machine_daily_hours(t)
     v = h.select("event_date", "ref_no", F.col("run_seconds").alias("view_seconds"),

@@ -300,7 +300,7 @@ def load_records(
         ev = new_events(t.events, rows, branches, load_id, now, t.event_filters).checkpoint()
         rj = new_rejected(t.rejected_rows, rejected, load_id, now)
         store.append("events", ev, partition_by=["event_date"])
-        write_rollup(store, t.events, ev, load_id)  # interval rollup of the touched dates, read once committed
+        write_rollup(store, t.events, ev, load_id, held=t)  # interval rollup of the touched dates, read once committed
         store.append("rejected_rows", rj)
         store.commit(t.extra["manifest"], {
             "branches": store.write_version("branches", branches),

@@ -23,10 +23,10 @@ written under another name and renamed without overwriting, which is exclusive
 where the file system's rename is (HDFS; an object store needs a file system
 layer with such a rename).
 
-Interval rollup: a load recomputes ``operators.intervals.interval_rollup`` for
-every date it adds events to (readings never carry across midnight, so a date
-depends only on its own events) from the committed events of those dates plus
-its own, and appends it under its ``load_id`` before the commit.  Readers take,
+Interval rollup: a load writes ``operators.intervals.interval_rollup`` for
+every date it adds events to, under its ``load_id`` before the commit.  Readings
+never carry across midnight or between machines, so only the machine-days that got
+a reading are computed anew; the date's others are copied from its last rollup.  Readers take,
 per date, the newest rollup whose load is committed: a load that died leaves a
 rollup nobody reads, and a later committed load touching the date supersedes it.
 ``compact_rollups`` deletes superseded ones.
@@ -205,12 +205,17 @@ class Store:
         return rd.join(latest, ["event_date", "rollup_load_id"], "left_semi")
 
 
-def write_rollup(store: Store, committed_events: DataFrame, new_events: DataFrame, load_id: str) -> None:
+def write_rollup(store: Store, committed_events: DataFrame, new_events: DataFrame, load_id: str, held: Tables | None = None) -> None:
     """Append the interval and event rollups of every date ``new_events`` touches, and the key filters of
-    ``new_events`` itself, under ``load_id`` (before the commit)."""
-    from hourmeter.operators.intervals import interval_rollup, run_intervals
+    ``new_events`` itself, under ``load_id`` (before the commit).
+
+    With the committed rollups in ``held``, late readings are spliced in: intervals are computed anew for the
+    machine-days that got a reading, from those machines' events only, and all other machine-days of the date carry
+    their rows over; event counts are the held ones plus the new readings', without reading events.  Without, the dates'
+    events are rolled up whole."""
+    from hourmeter.operators.intervals import ROLLUP_KEYS, interval_rollup, run_intervals
     from hourmeter.operators.keyfilter import build_filters
-    from hourmeter.operators.views import event_rollup
+    from hourmeter.operators.views import EVENT_ROLLUP_KEYS, event_rollup
 
     # a warehouse has filters from its first commit on or not at all: they must cover every stored event
     fs, p = store._jvm_fs(store.path("event_filters"))
@@ -225,9 +230,20 @@ def write_rollup(store: Store, committed_events: DataFrame, new_events: DataFram
         return
     cols = ["ref_no", "event_date", "event_time", "event_type", "run_hours_seconds", "driver_key",
             "event_branch_id", "file_name", "source_line"]
-    base = committed_events.where(F.col("event_date").isin(days)).select(*cols).unionByName(new_events.select(*cols))
+    stored = committed_events.where(F.col("event_date").isin(days)).select(*cols)
+    if held is not None and held.interval_days is not None and held.event_days is not None:
+        touched = new_events.select("event_date", "ref_no").distinct()
+        spliced = stored.join(touched, ["event_date", "ref_no"], "left_semi").unionByName(new_events.select(*cols))
+        carried = held.interval_days.where(F.col("event_date").isin(days)).join(touched, ["event_date", "ref_no"], "left_anti")
+        sums = ["run_seconds", "counter_resets", "capped_intervals", "intervals"]
+        intervals = interval_rollup(run_intervals(spliced)).unionByName(carried.select(*ROLLUP_KEYS, *sums))
+        counted = held.event_days.where(F.col("event_date").isin(days)).select(*EVENT_ROLLUP_KEYS, "events")
+        events = counted.unionByName(event_rollup(new_events)).groupBy(*EVENT_ROLLUP_KEYS).agg(F.sum("events").cast("bigint").alias("events"))
+    else:
+        base = stored.unionByName(new_events.select(*cols))
+        intervals, events = interval_rollup(run_intervals(base)), event_rollup(base)
     rolled_at = F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
-    for table, roll in (("interval_days", interval_rollup(run_intervals(base))), ("event_days", event_rollup(base))):
+    for table, roll in (("interval_days", intervals), ("event_days", events)):
         roll = roll.withColumn("rollup_load_id", F.lit(load_id)).withColumn("rolled_at", rolled_at)
         store.append(table, roll, partition_by=["event_date", "rollup_load_id"])
 

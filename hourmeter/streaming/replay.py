@@ -50,7 +50,7 @@ def replay_rejected(spark: SparkSession, store: Store, machine_list_path: str, r
     touched = ev.select("file_name").distinct().checkpoint()
     if touched.take(1):
         store.append("events", ev, partition_by=["event_date"])
-        write_rollup(store, t.events, ev, load_id)
+        write_rollup(store, t.events, ev, load_id, held=t)
         reg = t.source_files.join(touched.withColumn("_hit", F.lit(True)), "file_name", "left").withColumn(
             "load_ids",
             F.when(F.col("_hit"), F.concat("load_ids", F.array(F.lit(load_id)))).otherwise(F.col("load_ids")),
