@@ -31,7 +31,7 @@ from hourmeter.functions.constants import ERROR_MESSAGE_MAX, MACHINE_TYPES
 from hourmeter.model import event_types_df
 from hourmeter.operators.cleaning import Cleaned, clean_records
 from hourmeter.operators.keyfilter import may_be_stored
-from hourmeter.plans.store import Store, write_rollup
+from hourmeter.plans.store import SCHEMAS, Store, write_rollup
 from hourmeter.session import ensure_checkpoint_dir
 from hourmeter.sources import files as FS
 
@@ -331,6 +331,59 @@ def load_records(
     return RunResult(started, load_id, run_summary(store, started), machines_changed)
 
 
+def load_feed(spark: SparkSession, store: Store, readings: DataFrame, batch_name: str, triggered_by: str = "stream") -> None:
+    """Load one micro-batch of a reading feed (``streaming.readings.READING``) as a commit of its own, registered under
+    ``batch_name``; a batch that is registered already is left alone.  Readings of unknown machines and of unknown types go to the
+    quarantine as JSON, so none is lost."""
+    ensure_checkpoint_dir(spark)
+    t = store.tables()
+    if t.source_files.where(F.col("file_name") == batch_name).take(1):
+        return
+    load_id, started = uuid.uuid4().hex, _now()
+    home = t.branches.select(F.col("branch_id").alias("home_branch_id"), F.col("name").alias("home_branch"))
+    known = t.machines.join(home, "home_branch_id").select("ref_no", "home_branch")
+    types = event_types_df(spark).select(F.col("code").alias("event_type"), F.lit(True).alias("is_type"))
+    r = readings.join(known, "ref_no", "left").join(types, "event_type", "left")
+    reason = F.when(F.concat_ws("", "ref_no") == "", "missing_required_value").when(F.col("event_time").isNull(), "invalid_timestamp")
+    reason = reason.when(F.col("home_branch").isNull(), "machine_not_in_machine_list").when(F.col("is_type").isNull(), "unknown_event_type")
+    reason = reason.when(F.coalesce(F.col("run_hours_seconds") < 0, F.lit(True)), "invalid_run_hours")
+    name = F.trim(F.concat_ws(" ", "first_name", "surname"))
+    driver = F.when(name != "", F.struct("first_name", "surname", F.lower(name).alias("driver_key")))
+    r = r.select(
+        *NATURAL_KEY,
+        F.coalesce("branch", "home_branch").alias("reported_branch"),
+        driver.alias("driver"),
+        F.lit(batch_name).alias("file_name"),
+        F.col("seq").alias("source_line"),
+        F.lit(False).alias("is_late_arrival"),
+        (~F.coalesce("branch", "home_branch").eqNullSafe(F.col("home_branch"))).alias("branch_mismatch"),
+        reason.alias("reason"),
+        F.to_json(F.struct(*[F.col(f"`{c}`") for c in readings.columns])).alias("raw_line"),
+    ).checkpoint()
+    rows = r.where("reason is null")
+    now = _now()
+    branches = insert_branches(t.branches, rows.select(F.col("reported_branch").alias("name"))).checkpoint()
+    drivers = insert_drivers(t.drivers, rows).checkpoint()
+    ev = new_events(t.events, rows, branches, load_id, now, t.event_filters).checkpoint()
+    rejected = r.where("reason is not null").select("file_name", F.col("source_line").alias("line_no"), "raw_line", "reason", F.lit(None).cast("string").alias("detail"))
+    store.append("events", ev, partition_by=["event_date"])
+    write_rollup(store, t.events, ev, load_id, held=t)
+    store.append("rejected_rows", rejected.withColumn("rejected_at", F.lit(now)).withColumn("load_id", F.lit(load_id)))
+    n_rows, n_clean = r.agg(F.count(F.lit(1)), F.count_if(F.col("reason").isNull())).first()
+    loaded = ev.count()
+    registered = spark.createDataFrame([(batch_name,)], "file_name string").select(
+        "file_name", F.lit(None).cast("date").alias("delivery_date"), F.lit(None).cast("date").alias("data_date"), F.lit(load_id).alias("checksum"),
+        F.lit(None).cast("array<string>").alias("header"), F.lit(None).cast("bigint").alias("length"), F.lit(None).cast("bigint").alias("modified"),
+    )
+    store.commit(t.extra["manifest"], {
+        "branches": store.write_version("branches", branches),
+        "drivers": store.write_version("drivers", drivers),
+        "source_files": store.write_version("source_files", register_files(t.source_files, registered, load_id, now)),
+    })
+    log = [(load_id, batch_name, started, _now(), "success", n_rows, loaded, n_clean - loaded, n_rows - n_clean, None, triggered_by)]
+    store.append("ingestion_runs", spark.createDataFrame(log, SCHEMAS["ingestion_runs"]))
+
+
 def failed_runs(failures: DataFrame, run_id: str, started, now, trig: str) -> DataFrame:
     """One 'failed' row per file; the message is cut to 2000 characters and the file
     is not registered, so the next run retries it."""
