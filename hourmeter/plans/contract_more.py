@@ -288,3 +288,37 @@ SELECT ref_no, CASE WHEN tenth = 3 THEN '{NEW_BRANCH}' ELSE branch END AS home_b
 FROM listed UNION ALL SELECT 'M999999', '{NEW_BRANCH}', 'PPT', 3"""
     ),
 )(_machines)
+
+
+# ---------------------------------------------------------------- K1: a feed of readings, shuffled and repeated over micro-batches
+
+from hourmeter.plans.store import materialize  # noqa: E402
+from hourmeter.streaming.readings import READING, stream_readings  # noqa: E402
+
+FEED_FILES = 3  # one a micro-batch
+
+
+def _feed_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Every reading in one of three files by hash, two thirds again in the next one; the stream takes a file at a time."""
+    root = ensure_checkpoint_dir(spark).rstrip("/") + "/contract-feed-" + _uuid.uuid4().hex
+    t = facade_tables(spark, sf)
+    place = F.pmod(F.xxhash64("ref_no", "source_line"), F.lit(FEED_FILES))
+    copies = F.when(F.pmod("source_line", F.lit(3)) > 0, F.array(place, (place + 1) % FEED_FILES)).otherwise(F.array(place))
+    person = t.drivers.select("driver_key", "first_name", "surname")
+    named = t.branches.select(F.col("branch_id").alias("event_branch_id"), F.col("name").alias("branch"))
+    feed = t.events.join(named, "event_branch_id").join(person, "driver_key", "left").withColumn("file", F.explode(copies)).withColumn("seq", F.col("source_line").cast("bigint"))
+    columns = [c.strip().split()[0] for c in READING.split(",")]
+    feed.repartition(FEED_FILES, "file").sortWithinPartitions(F.xxhash64("seq")).select(*columns).write.parquet(root + "/feed")
+    store = Store(spark, root + "/warehouse", BRANCH_PREFIX)
+    materialize(store, t.with_(events=t.events.limit(0), source_files=t.source_files.limit(0)), load_id="start")
+    stream = spark.readStream.schema(READING).option("maxFilesPerTrigger", "1").parquet(root + "/feed")
+    stream_readings(spark, store, stream, "feed", root + "/stream-ckpt").awaitTermination()
+    e = store.tables()
+    names = e.branches.select(F.col("branch_id").alias("event_branch_id"), F.col("name").alias("branch"))
+    return e.events.join(names, "event_branch_id").select("ref_no", "event_time", "event_type", "run_hours_seconds")
+
+
+register(
+    "k1_stream_readings_state",
+    C.with_facade("SELECT DISTINCT ref_no, event_time, event_type, run_hours_seconds FROM f_events"),
+)(_feed_state)
