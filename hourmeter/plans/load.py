@@ -131,6 +131,8 @@ def new_events(existing: DataFrame, rows: DataFrame, branches: DataFrame, load_i
     r = r.join(firsts, key).where(F.struct("file_name", "source_line") == F.col("_w")).drop("_w")
     asked = r.select(*key)
     if filters is not None:
+        r = r.checkpoint()  # read for its dates, for the filters and for the result
+        asked = r.select(*key)
         filters = filters.where(F.col("event_date").isin(_days(asked)))
         asked = may_be_stored(asked, filters, "event_date", key).checkpoint()
     stored = existing.where(F.col("event_date").isin(_days(asked))).select(*key)
