@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from hourmeter.functions import exprs as X
 from hourmeter.functions.constants import DAILY_FILE_PATTERN
-from hourmeter.operators.sliced import sliced_running_max, sliced_running_sum
+from hourmeter.operators.sliced import sliced_running_max
+
+# A quoted field that is still open after this many lines was not meant to be one.
+MAX_RECORD_LINES = 1000
 
 # One CSV token: a quoted run (possibly unterminated), a plain run, or a comma.
 _TOKEN = r'("(?:[^"]++|"")*+"?|[^",]++|,)'
@@ -117,52 +120,97 @@ def parse_fields(raw: Column) -> Column:
     return F.when(raw.contains('"'), quoted).otherwise(plain)
 
 
-def records_from_lines(lines: DataFrame) -> DataFrame:
+def quoted_spans(odd: DataFrame, last_lines: DataFrame, most_lines: int = MAX_RECORD_LINES) -> DataFrame:
+    """(file_path, start, end, closed): the records that span lines, from the lines with an odd number of quotes.
+
+    ``odd`` has file_path, block, line_no.  Such lines open and close records in turn, except that a quote which
+    finds no partner within ``most_lines`` lines is stray (end is null), and the next one opens again.  So only
+    the place since the last wide gap counts, which is a window inside each file block and one row a block
+    beyond it.  A record may also run into the end of the file, as the source parser has it (closed is false),
+    if that is not farther away.
+    """
+    inside = Window.partitionBy("file_path", "block").orderBy("line_no")
+    own = odd.select(
+        "file_path", "block", "line_no",
+        F.row_number().over(inside).alias("_rn"),
+        F.lag("line_no").over(inside).alias("_prev"),
+        F.lead("line_no").over(inside).alias("_next"),
+    )
+    blocks = own.groupBy("file_path", "block").agg(F.min("line_no").alias("_a"), F.max("line_no").alias("_z"), F.count("*").alias("_n"))
+    wb = Window.partitionBy("file_path").orderBy("block")
+    around = blocks.select(
+        "file_path", "block",
+        F.lag("_z").over(wb).alias("_before"),
+        F.lead("_a").over(wb).alias("_after"),
+        F.coalesce(F.sum("_n").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+    )
+    placed = own.join(around, ["file_path", "block"]).select(
+        "file_path", "block", "line_no",
+        (F.col("_off") + F.col("_rn")).alias("_place"),
+        F.coalesce("_prev", "_before").alias("_prev"),
+        F.coalesce("_next", "_after").alias("_next"),
+    )
+    wide = F.col("_prev").isNull() | (F.col("line_no") - F.col("_prev") > most_lines)
+    since = sliced_running_max(
+        placed, keys=["file_path"], order=["line_no"], slice_col=F.col("block"), value=F.when(wide, F.col("_place")), out="_first"
+    )
+    openers = since.where(F.pmod(F.col("_place") - F.col("_first"), F.lit(2)) == 0).join(last_lines, "file_path")
+    closed = F.coalesce(F.col("_next") - F.col("line_no") <= most_lines, F.lit(False))
+    to_end = F.col("_next").isNull() & (F.col("last_line") - F.col("line_no") <= most_lines)
+    return openers.select(
+        "file_path",
+        F.col("line_no").alias("start"),
+        F.when(closed, F.col("_next")).when(to_end, F.col("last_line")).alias("end"),
+        closed.alias("closed"),
+    )
+
+
+def records_from_lines(lines: DataFrame, most_lines: int = MAX_RECORD_LINES) -> DataFrame:
     """A4: (file_name, line_no, raw_line, fields), blank records dropped.
 
-    ``lines`` needs file_name, file_path, block, line_no, line.
+    ``lines`` needs file_name, file_path, block, line_no, line.  A line with a stray quote (see ``quoted_spans``)
+    is a record of its own with a single field, which the column count rule rejects; the lines after it are read
+    as if it had none.  So no record holds more than ``most_lines`` + 1 lines.
     """
     text = F.when(F.col("line_no") == 1, F.regexp_replace("line", r"^\x{FEFF}", "")).otherwise(F.col("line"))
     q = F.length("line") - F.length(F.regexp_replace("line", '"', ""))
     base = lines.withColumn("line", text).withColumn("_q", q)
     # Fast path: in a file without any quote every line is one record, so the
-    # ordered quote-parity pass (a shuffle of the lines) runs only for files that
-    # have quotes.  The per-file flag is one small row per file.
-    flags = base.groupBy("file_path").agg(F.max(F.col("_q") > 0).alias("_has_q"))
-    base = base.join(flags, "file_path")
+    # pass over quotes runs only for files that have quotes.  The per-file flag
+    # is one small row per file.
+    flags = base.groupBy("file_path").agg(F.max(F.col("_q") > 0).alias("_has_q"), F.max("line_no").alias("last_line"))
+    base = base.join(flags.select("file_path", "_has_q"), "file_path")
     plain = base.where(~F.col("_has_q")).select(
-        "file_name", "line_no", F.regexp_replace("line", "\r", "").alias("raw_line")
+        "file_name", "line_no", F.regexp_replace("line", "\r", "").alias("raw_line"), F.lit(False).alias("_stray")
     )
     base = base.where(F.col("_has_q")).drop("_has_q")
-    par = sliced_running_sum(
-        base, keys=["file_path"], order=["line_no"], slice_col=F.col("block"), value=F.pmod(F.col("_q"), F.lit(2)), out="_qrun"
-    )
-    par = (
-        par.withColumn("_before", F.pmod(F.col("_qrun") - F.pmod(F.col("_q"), F.lit(2)), F.lit(2)))
-        .withColumn("_start", F.col("_before") == 0)
-        .withColumn("_end_out", F.pmod(F.col("_before") + F.col("_q"), F.lit(2)) == 0)
-        # a '\r' before the newline is dropped only when the line ends outside quotes
-        .withColumn("line", F.when(F.col("_end_out"), F.regexp_replace("line", "\r$", "")).otherwise(F.col("line")))
-    )
-    single = par.where(F.col("_start") & F.col("_end_out")).select(
-        "file_name", "line_no", F.when(F.col("_q") == 0, F.regexp_replace("line", "\r", "")).otherwise(F.col("line")).alias("raw_line")
+    odd = base.where(F.col("_q") % 2 == 1).select("file_path", "block", "line_no")
+    spans = quoted_spans(odd, flags.select("file_path", "last_line"), most_lines)
+    held = spans.select(
+        "file_path",
+        F.explode(F.sequence("start", F.coalesce("end", "start"))).alias("line_no"),
+        F.when(F.col("end").isNotNull(), F.col("start")).alias("_rec"),
+        F.col("end").isNull().alias("_stray"),
+        F.when(F.col("closed"), F.col("end")).alias("_last"),
     )
-    multi = sliced_running_max(
-        par.where(~(F.col("_start") & F.col("_end_out"))),
-        keys=["file_path"],
-        order=["line_no"],
-        slice_col=F.col("block"),
-        value=F.when(F.col("_start"), F.col("line_no")),
-        out="_rec",
+    base = base.join(held, ["file_path", "line_no"], "left")
+    # a '\r' before the newline is dropped only when the line ends outside quotes
+    trimmed = F.regexp_replace("line", "\r$", "")
+    single = base.where(F.col("_rec").isNull()).select(
+        "file_name", "line_no",
+        F.when(F.col("_q") == 0, F.regexp_replace("line", "\r", "")).otherwise(trimmed).alias("raw_line"),
+        F.coalesce("_stray", F.lit(False)).alias("_stray"),
     )
-    glued = multi.groupBy("file_path", "file_name", "_rec").agg(
+    line = F.when(F.col("line_no") == F.col("_last"), trimmed).otherwise(F.col("line"))
+    glued = base.where(F.col("_rec").isNotNull()).groupBy("file_path", "file_name", "_rec").agg(
         F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n"
+            F.transform(F.array_sort(F.collect_list(F.struct("line_no", line.alias("line")))), lambda x: x["line"]), "\n"
         ).alias("raw_line")
     )
-    glued = glued.select("file_name", F.col("_rec").alias("line_no"), "raw_line").where(F.col("line_no").isNotNull())
-    recs = plain.unionByName(single).unionByName(glued)
-    return recs.where(X.collapse("raw_line") != "").withColumn("fields", parse_fields(F.col("raw_line")))
+    glued = glued.select("file_name", F.col("_rec").alias("line_no"), "raw_line", F.lit(False).alias("_stray"))
+    recs = plain.unionByName(single).unionByName(glued).where(X.collapse("raw_line") != "")
+    fields = F.when(F.col("_stray"), F.array("raw_line")).otherwise(parse_fields(F.col("raw_line")))
+    return recs.select("file_name", "line_no", "raw_line", fields.alias("fields"))
 
 
 def read_daily_csv(spark: SparkSession, paths) -> DataFrame:
