@@ -10,6 +10,8 @@ from hourmeter.plans import snapshot as SN
 from hourmeter.plans.contract import register
 from hourmeter.plans.contract_sql import SAFETY_NAMES, date_sql, hours_sql, hundredths_sql, rehours_sql, safety_sums_sql
 from hourmeter.plans.sql_functions import register_functions
+from hourmeter.sources import drift as DR
+from hourmeter.sources import payload as PL
 from hourmeter.sources.facade import facade_tables
 
 # ---------------------------------------------------------------- M: the questions as SQL functions
@@ -322,3 +324,65 @@ register(
     "k1_stream_readings_state",
     C.with_facade("SELECT DISTINCT ref_no, event_time, event_type, run_hours_seconds FROM f_events"),
 )(_feed_state)
+
+
+# ---------------------------------------------------------------- I2: documents whose shape has drifted
+
+
+def _drifting(spark: SparkSession, sf: str) -> DR.DriftingPayload:
+    """The cleaned rows as block documents, with fields added, mistyped and left out by the rows' line numbers."""
+    _, c = C.facade_cleaned(spark, sf)
+    docs = PL.payload_documents(c.rows, c.rejected).select(F.from_json("value", PL.PAYLOAD_SCHEMA).alias("p")).select("p.*")
+
+    def row(r):
+        n = r["source_line"]
+        hours = F.when(n % 5 == 0, F.concat(F.lit('"'), r["run_hours_seconds"], F.lit(' h"'))).when(n % 13 == 0, F.concat(F.lit('"'), r["run_hours_seconds"], F.lit('"')))
+        return F.struct(
+            F.when(n % 17 != 0, r["ref_no"]).alias("ref_no"),
+            F.parse_json(F.coalesce(hours, r["run_hours_seconds"].cast("string"))).alias("run_hours_seconds"),
+            F.when(n % 11 == 0, F.to_variant_object(F.array(r["driver"]["driver_key"]))).otherwise(
+                F.parse_json(F.to_json(r["driver"]))).alias("driver"),
+            F.when(n % 7 == 0, F.struct(n.alias("v"))).alias("firmware"),
+            n.alias("source_line"),
+            *[r[x] for x in ("event_time", "event_type", "reported_branch", "is_late_arrival", "branch_mismatch")],
+        )
+
+    def line(x):
+        return F.struct(F.when(x["line_no"] % 3 == 0, "night").alias("shift"), x["line_no"], x["raw_line"], x["reason"], x["detail"])
+
+    first = F.least(F.array_min(F.col("rows.source_line")), F.array_min(F.col("rejected.line_no")))
+    sender = F.when(F.floor(first / PL.PAYLOAD_BLOCK_LINES) % 2 == 0, "depot").alias("sender")
+    planted = F.struct("file", F.transform("rows", row).alias("rows"), F.transform("rejected", line).alias("rejected"), sender)
+    return DR.explode_drifting(docs.select(F.to_json(planted).alias("value")))
+
+
+_DRIFT_SQL = f"""
+, placed AS (SELECT *, row_number() OVER (PARTITION BY file_name, source_line // {PL.PAYLOAD_BLOCK_LINES} ORDER BY source_line) - 1 AS place FROM r_rows),
+cut AS (SELECT *, row_number() OVER (PARTITION BY file_name, line_no // {PL.PAYLOAD_BLOCK_LINES} ORDER BY line_no) - 1 AS place FROM r_rejected),
+blocks AS (SELECT DISTINCT file_name, source_line // {PL.PAYLOAD_BLOCK_LINES} AS block FROM r_rows
+           UNION SELECT DISTINCT file_name, line_no // {PL.PAYLOAD_BLOCK_LINES} FROM r_rejected)
+SELECT file_name, 'rows' AS section, place, 'run_hours_seconds' AS field, 'mistyped' AS kind, '"' || run_hours_seconds || ' h"' AS value
+FROM placed WHERE source_line % 5 = 0
+UNION ALL SELECT file_name, 'rows', place, 'driver', 'mistyped', CASE WHEN driver_key IS NULL THEN '[null]' ELSE '["' || driver_key || '"]' END FROM placed WHERE source_line % 11 = 0
+UNION ALL SELECT file_name, 'rows', place, 'firmware', 'extra', '{{"v":' || source_line || '}}' FROM placed WHERE source_line % 7 = 0
+UNION ALL SELECT file_name, 'rows', place, 'ref_no', 'missing', NULL FROM placed WHERE source_line % 17 = 0
+UNION ALL SELECT file_name, 'rejected', place, 'shift', 'extra', '"night"' FROM cut WHERE line_no % 3 = 0
+UNION ALL SELECT file_name, 'document', -1, 'sender', 'extra', '"depot"' FROM blocks WHERE block % 2 = 0
+"""
+
+_DRIFTED_ROWS_SQL = """
+SELECT file_name, source_line, ref_no, event_time, event_type, CASE WHEN source_line % 5 <> 0 THEN run_hours_seconds END AS run_hours_seconds,
+       reported_branch, CASE WHEN source_line % 11 <> 0 THEN driver_first_name END AS driver_first_name,
+       CASE WHEN source_line % 11 <> 0 THEN driver_surname END AS driver_surname, CASE WHEN source_line % 11 <> 0 THEN driver_key END AS driver_key,
+       is_late_arrival, branch_mismatch
+FROM r_rows WHERE source_line % 17 <> 0
+"""
+
+register("i2_payload_drift", C.with_clean(_DRIFT_SQL))(lambda spark, sf: _drifting(spark, sf).drift.drop("element"))
+register("i2_payload_drifted_rows", C.with_clean(_DRIFTED_ROWS_SQL))(
+    lambda spark, sf: _drifting(spark, sf).rows.select(
+        "file_name", "source_line", "ref_no", "event_time", "event_type", "run_hours_seconds", "reported_branch",
+        F.col("driver.first_name").alias("driver_first_name"), F.col("driver.surname").alias("driver_surname"),
+        F.col("driver.driver_key").alias("driver_key"), "is_late_arrival", "branch_mismatch",
+    )
+)
