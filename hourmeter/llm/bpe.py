@@ -1,13 +1,18 @@
 """Byte-level BPE encoding and decoding over overlapping chunks.
 
-Pre-tokens never cross a place where a letter is followed by blank or plain punctuation, whatever stands
-around it: a run of letters always ends a pre-token.  So a text can be cut at the first such place at or
-after every ``chunk_chars`` characters.  Long texts are sent out as chunks, each with ``overlap_chars`` more
-characters of the next one; a chunk finds its own start and its successor's in the two overlaps, pre-tokenises
-and encodes what lies between, and the pieces' ids are put together in order.  Where an overlap holds no such
-place, the chunks do not resynchronise, and the text is encoded from its stitched chunks as a whole.  Texts up
-to ``chunk_chars`` are one chunk and are encoded where they are read, without a shuffle.  Decoding
-concatenates the ids' raw bytes.
+Where a pattern's next match begins depends only on the text from there on.  So two pre-tokenisations of one text,
+begun at different places, agree from the first boundary that they share.  Long texts are sent out as chunks of
+``chunk_chars``, each with ``overlap_chars`` more characters of the next one, which begins wherever it falls.  A
+chunk is pre-tokenised from its own first character, and the overlap once more from the next chunk's; the
+first common boundary is where the two are stitched.  Each chunk encodes its pre-tokens up to there, and drops
+those before the place where it was met.  Boundaries that a chunk's end could change are not used: those from the
+last pre-token with a character that isn't blank on, and the last ``_AHEAD`` characters before the blanks.  Two chunks
+without a common boundary (a pre-token longer than the overlap) are encoded together, with as many of their
+successors as it takes; others stay apart.  Texts up to ``chunk_chars`` are one chunk and are encoded where they are
+read, without a shuffle.  Decoding concatenates the ids' raw bytes.
+
+The pattern must not look behind, nor more than ``_AHEAD`` characters ahead of a run of one kind (letters, digits, blanks,
+others).
 
 Nulls: a null text is encoded as empty (no ids, no bytes).  A null doc_id keeps its row.  Repeated rows each
 get a row.  An empty table gives an empty result.  Special tokens are never produced.
@@ -29,7 +34,7 @@ from hourmeter.llm import textkernel as TK
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 2_048
-_SAFE_CUT = r"(?<=\p{L})(?=[ \t\n\r.,;:!?])"
+_AHEAD = 8
 _IDS = pa.list_(pa.int32())
 _FLUSH = 4 << 20
 
@@ -77,38 +82,80 @@ def _pieces(chunk: int, overlap: int):
     return run
 
 
-def _encode_pieces(path: str, pattern: str, chunk: int):
-    cut = regex.compile(_SAFE_CUT)
-
+def boundaries(pattern: regex.Pattern, text: str, whole: bool) -> list[int]:
+    """Where pre-tokens of ``text`` end; unless it is ``whole``, only those that more text wouldn't change."""
+    spans = [m.span() for m in pattern.finditer(text)]
+    if whole:
+        return [b for _, b in spans]
+    body = len(text.rstrip())
+    sure = min(max((a for a, _ in spans if a < body), default=-1), body - _AHEAD)
+    return [b for _, b in spans if b <= sure]
+
+
+def encode_chunk(enc: tiktoken.Encoding, pattern: regex.Pattern, text: str, chunk: int, overlap: int, last: bool) -> dict:
+    """ids of a chunk up to ``stop``, the boundary that it shares with the next one (-1: none in the overlap; not
+    after a blank, which would be matched otherwise at a text's end), and how many ids precede each boundary (``head``) at which the chunk before may meet it."""
+    own = [0, *boundaries(pattern, text, last)]
+    if last:
+        stop = len(text)
+    else:
+        of_next = {chunk, *(chunk + b for b in boundaries(pattern, text[chunk:], False))}
+        stop = next((b for b in own if b >= chunk and b in of_next and not text[b - 1].isspace()), -1)
+    if stop < 0:
+        return {"ids": [], "stop": -1, "head": [], "before": []}
+    head = [b for b in own if b <= min(stop, overlap)]
+    ids, before = [], []
+    for a, b in zip(head, [*head[1:], stop], strict=True):
+        before.append(len(ids))
+        ids += enc.encode_ordinary(text[a:b])
+    return {"ids": ids, "stop": stop, "head": head, "before": before}
+
+
+def join_chunks(enc: tiktoken.Encoding, pattern: regex.Pattern, rows: list[dict], chunk: int, overlap: int) -> tuple[list[int], int]:
+    """(ids of the text, how many chunks had to be encoded together) from its chunks in order."""
+    ids, start, k, together = [], 0, 0, 0
+    while k < len(rows):
+        row = rows[k]
+        if row["stop"] >= 0 and start in row["head"]:
+            ids += row["ids"][row["before"][row["head"].index(start)] :]
+            start, k = row["stop"] - chunk, k + 1
+            continue
+        first, parts, met = k, [row["text"][start:]], False
+        while not met and k + 1 < len(rows):
+            at = (k - first) * chunk + rows[k]["stop"] - start
+            if rows[k]["stop"] >= 0:
+                text = "".join(parts) + rows[k + 1]["text"][:overlap]
+                met = at in boundaries(pattern, text, False)
+            if not met:
+                k += 1
+                parts.append(rows[k]["text"])
+        ids += enc.encode_ordinary(text[:at] if met else "".join(parts))
+        together += k + 1 - first
+        start, k = rows[k]["stop"] - chunk, k + 1
+    return ids, together
+
+
+_PARTS = "doc_id long, key binary, piece int, copies long, text string, ids array<int>, stop int, head array<int>, before array<int>"
+
+
+def _encode_pieces(path: str, pattern: str, chunk: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoding(path, pattern)
+        enc, compiled = encoding(path, pattern), regex.compile(pattern)
+        schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("piece", pa.int32()), ("copies", pa.int64()), ("text", pa.string()), ("ids", _IDS), ("stop", pa.int32()), ("head", _IDS), ("before", _IDS)])
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                text, last = row["text"], row["piece"] + 1 == row["n_pieces"]
-                # a chunk's cut is looked for past its first character, in what it shares with the chunk before
-                begin = cut.search(text, 1) if row["piece"] else None
-                start = 0 if not row["piece"] else begin.start() if begin else -1
-                after = None if last else cut.search(text, chunk + 1)
-                stop = len(text) if last else after.start() if after else -1
-                met = 0 <= start <= stop
-                ids = enc.encode_ordinary(text[start:stop]) if met else []
-                out.append({**row, "text": text[:chunk], "met": met, "ids": ids, "start": start, "stop": stop - chunk})
-            schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("piece", pa.int32()), ("n_pieces", pa.int32()), ("text", pa.string()), ("copies", pa.int64()), ("met", pa.bool_()), ("ids", _IDS), ("start", pa.int64()), ("stop", pa.int64())])
+                got = encode_chunk(enc, compiled, row["text"], chunk, overlap, row["piece"] + 1 == row["n_pieces"])
+                out.append({**{c: row[c] for c in ("doc_id", "key", "piece", "copies")}, "text": row["text"][:chunk], **got})
             yield pa.RecordBatch.from_pylist(out, schema)
 
     return run
 
 
-def _stitch(path: str, pattern: str):
+def _stitch(path: str, pattern: str, chunk: int, overlap: int):
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["piece"])
         enc = encoding(path, pattern)
-        # every chunk must have found the same place as its neighbour
-        if all(r["met"] for r in rows) and all(a["stop"] == b["start"] for a, b in zip(rows, rows[1:], strict=False)):
-            ids = [i for r in rows for i in r["ids"]]
-        else:
-            ids = enc.encode_ordinary("".join(r["text"] for r in rows))
+        ids, _ = join_chunks(enc, regex.compile(pattern), sorted(table.to_pylist(), key=lambda r: r["piece"]), chunk, overlap)
         return pa.table({"doc_id": table.column("doc_id").slice(0, 1), "copies": table.column("copies").slice(0, 1), "ids": pa.array([ids], _IDS), "decoded": pa.array([enc.decode_bytes(ids)], pa.binary())})
 
     return run
@@ -123,7 +170,7 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk_chars: int = CHUNK_CH
     cut = base.where(long_text).select("doc_id", F.unhex(F.md5("text")).alias("key"), "text")
     pieces = cut.mapInArrow(TK.tidied(_pieces(chunk_chars, overlap_chars)), "doc_id long, key binary, piece int, n_pieces int, text string")
     pieces = pieces.groupBy("doc_id", "key", "piece", "n_pieces", "text").agg(F.count(F.lit(1)).alias("copies"))
-    parts = pieces.mapInArrow(TK.tidied(_encode_pieces(path, pattern, chunk_chars)), "doc_id long, key binary, piece int, n_pieces int, text string, copies long, met boolean, ids array<int>, start long, stop long")
-    whole = parts.groupBy("doc_id", "key").applyInArrow(_stitch(path, pattern), "doc_id long, copies long, ids array<int>, decoded binary")
+    parts = pieces.mapInArrow(TK.tidied(_encode_pieces(path, pattern, chunk_chars, overlap_chars)), _PARTS)
+    whole = parts.groupBy("doc_id", "key").applyInArrow(_stitch(path, pattern, chunk_chars, overlap_chars), "doc_id long, copies long, ids array<int>, decoded binary")
     whole = whole.select("doc_id", "ids", "decoded", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
     return short.unionByName(whole)

@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from hourmeter.llm import bpe, chat, langid, quality_rules, queries, urls
@@ -171,6 +172,39 @@ def test_bpe_matches_the_library(spark, odd_documents, chunk, overlap):
     assert bpe.encode(docs.limit(0), path, pattern).count() == 0
 
 
+def in_chunks(enc, pattern, text, chunk, overlap):
+    n = max(1, -(-len(text) // chunk))
+    rows = []
+    for p in range(n):
+        own = text[p * chunk : (p + 1) * chunk + overlap]
+        rows.append({"text": own[:chunk], **bpe.encode_chunk(enc, pattern, own, chunk, overlap, p + 1 == n)})
+    return bpe.join_chunks(enc, pattern, rows, chunk, overlap)
+
+
+def test_bpe_chunks_meet_at_common_boundaries():
+    path, pattern = queries.bpe_files()
+    enc, compiled = bpe.encoding(path, pattern), regex.compile(pattern)
+    rnd = random.Random(5)
+    parts = ["word", " ", "  ", "\n", "\r\n", "don't", "we'LL", "'", "''re", "é", "1234567", "!?", "你好", "今天天气很好。", "\u2003", "\x1c", "\x85", "e\u0301", "\t\t", "_", "“x”"]
+    for trial in range(1500):
+        some = rnd.sample(parts, rnd.randint(1, 6))
+        text = "".join(rnd.choice(some) for _ in range(rnd.randint(0, 150)))
+        chunk = rnd.choice([12, 30, 64])
+        overlap = rnd.choice([3, 8, 11])
+        assert in_chunks(enc, compiled, text, chunk, overlap)[0] == enc.encode_ordinary(text), (trial, text, chunk, overlap)
+    # Chinese text, code and prose meet everywhere; a word longer than the overlap joins only the chunks it touches
+    code = "def f(x):\n    return {'a': x[0] + 1, \"b\": f(x - 1)}\n\n" * 4000
+    for text in ("今天天气很好。" * 20_000, code, "It's fine. " * 20_000):
+        ids, together = in_chunks(enc, compiled, text, bpe.CHUNK_CHARS, bpe.OVERLAP_CHARS)
+        assert ids == enc.encode_ordinary(text) and together == 0
+    text = "some words " * 30_000 + "x" * 40_000 + " and more" * 30_000
+    ids, together = in_chunks(enc, compiled, text, bpe.CHUNK_CHARS, bpe.OVERLAP_CHARS)
+    assert ids == enc.encode_ordinary(text) and 0 < together <= 3
+    text = "a " * 10_000 + " " * 200_000 + "b"
+    ids, together = in_chunks(enc, compiled, text, bpe.CHUNK_CHARS, bpe.OVERLAP_CHARS)
+    assert ids == enc.encode_ordinary(text) and together <= 8
+
+
 def test_bpe_digest(spark):
     df = spark.createDataFrame([(1, "hello world"), (2, None)], "doc_id long, text string")
     ids = bpe.encoding(*queries.bpe_files()).encode_ordinary("hello world")
