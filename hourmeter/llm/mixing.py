@@ -7,8 +7,12 @@ part of that is certain, the fraction is rounded by the pivotal method: two docu
 meet, words move from one to the other until one of them is integral, the direction drawn so that each keeps
 its expectation, and the other goes on.  The words expected of a group stay the same at every meeting, so
 only the last document of a source is rounded alone, to the nearer side, and a source's words miss its target by
-half of that document at most.  Documents meet inside buckets by a hash of doc_id; each bucket leaves at most one fractional
-document a source, and those meet in a tree of ``FAN_IN`` buckets a node until one bucket is left.  Draws are
+half of that document at most.  To make that a small one, a bucket's least documents of a source (as many as
+could take up twice its largest one either way) meet last, and a larger document that they meet keeps the
+direction that it first draws, with its fraction as the chance, until it is integral; a direction for which the smaller
+ones haven't enough words isn't taken.  In these last meetings alone the smaller document's expectation isn't kept.
+A source's documents meet inside buckets of ``BUCKET_ROWS`` by a hash; each bucket leaves at most one
+fractional document, and those meet in a tree of ``FAN_IN`` buckets a node until one bucket is left.  Draws are
 hashes of doc_id, so reruns agree.
 
 Rows that repeat doc_id, source and size share one decision.  Nulls: a null text has size 0, a null source is
@@ -31,12 +35,12 @@ from hourmeter.llm.frames import saved
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 8_192
 FAN_IN = 64
-_COLUMNS = "doc_id long, source string, size long, n long, whole long, part double, draw double, bucket long"
+_COLUMNS = "doc_id long, source string, size long, n long, whole long, part double, draw double, bucket long, n_buckets long"
 
 
 def source_targets(units: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.0, most: float = 3.0) -> DataFrame:
-    """(source, source_size, target): one row per source.  ``units`` has source, size and n (equal rows)."""
-    sizes = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    """(source, source_size, n_units, target): one row per source.  ``units`` has source, size and n (equal rows)."""
+    sizes = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count(F.lit(1)).alias("n_units"))
     place = F.row_number().over(Window.orderBy(F.col("source").isNull(), F.encode("source", "UTF-8"))) - 1  # one row per source
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
     sizes = sizes.withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(float(most)))
@@ -49,15 +53,33 @@ def source_targets(units: DataFrame, weights: Sequence[float] = (5, 2, 1), share
         if not free or (share * total - (held or 0.0)) / free <= level:
             break
         level = (share * total - (held or 0.0)) / free
-    return sizes.select("source", "source_size", F.least("cap", F.col("weight") * F.lit(level)).alias("target"))
+    return sizes.select("source", "source_size", "n_units", F.least("cap", F.col("weight") * F.lit(level)).alias("target"))
+
+
+def _last_ones(source: list, mass: list, part: list) -> list:
+    """For rows among the least of their source (those that together could give, and could take, twice as many
+    words as its largest fractional document has): the words that they and smaller ones could (give, take)."""
+    largest: dict = {}
+    for s, m, p in zip(source, mass, part, strict=True):
+        if 0.0 < p < 1.0:
+            largest[s] = max(m, largest.get(s, 0.0))
+    room = {s: (0.0, 0.0) for s in largest}
+    last: list = [None] * len(source)
+    for i in range(len(source) - 1, -1, -1):
+        s, p = source[i], part[i]
+        if 0.0 < p < 1.0 and min(room[s]) < 2 * largest[s]:
+            last[i] = room[s] = (room[s][0] + mass[i] * p, room[s][1] + mass[i] * (1 - p))
+    return last
 
 
 def _meet(source: list, size: np.ndarray, n: np.ndarray, part: np.ndarray, draw: np.ndarray) -> np.ndarray:
-    """Rounded parts, in order of rows: per source at most one is left fractional."""
+    """Rounded parts, in order of rows: per source at most one is left fractional.  Rows come by falling size."""
     part = part.tolist()
     held: dict = {}
+    way: dict = {}  # the direction of a source's held document, once drawn
     mass = (size * n).astype(float).tolist()
     draw = draw.tolist()
+    last = _last_ones(source, mass, part)
     for i, s in enumerate(source):
         if not 0.0 < part[i] < 1.0:
             continue
@@ -67,7 +89,15 @@ def _meet(source: list, size: np.ndarray, n: np.ndarray, part: np.ndarray, draw:
             continue
         a, b, p, q, u = mass[j], mass[i], part[j], part[i], draw[i]
         up, down = min(a * (1 - p), b * q), min(b * (1 - q), a * p)  # words that j could gain or lose
-        if u * (up + down) < down:  # j gains
+        if last[i]:
+            if s not in way:
+                gives, takes = last[i]
+                up_fits, down_fits = a * (1 - p) <= gives, a * p <= takes
+                way[s] = draw[j] * 4096 % 1 < p if up_fits == down_fits else up_fits
+            gains = way[s]
+        else:
+            gains = u * (up + down) < down
+        if gains:
             if a * (1 - p) <= b * q:
                 part[j], part[i] = 1.0, max(0.0, q - up / b)
             else:
@@ -77,8 +107,9 @@ def _meet(source: list, size: np.ndarray, n: np.ndarray, part: np.ndarray, draw:
         else:
             part[i], part[j] = min(1.0, q + down / b), 0.0
         if 0.0 < part[j] < 1.0:
-            held[s] = j
-        elif 0.0 < part[i] < 1.0:
+            continue
+        way.pop(s, None)
+        if 0.0 < part[i] < 1.0:
             held[s] = i
         else:
             del held[s]
@@ -102,25 +133,26 @@ def copies(spark: SparkSession, docs: DataFrame, weights: Sequence[float] = (5,
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
     units = saved(spark, rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mixing-units")
     targets = saved(spark, source_targets(units, weights, share, most), "mixing-targets")
-    n_buckets = max(1, math.ceil(units.count() / BUCKET_ROWS))
+    most_units = targets.agg(F.max("n_units")).first()[0] or 0
+    levels = 1  # until the largest source has one bucket
+    while math.ceil(most_units / BUCKET_ROWS) > FAN_IN ** (levels - 1):
+        levels += 1
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
     key = F.xxhash64("doc_id", "source", "size")
     draw = F.shiftrightunsigned(F.xxhash64(key, F.lit("draw")), 11) / F.lit(float(1 << 53))
-    todo = units.join(targets, units.source.eqNullSafe(targets.source)).select(units.doc_id, units.source, units.size, "n", rate.alias("rate"))
+    todo = units.join(targets, units.source.eqNullSafe(targets.source)).select(units.doc_id, units.source, units.size, "n", rate.alias("rate"), F.ceil(F.col("n_units") / F.lit(BUCKET_ROWS)).alias("n_buckets"))
     part = F.col("rate") - F.floor("rate")
-    todo = todo.select("doc_id", "source", "size", "n", F.floor("rate").alias("whole"), part.alias("part"), draw.alias("draw"), F.pmod(key, F.lit(n_buckets)).alias("bucket"))
-    alone = F.when((F.col("size") == 0) & (F.col("draw") < F.col("part")), 1.0).when(F.col("size") == 0, 0.0).otherwise(F.col("part"))
-    todo = todo.withColumn("part", alone)
+    todo = todo.select("doc_id", "source", "size", "n", F.floor("rate").alias("whole"), part.alias("part"), draw.alias("draw"), F.pmod(key, F.col("n_buckets")).alias("bucket"), "n_buckets")
+    empty = F.when((F.col("size") == 0) & (F.col("draw") < F.col("part")), 1.0).when(F.col("size") == 0, 0.0).otherwise(F.col("part"))
+    todo = todo.withColumn("part", empty)
     settled = []
     fractional = (F.col("part") > 0) & (F.col("part") < 1)
-    while True:
-        level = saved(spark, todo.groupBy("bucket").applyInArrow(_round, _COLUMNS), "mixing-level")
-        if n_buckets == 1:
-            settled.append(level.withColumn("part", F.round("part")))  # a source's last one
-            break
-        settled.append(level.where(~fractional))
-        todo = level.where(fractional).withColumn("bucket", F.floor(F.col("bucket") / FAN_IN))
-        n_buckets = math.ceil(n_buckets / FAN_IN)
+    alone = F.col("n_buckets") == 1  # then what is left is a source's last one
+    for _ in range(levels):
+        level = saved(spark, todo.groupBy("source", "bucket").applyInArrow(_round, _COLUMNS), "mixing-level")
+        settled.append(level.where(alone | ~fractional).withColumn("part", F.when(alone, F.round("part")).otherwise(F.col("part"))))
+        todo = level.where(fractional & ~alone).withColumn("bucket", F.floor(F.col("bucket") / FAN_IN))
+        todo = todo.withColumn("n_buckets", F.ceil(F.col("n_buckets") / F.lit(FAN_IN)))
     done = settled[0]
     for more in settled[1:]:
         done = done.unionByName(more)

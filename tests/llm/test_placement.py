@@ -130,6 +130,20 @@ def test_mix_comes_near_its_targets(spark, odd_documents, monkeypatch):
     assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in out)
 
 
+@pytest.mark.parametrize(("bucket_rows", "fan_in"), [(8192, 64), (100, 2)])
+def test_mix_misses_a_target_by_small_documents_only(spark, monkeypatch, bucket_rows, fan_in):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(mixing, "FAN_IN", fan_in)
+    rnd = random.Random(21)
+    rows = [(i, " ".join(["w"] * (2 + int(rnd.lognormvariate(3, 1.2)))), rnd.choice("aaaaaabbbc")) for i in range(4000)]
+    rows += [(5000 + k, "w " * 6000, s) for k, s in enumerate("abc")]  # far larger than the others
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.copies(spark, docs).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.max("copies").alias("most")).collect()
+    assert len(out) == 3
+    for r in out:
+        assert abs(r["taken"] - r["target"]) <= 100 and r["most"] <= 3
+
+
 def test_mix_edge_cases(spark, odd_documents):
     out = mixing.copies(spark, odd_documents)
     assert out.agg(F.sum("n")).first()[0] == odd_documents.count()
