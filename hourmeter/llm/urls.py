@@ -12,8 +12,8 @@ n-grams only.  A URL's n-grams meet the table in a plain join, whose hot keys (e
 adaptive execution splits.
 
 Nulls: a null URL, or one without ``://``, has empty host and path, fits no rule, and is scored as what stands
-there (null: as empty).  Empty URLs score 0 and are allowed if 0 reaches the threshold.  Repeated rows each get a
-row; a null page_id keeps its row.  Without URLs of both classes the scores are 0.  An empty table gives an
+there (null: as empty).  An empty URL has one n-gram, its end right after the padding, and is scored by that like any
+other.  Repeated rows each get a row; a null page_id keeps its row.  Without URLs of both classes the scores are 0.  An empty table gives an
 empty result.
 """
 
@@ -89,6 +89,8 @@ def judge(spark: SparkSession, pages: DataFrame, rules: list[Rule]) -> DataFrame
     rows = rows.withColumns({"rule": rule, "ruled": verdict, "scored_url": F.coalesce("url", F.lit(""))})
     rows = rows.withColumn("held", F.pmod(F.xxhash64("scored_url", F.lit("calibrate")), F.lit(5)) == 0)
     distinct = rows.groupBy("scored_url", "ruled", "held").agg(F.count(F.lit(1)).alias("n"))
+    # a URL becomes dozens of rows here, so the few bytes before aren't put together into fewer tasks
+    distinct = distinct.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "scored_url")
     # each gram of a URL once, with how often it stands there
     grams = distinct.select("scored_url", "ruled", "held", "n", F.explode(_grams(F.col("scored_url"))).alias("gram"))
     grams = grams.groupBy("scored_url", "ruled", "held", "n", "gram").agg(F.count(F.lit(1)).alias("times"))

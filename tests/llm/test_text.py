@@ -109,6 +109,7 @@ def test_url_rules_and_scores(spark):
     scores = {r["url"] or "": r["score"] for r in out if not r["rule"]}
     want = brute_scores(train, scores)
     assert all(abs(scores[u] - want[u]) < 1e-9 for u in scores) and len(scores) > 20
+    assert scores[""] != 0  # an empty URL is scored by its end
     # one threshold divides the verdicts
     low = [r["score"] for r in out if not r["rule"] and r["verdict"] == "block"]
     high = [r["score"] for r in out if not r["rule"] and r["verdict"] == "allow"]
