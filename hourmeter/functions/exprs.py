@@ -26,13 +26,18 @@ from hourmeter.functions.constants import (
 _WS = r"(?U)[\s\x{FEFF}]+"
 
 
+# words of printable ASCII with one space between: nothing to collapse
+_PLAIN = r"\A[!-~]++(?: [!-~]++)*+\z"
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
 def collapse(s) -> Column:
     """Null -> '', whitespace runs -> one space, trimmed."""
-    return F.trim(F.regexp_replace(F.coalesce(_c(s), F.lit("")), _WS, " "))
+    s = _c(s)
+    return F.when(s.rlike(_PLAIN), s).otherwise(F.trim(F.regexp_replace(F.coalesce(s, F.lit("")), _WS, " ")))
 
 
 def header_key(s) -> Column:
@@ -41,26 +46,38 @@ def header_key(s) -> Column:
 
 
 def title_case(s) -> Column:
-    """Lower case, then upper-case an ASCII letter at the start or after space, ' or -.
+    """Lower case, then upper-case an ASCII letter at the start or after space, ' or -."""
+    return raised(collapse(s))
+
+
+def raised(collapsed) -> Column:
+    """C5 of a collapsed string.
 
     ``initcap`` is not the same rule (it ignores ' and -), so the string is split
-    after every separator and the first letter of each piece is raised.
+    after every separator and the first letter of each piece is raised.  A string of
+    ASCII letters and digits is one piece, which needs no split.
     """
-    low = F.lower(collapse(s))
+    low = F.lower(_c(collapsed))
     pieces = F.split(low, "(?<=[ '-])")
-    raised = F.transform(
+    each = F.transform(
         pieces,
         lambda p: F.when(
             F.substring(p, 1, 1).rlike("^[a-z]$"), F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30))
         ).otherwise(p),
     )
-    return F.array_join(raised, "")
+    one = F.concat(F.upper(F.substring(low, 1, 1)), F.substring(low, 2, 1 << 30))
+    return F.when(low.rlike(r"\A[a-z0-9]++\z"), one).otherwise(F.array_join(each, ""))
+
+
+def without_prefix(collapsed, prefix: str = "") -> Column:
+    """C3's first half: a collapsed branch without the configured leading company prefix (none unless given)."""
+    return F.regexp_replace(_c(collapsed), "(?i)^" + re.escape(prefix) + r"\s*", "") if prefix else _c(collapsed)
 
 
 def normalise_branch(s, prefix: str = "") -> Column:
     """Collapse, drop the configured leading company prefix (none unless given), title case; blank -> null."""
-    stripped = F.regexp_replace(collapse(s), "(?i)^" + re.escape(prefix) + r"\s*", "") if prefix else collapse(s)
-    return F.when(stripped == "", F.lit(None).cast("string")).otherwise(title_case(stripped))
+    stripped = without_prefix(collapse(s), prefix)
+    return F.when(stripped == "", F.lit(None).cast("string")).otherwise(raised(stripped))
 
 
 def normalise_ref(s) -> Column:
@@ -70,38 +87,43 @@ def normalise_ref(s) -> Column:
 
 def normalise_driver(first, surname) -> Column:
     """struct(first_name, surname, driver_key) or null when both parts are blank."""
-    f = collapse(first)
-    s = collapse(surname)
-    fn = title_case(f)
-    sn = title_case(s)
+    return driver_of(title_case(first), title_case(surname))
+
+
+def driver_of(first_name, surname) -> Column:
+    """C6 from both parts in title case."""
+    fn, sn = _c(first_name), _c(surname)
     key = F.lower(F.trim(F.concat(fn, F.lit(" "), sn)))
-    return F.when((f == "") & (s == ""), F.lit(None)).otherwise(
+    return F.when((fn == "") & (sn == ""), F.lit(None)).otherwise(
         F.struct(fn.alias("first_name"), sn.alias("surname"), key.alias("driver_key"))
     )
 
 
-_ISO = r"^(\d{4})-(\d{2})-(\d{2})[T ](\d{2}):(\d{2}):(\d{2})$"
-_DMY = r"^(\d{2})/(\d{2})/(\d{4})[T ](\d{2}):(\d{2}):(\d{2})$"
+# years from 100, hours to 23, minutes and seconds to 59; the day is checked by the cast
+_YEAR, _CLOCK = r"(?:0[1-9]|[1-9]\d)\d{2}", r"[T ](?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d$"
+_ISO = rf"^{_YEAR}-\d{{2}}-\d{{2}}{_CLOCK}"
+_DMY = rf"^\d{{2}}/\d{{2}}/{_YEAR}{_CLOCK}"
 
 
 def parse_event_time(s) -> Column:
     """ISO (T or space) or dd/mm/yyyy HH:MM:SS, calendar-checked, else null.
 
-    Both shapes are rewritten to ``yyyy-mm-dd hh:mi:ss`` and cast with ``try_cast``
+    Both shapes have fixed places, are put together as ``yyyy-mm-dd hh:mi:ss`` and cast with ``try_cast``
     (31/02 -> null).  Years below 100 are rejected as the source's date check did.
     """
-    t = collapse(s)
-    iso = F.regexp_replace(t, _ISO, "$1-$2-$3 $4:$5:$6")
-    dmy = F.regexp_replace(t, _DMY, "$3-$2-$1 $4:$5:$6")
-    text = F.when(t.rlike(_ISO), iso).when(t.rlike(_DMY), dmy)
-    ts = text.try_cast("timestamp_ntz")
-    ok = (
-        (F.substring(text, 1, 4).cast("int") >= 100)
-        & (F.substring(text, 12, 2).cast("int") < 24)
-        & (F.substring(text, 15, 2).cast("int") < 60)
-        & (F.substring(text, 18, 2).cast("int") < 60)
-    )
-    return F.when(ok, ts)
+    return event_time_of(collapse(s))
+
+
+def event_time_of(collapsed) -> Column:
+    """C7 of a collapsed text."""
+    t = _c(collapsed)
+
+    def at(start: int, length: int) -> Column:
+        return F.substring(t, start, length)
+
+    iso = F.concat(at(1, 10), F.lit(" "), at(12, 8))
+    dmy = F.concat(at(7, 4), F.lit("-"), at(4, 2), F.lit("-"), at(1, 2), F.lit(" "), at(12, 8))
+    return F.when(t.rlike(_ISO), iso).when(t.rlike(_DMY), dmy).try_cast("timestamp_ntz")
 
 
 def delivery_date_from_name(name) -> Column:

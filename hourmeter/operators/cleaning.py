@@ -83,7 +83,12 @@ def file_headers(records: DataFrame, files: DataFrame | None = None) -> DataFram
     Columns: file_name, hline, n_cols, signature, i_<role> (1-based, last duplicate
     wins), error.  ``files`` (file_name) lets empty files be reported too.
     """
-    hdr = records.groupBy("file_name").agg(F.min_by("fields", "line_no").alias("h"), F.min("line_no").alias("hline"))
+    # the first line numbers first, one row a file, then their fields: no record but those is sorted or kept
+    first = records.groupBy("file_name").agg(F.min("line_no").alias("hline"))
+    at = F.broadcast(first.select(F.col("file_name").alias("_file"), "hline"))
+    found = records.join(at, F.col("file_name").eqNullSafe(F.col("_file")) & (F.col("line_no") == F.col("hline")))
+    found = found.groupBy("_file").agg(F.min_by("fields", "line_no").alias("h"))
+    hdr = first.join(found, F.col("file_name").eqNullSafe(F.col("_file")), "left").drop("_file")
     keys = F.transform(F.col("h"), lambda s: X.header_key(s))
     roles = F.transform(keys, lambda k: F.element_at(_alias_map(), k))
     out = hdr.select(
@@ -130,30 +135,48 @@ def clean_records(
     ok = headers.where(F.col("error").isNull()).drop("error")
     failures = headers.where(F.col("error").isNotNull()).select("file_name", "error")
 
-    data = records.join(ok.drop("header"), "file_name").where(F.col("line_no") > F.col("hline"))
+    # one row a file, whose names the driver lists anyway: the records are not dealt by file to meet it, and the
+    # dates in a name are taken from it once
+    by_file = ok.drop("header").withColumn("delivery_date", X.delivery_date_from_name("file_name")).withColumn(
+        "data_date", X.data_date_from_name("file_name")
+    )
+    data = records.join(F.broadcast(by_file), "file_name").where(F.col("line_no") > F.col("hline"))
 
     def get(role):
         return F.try_element_at("fields", F.col("i_" + role))
 
+    # header keys hold no "|", so equal texts have equal parts: only a record like the header in size and first part is compared
+    like_header = (F.size("fields") == F.col("n_cols")) & (
+        X.header_key(F.try_element_at("fields", F.lit(1))) == F.substring_index("signature", "|", 1)
+    )
+    is_header = F.array_join(F.transform("fields", lambda s: X.header_key(s)), "|") == F.col("signature")
+
     d = data.select(
         "file_name",
         "line_no",
         "raw_line",
-        X.delivery_date_from_name("file_name").alias("delivery_date"),
-        X.data_date_from_name("file_name").alias("data_date"),
-        (F.array_join(F.transform("fields", lambda s: X.header_key(s)), "|") == F.col("signature")).alias("is_header"),
+        "delivery_date",
+        "data_date",
+        F.when(like_header, is_header).otherwise(False).alias("is_header"),
         F.size("fields").alias("n_got"),
         "n_cols",
         X.normalise_ref(get("ref_no")).alias("ref_no"),
         X.collapse(get("event_type")).alias("type_raw"),
         X.collapse(get("event_time")).alias("time_raw"),
         X.collapse(get("run_hours")).alias("rh_raw"),
-        X.normalise_branch(get("branch"), branch_prefix).alias("branch_norm"),
-        X.normalise_driver(get("driver_first_name"), get("driver_surname")).alias("driver"),
-    )
-    d = d.withColumn("event_time", X.parse_event_time(F.col("time_raw"))).withColumn(
-        "rh_value", F.when(F.col("rh_raw").rlike(r"^[0-9]+$"), F.col("rh_raw").try_cast("bigint"))
+        X.without_prefix(X.collapse(get("branch")), branch_prefix).alias("_branch"),
+        X.collapse(get("driver_first_name")).alias("_first"),
+        X.collapse(get("driver_surname")).alias("_surname"),
     )
+    # step by step, so that no text is normalised once for every place that uses it
+    d = d.withColumns({
+        "branch_norm": F.when(F.col("_branch") != "", X.raised("_branch")),
+        "_first": X.raised("_first"),
+        "_surname": X.raised("_surname"),
+        "event_time": X.event_time_of("time_raw"),
+        "rh_value": F.when(F.col("rh_raw").rlike(r"^[0-9]+$"), F.col("rh_raw").try_cast("bigint")),
+    })
+    d = d.withColumn("driver", X.driver_of("_first", "_surname")).drop("_branch", "_first", "_surname")
     m = machines.select("ref_no", F.col("branch").alias("m_branch"), F.col("machine_type").alias("m_type"), F.lit(True).alias("m_found"))
     et = F.broadcast(event_types.select(F.col("raw_label").alias("_type_key"), "code"))  # fixed 8 rows
     d = d.join(m, "ref_no", "left").join(et, F.lower(d.type_raw) == et._type_key, "left").drop("_type_key")
