@@ -2,7 +2,7 @@
 
 A filter belongs to a day and a *level*: the number of buckets it was built with, the power of two that gives a bucket about
 ``KEYS_PER_BUCKET`` keys.  A key's first hash names its bucket, its second ``HASHES`` bits of that bucket's 32,768; a bucket is one
-row with a 4 KB bitmap, built by ``bitmap_construct_agg`` with map-side combining.  Filters of one day and level merge by
+row with a 4 KB bitmap, built by ``bitmap_construct_agg``.  Filters of one day and level merge by
 ``bitmap_or_agg``; a load of another size brings a level of its own, so no filter has to be built anew as a day grows.
 
 A key whose bits are not all set was never added.  A key whose bits are is probably stored; about one in 400 is not.
@@ -37,6 +37,9 @@ def build_filters(rows: DataFrame, day: str, keys: Sequence[str]) -> DataFrame:
     sizes = hashed.groupBy(day).agg(F.count(F.lit(1)).alias("_n"))  # one row a day
     level = F.pow(F.lit(2.0), F.greatest(F.ceil(F.log2(F.col("_n") / KEYS_PER_BUCKET)), F.lit(0))).cast("int").alias("level")
     placed = hashed.join(sizes.select(day, level), day).withColumn("bucket", F.pmod("_first", "level").cast("int"))
+    # a bucket's keys (about KEYS_PER_BUCKET, whatever the day) meet before they become bits: combined map-side, every task would
+    # send a bitmap of every bucket
+    placed = placed.select(day, "level", "bucket", "_second").repartition(day, "level", "bucket")
     bits = placed.select(day, "level", "bucket", F.explode(F.array(*[_bit(F.col("_second"), i) for i in range(HASHES)])).alias("_at"))
     return bits.groupBy(day, "level", "bucket").agg(F.bitmap_construct_agg("_at").alias("bits"))
 

@@ -100,7 +100,11 @@ def insert_drivers(drivers: DataFrame, rows: DataFrame) -> DataFrame:
     d = rows.where(F.col("driver").isNotNull()).select(
         "driver.driver_key", "driver.first_name", "driver.surname", "file_name", "source_line"
     )
-    first = d.groupBy("driver_key").agg(
+    # a driver's spellings by file first, which needs no sort: a row each, whatever the readings
+    spelt = d.groupBy("driver_key", "first_name", "surname", "file_name", F.col("source_line").isNull().alias("_unnumbered")).agg(
+        F.min("source_line").alias("source_line")
+    )
+    first = spelt.groupBy("driver_key").agg(
         F.min_by(F.struct("first_name", "surname"), F.struct("file_name", "source_line")).alias("s")
     )
     new = first.join(drivers.select("driver_key"), "driver_key", "left_anti").select(
@@ -129,10 +133,9 @@ def new_events(existing: DataFrame, rows: DataFrame, branches: DataFrame, load_i
     key = ["event_date", *NATURAL_KEY]
     firsts = r.groupBy(*key).agg(F.min(F.struct("file_name", "source_line")).alias("_w"))
     r = r.join(firsts, key).where(F.struct("file_name", "source_line") == F.col("_w")).drop("_w")
+    r = r.checkpoint()  # read for its dates, for the filters and for the result
     asked = r.select(*key)
     if filters is not None:
-        r = r.checkpoint()  # read for its dates, for the filters and for the result
-        asked = r.select(*key)
         filters = filters.where(F.col("event_date").isin(_days(asked)))
         asked = may_be_stored(asked, filters, "event_date", key).checkpoint()
     stored = existing.where(F.col("event_date").isin(_days(asked))).select(*key)

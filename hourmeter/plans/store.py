@@ -155,10 +155,12 @@ class Store:
 
     def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
         cols = [f.name for f in T._parse_datatype_string(SCHEMAS[table]).fields]
-        w = df.select(*cols).write.mode("append")
+        df = df.select(*cols)
         if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path(table))
+            # a folder's rows meet first (a large one's in several tasks), or every task would write a file into every folder
+            df.hint("rebalance", partition_by[0]).write.mode("append").partitionBy(*partition_by).parquet(self.path(table))
+        else:
+            df.write.mode("append").parquet(self.path(table))
 
     # ------------------------------------------------------------ committed view
     def tables(self) -> Tables:
