@@ -22,6 +22,7 @@ from hourmeter.functions import exprs as X
 from hourmeter.functions.constants import DAILY_FILE_SUFFIX
 from hourmeter.model import Tables, event_types_df
 from hourmeter.operators.sliced import sliced_running_sum
+from hourmeter.session import ensure_checkpoint_dir
 
 # --- Fixed values: facade mapping tables
 SEGMENT_MACHINE_TYPE = [
@@ -198,6 +199,14 @@ def facade_tables(spark: SparkSession, sf_dir: str) -> Tables:
     )
 
 
+def facade_tables_cut(spark: SparkSession, sf_dir: str) -> Tables:
+    """The star schema with its events worked out once, for queries that read them several times."""
+    ensure_checkpoint_dir(spark)
+    t = facade_tables(spark, sf_dir)
+    events = t.events.checkpoint()
+    return t.with_(events=events, source_files=facade_source_files(events))
+
+
 # --- Fixed values: raw-line defects of the CSV facade, by event_id modulus, first match wins.
 # Every event still yields its line(s); the modulus only picks which defect a line carries.
 DEFECTS = [
