@@ -12,7 +12,7 @@ from hourmeter.plans.contract_sql import SAFETY_NAMES, date_sql, hours_sql, hund
 from hourmeter.plans.sql_functions import register_functions
 from hourmeter.sources import drift as DR
 from hourmeter.sources import payload as PL
-from hourmeter.sources.facade import facade_tables
+from hourmeter.sources.facade import facade_tables, facade_tables_cut
 
 # ---------------------------------------------------------------- M: the questions as SQL functions
 
@@ -196,12 +196,12 @@ def deliveries(spark: SparkSession, sf: str) -> Store:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _DELIVERED:
         root = ensure_checkpoint_dir(spark).rstrip("/") + "/contract-deliveries-" + _uuid.uuid4().hex
-        t = facade_tables(spark, sf)
-        first, names = facade_lines_with_gaps(facade_raw_lines(spark, sf, t))
-        first, names, machines = first.checkpoint(), names.checkpoint(), facade_machine_index(t).checkpoint()
+        t = facade_tables_cut(spark, sf)
+        first, names = facade_lines_with_gaps(facade_raw_lines(spark, sf, t).checkpoint())
+        names, machines = names.checkpoint(), facade_machine_index(t).checkpoint()
         store = Store(spark, root, BRANCH_PREFIX)
         # the second time, the lines come in another order and partitioning
-        told = ((first, machines), (first.repartition(5, "raw_line"), machines), (_redelivered(first).checkpoint(), _changed_list(machines)))
+        told = ((first, machines), (first.repartition("raw_line"), machines), (_redelivered(first).checkpoint(), _changed_list(machines)))
         for (lines, listed), at in zip(told, _TIMES, strict=True):
             prints = FS.file_fingerprints(lines.withColumnRenamed("raw_line", "line"))
             candidates = names.join(prints, "file_name", "left").withColumn("checksum", F.coalesce("checksum", F.lit("empty")))
@@ -303,7 +303,7 @@ FEED_FILES = 3  # one a micro-batch
 def _feed_state(spark: SparkSession, sf: str) -> DataFrame:
     """Every reading in one of three files by hash, two thirds again in the next one; the stream takes a file at a time."""
     root = ensure_checkpoint_dir(spark).rstrip("/") + "/contract-feed-" + _uuid.uuid4().hex
-    t = facade_tables(spark, sf)
+    t = facade_tables_cut(spark, sf)
     place = F.pmod(F.xxhash64("ref_no", "source_line"), F.lit(FEED_FILES))
     copies = F.when(F.pmod("source_line", F.lit(3)) > 0, F.array(place, (place + 1) % FEED_FILES)).otherwise(F.array(place))
     person = t.drivers.select("driver_key", "first_name", "surname")
@@ -353,7 +353,7 @@ def _drifting(spark: SparkSession, sf: str) -> DR.DriftingPayload:
     first = F.least(F.array_min(F.col("rows.source_line")), F.array_min(F.col("rejected.line_no")))
     sender = F.when(F.floor(first / PL.PAYLOAD_BLOCK_LINES) % 2 == 0, "depot").alias("sender")
     planted = F.struct("file", F.transform("rows", row).alias("rows"), F.transform("rejected", line).alias("rejected"), sender)
-    return DR.explode_drifting(docs.select(F.to_json(planted).alias("value")))
+    return DR.explode_drifting(docs.select(F.to_json(planted).alias("value")).checkpoint(), cut=lambda df: df.checkpoint())
 
 
 _DRIFT_SQL = f"""

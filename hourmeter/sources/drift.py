@@ -113,8 +113,11 @@ def _departures(x: Column, shape: StructType, section: str, under: str = "") ->
     return F.concat(*parts)
 
 
-def explode_drifting(docs: DataFrame, col: str = "value") -> DriftingPayload:
-    """Documents of ``docs[col]`` as typed tables, with their departures from the known shape."""
+def explode_drifting(docs: DataFrame, col: str = "value", cut=None) -> DriftingPayload:
+    """Documents of ``docs[col]`` as typed tables, with their departures from the known shape.
+
+    ``cut`` (e.g. ``DataFrame.checkpoint``) is applied to the parsed documents, which every table reads: without it
+    each parses them anew, and once more for every place where the filters name a part of them."""
     known = DataType.fromDDL(PAYLOAD_SCHEMA)
     parsed = docs.select(F.col(col).cast("string").alias("value"), F.try_parse_json(F.col(col).cast("string")).alias("v"))
     file = F.try_variant_get("v", "$.file", "variant")
@@ -126,6 +129,8 @@ def explode_drifting(docs: DataFrame, col: str = "value") -> DriftingPayload:
             F.coalesce(F.col("file_name"), F.lit("")) == "", F.lit("document names no file")
         ),
     )
+    if cut is not None:
+        parsed = cut(parsed)
     failures = parsed.where(F.col("error").isNotNull()).select("value", "error")
     good = parsed.where(F.col("error").isNull()).select("file_name", "v")
 
@@ -138,7 +143,7 @@ def explode_drifting(docs: DataFrame, col: str = "value") -> DriftingPayload:
     )
 
     # the document itself: its objects, and sections that are no list
-    own = _departures(F.col("v"), StructType([f for f in known.fields if f.name in sections + objects.names]), "")
+    own = _departures(F.col("x"), StructType([f for f in known.fields if f.name in sections + objects.names]), "")
 
     def elements_of(section: str) -> Column:
         held = F.coalesce(F.try_variant_get("v", _path(section), "array<variant>"), F.array().cast("array<variant>"))
@@ -146,23 +151,23 @@ def explode_drifting(docs: DataFrame, col: str = "value") -> DriftingPayload:
 
     elements = good.select("file_name", F.inline(F.concat(*[elements_of(s) for s in sections])))
 
-    tables, drifted = {}, [good.select("file_name", F.lit("document").alias("section"), F.lit(-1).alias("place"), F.inline(own), F.lit(None).cast("string").alias("element"))]
+    tables, found = {}, F.when(F.col("section") == "document", own)
+    x_object = F.coalesce(F.try_variant_get("x", "$", "map<string, variant>").isNotNull(), F.lit(False))
+    no_object = F.array(F.struct(F.lit("").alias("field"), F.lit("mistyped").alias("kind"), F.to_json("x").alias("value")))
     for s in sections:
         shape = known[s].dataType.elementType
-        of = elements.where(F.col("section") == s)
-        typed = of.select("file_name", "place", _read(F.col("x"), shape, s).alias("r"), "x")
+        typed = elements.where(F.col("section") == s).select("file_name", _read(F.col("x"), shape, s).alias("r"))
         tables[s] = typed.where(F.col(f"r.{_KEY[s]}").isNotNull()).select("file_name", "r.*")
-        whole = F.to_json("x")
-        x_object = F.coalesce(F.try_variant_get("x", "$", "map<string, variant>").isNotNull(), F.lit(False))
         keyless = F.struct(F.lit(_KEY[s]).alias("field"), F.lit("missing").alias("kind"), F.lit(None).cast("string").alias("value"))
-        no_object = F.array(F.struct(F.lit("").alias("field"), F.lit("mistyped").alias("kind"), whole.alias("value")))
-        found = F.when(~x_object, no_object).otherwise(
-            F.concat(_departures(F.col("x"), shape, s), F.when(F.col(f"r.{_KEY[s]}").isNull(), F.array(keyless)).otherwise(F.array().cast(_DRIFT)))
-        )
-        drifted.append(typed.select("file_name", F.lit(s).alias("section"), "place", F.inline(found), whole.alias("element")))
-    drift = drifted[0]
-    for more in drifted[1:]:
-        drift = drift.unionByName(more)
+        key = _typed(_member(F.col("x"), _KEY[s]), shape[_KEY[s]].dataType, _CAST.get((s, _KEY[s])))
+        held = F.concat(_departures(F.col("x"), shape, s), F.when(key.isNull(), F.array(keyless)).otherwise(F.array().cast(_DRIFT)))
+        found = found.when((F.col("section") == s) & ~x_object, no_object).when(F.col("section") == s, held)
+    # one pass over the documents themselves and the elements of all sections
+    whole = F.array(F.struct(F.lit("document").alias("section"), F.lit(-1).alias("place"), F.col("v").alias("x")))
+    judged = good.select("file_name", F.inline(F.concat(whole, *[elements_of(s) for s in sections])))
+    drift = judged.select("file_name", "section", "place", "x", F.inline(found)).select(
+        "file_name", "section", "place", "field", "kind", "value", F.when(F.col("section") != "document", F.to_json("x")).alias("element")
+    )
     rows = tables["rows"].withColumns({c: F.coalesce(c, F.lit(False)) for c in ("is_late_arrival", "branch_mismatch")})
     return DriftingPayload(
         files=files, rows=rows, rejected=tables["rejected"], machines=tables["machines"].drop("file_name").distinct(), drift=drift, failures=failures
