@@ -297,23 +297,27 @@ FROM listed UNION ALL SELECT 'M999999', '{NEW_BRANCH}', 'PPT', 3"""
 from hourmeter.plans.store import materialize  # noqa: E402
 from hourmeter.streaming.readings import READING, stream_readings  # noqa: E402
 
-FEED_FILES = 3  # one a micro-batch
+FEED_DELIVERIES = 3  # one a micro-batch
+FEED_FILE_ROWS = 200_000  # a delivery has as many files as its readings need, so no task writes or reads a whole one
 
 
 def _feed_state(spark: SparkSession, sf: str) -> DataFrame:
-    """Every reading in one of three files by hash, two thirds again in the next one; the stream takes a file at a time."""
+    """Every reading in one of three deliveries by hash, two thirds again in the next one; the stream takes a delivery at a time."""
     root = ensure_checkpoint_dir(spark).rstrip("/") + "/contract-feed-" + _uuid.uuid4().hex
     t = facade_tables_cut(spark, sf)
-    place = F.pmod(F.xxhash64("ref_no", "source_line"), F.lit(FEED_FILES))
-    copies = F.when(F.pmod("source_line", F.lit(3)) > 0, F.array(place, (place + 1) % FEED_FILES)).otherwise(F.array(place))
+    place = F.pmod(F.xxhash64("ref_no", "source_line"), F.lit(FEED_DELIVERIES))
     person = t.drivers.select("driver_key", "first_name", "surname")
     named = t.branches.select(F.col("branch_id").alias("event_branch_id"), F.col("name").alias("branch"))
-    feed = t.events.join(named, "event_branch_id").join(person, "driver_key", "left").withColumn("file", F.explode(copies)).withColumn("seq", F.col("source_line").cast("bigint"))
     columns = [c.strip().split()[0] for c in READING.split(",")]
-    feed.repartition(FEED_FILES, "file").sortWithinPartitions(F.xxhash64("seq")).select(*columns).write.parquet(root + "/feed")
+    files = -(-t.events.count() // FEED_FILE_ROWS) or 1
+    for k in range(FEED_DELIVERIES):  # the file source takes files by the time they were written
+        again = (F.pmod("source_line", F.lit(3)) > 0) & ((place + 1) % FEED_DELIVERIES == k)
+        delivered = t.events.where((place == k) | again).withColumn("seq", F.col("source_line").cast("bigint"))
+        delivered = delivered.join(named, "event_branch_id").join(person, "driver_key", "left").select(*columns)
+        delivered.repartition(files, "seq").sortWithinPartitions(F.xxhash64("seq")).write.mode("append").parquet(root + "/feed")
     store = Store(spark, root + "/warehouse", BRANCH_PREFIX)
     materialize(store, t.with_(events=t.events.limit(0), source_files=t.source_files.limit(0)), load_id="start")
-    stream = spark.readStream.schema(READING).option("maxFilesPerTrigger", "1").parquet(root + "/feed")
+    stream = spark.readStream.schema(READING).option("maxFilesPerTrigger", str(files)).parquet(root + "/feed")
     stream_readings(spark, store, stream, "feed", root + "/stream-ckpt").awaitTermination()
     e = store.tables()
     names = e.branches.select(F.col("branch_id").alias("event_branch_id"), F.col("name").alias("branch"))

@@ -119,7 +119,7 @@ def new_events(existing: DataFrame, rows: DataFrame, branches: DataFrame, load_i
     earliest (file_name, source_line) copy wins.  The loads' key filters say which rows may be stored
     already; only those are compared with the fact, and only their dates, named to the scan as
     literals, are read from it.  Without filters every date of the batch is."""
-    b = branches.select(F.col("name").alias("reported_branch"), F.col("branch_id").alias("event_branch_id"))
+    b = few(branches.select(F.col("name").alias("reported_branch"), F.col("branch_id").alias("event_branch_id")))
     r = rows.join(b, "reported_branch").select(
         *NATURAL_KEY,
         F.to_date("event_time").alias("event_date"),
@@ -131,18 +131,28 @@ def new_events(existing: DataFrame, rows: DataFrame, branches: DataFrame, load_i
         "branch_mismatch",
     )
     key = ["event_date", *NATURAL_KEY]
-    firsts = r.groupBy(*key).agg(F.min(F.struct("file_name", "source_line")).alias("_w"))
-    r = r.join(firsts, key).where(F.struct("file_name", "source_line") == F.col("_w")).drop("_w")
+    # the rows meet once; a rank keeps every row at the earliest place, and a key's other copies go before they are dealt
+    place = F.rank().over(Window.partitionBy(*key).orderBy("file_name", "source_line"))
+    r = r.dropna(subset=key).withColumn("_place", place).where("_place = 1").drop("_place")
     r = r.checkpoint()  # read for its dates, for the filters and for the result
     asked = r.select(*key)
     if filters is not None:
         filters = filters.where(F.col("event_date").isin(_days(asked)))
         asked = may_be_stored(asked, filters, "event_date", key).checkpoint()
     stored = existing.where(F.col("event_date").isin(_days(asked))).select(*key)
-    r = r.join(stored.join(asked, key, "left_semi") if filters is not None else stored, key, "left_anti")
+    if filters is not None:
+        # few may be stored in most loads: then neither the fact nor the new rows are dealt
+        stored = few(stored.join(few(asked), key, "left_semi").distinct().checkpoint())
+    r = r.join(stored, key, "left_anti")
     return r.withColumn("loaded_at", F.lit(now)).withColumn("load_id", F.lit(load_id))
 
 
+def few(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """``df`` (cheap to read), to be broadcast if it has few rows.  The planner knows no sizes of checkpointed tables, and it deals
+    rows by a key of few values, such as the branch, to as many tasks; a table of many rows has keys enough to spread by."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def _days(rows: DataFrame) -> list[dt.date]:
     """The dates of ``rows``, one value a calendar day."""
     return [d[0] for d in rows.select("event_date").distinct().collect()]
@@ -363,28 +373,28 @@ def load_feed(spark: SparkSession, store: Store, readings: DataFrame, batch_name
         F.lit(False).alias("is_late_arrival"),
         (~F.coalesce("branch", "home_branch").eqNullSafe(F.col("home_branch"))).alias("branch_mismatch"),
         reason.alias("reason"),
-        F.to_json(F.struct(*[F.col(f"`{c}`") for c in readings.columns])).alias("raw_line"),
+        F.when(reason.isNotNull(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in readings.columns]))).alias("raw_line"),
     ).checkpoint()
-    rows = r.where("reason is null")
-    now = _now()
-    branches = insert_branches(t.branches, rows.select(F.col("reported_branch").alias("name"))).checkpoint()
-    drivers = insert_drivers(t.drivers, rows).checkpoint()
-    ev = new_events(t.events, rows, branches, load_id, now, t.event_filters).checkpoint()
-    rejected = r.where("reason is not null").select("file_name", F.col("source_line").alias("line_no"), "raw_line", "reason", F.lit(None).cast("string").alias("detail"))
-    store.append("events", ev, partition_by=["event_date"])
-    write_rollup(store, t.events, ev, load_id, held=t)
-    store.append("rejected_rows", rejected.withColumn("rejected_at", F.lit(now)).withColumn("load_id", F.lit(load_id)))
     n_rows, n_clean = r.agg(F.count(F.lit(1)), F.count_if(F.col("reason").isNull())).first()
-    loaded = ev.count()
+    now, loaded, versions = _now(), 0, {}
+    if n_clean:
+        rows = r.where("reason is null")
+        branches = insert_branches(t.branches, rows.select(F.col("reported_branch").alias("name"))).checkpoint()
+        drivers = insert_drivers(t.drivers, rows).checkpoint()
+        ev = new_events(t.events, rows, branches, load_id, now, t.event_filters).checkpoint()
+        store.append("events", ev, partition_by=["event_date"])
+        write_rollup(store, t.events, ev, load_id, held=t)
+        loaded = ev.count()
+        versions = {"branches": store.write_version("branches", branches), "drivers": store.write_version("drivers", drivers)}
+    if n_rows > n_clean:
+        rejected = r.where("reason is not null").select("file_name", F.col("source_line").alias("line_no"), "raw_line", "reason", F.lit(None).cast("string").alias("detail"))
+        store.append("rejected_rows", rejected.withColumn("rejected_at", F.lit(now)).withColumn("load_id", F.lit(load_id)))
     registered = spark.createDataFrame([(batch_name,)], "file_name string").select(
         "file_name", F.lit(None).cast("date").alias("delivery_date"), F.lit(None).cast("date").alias("data_date"), F.lit(load_id).alias("checksum"),
         F.lit(None).cast("array<string>").alias("header"), F.lit(None).cast("bigint").alias("length"), F.lit(None).cast("bigint").alias("modified"),
     )
-    store.commit(t.extra["manifest"], {
-        "branches": store.write_version("branches", branches),
-        "drivers": store.write_version("drivers", drivers),
-        "source_files": store.write_version("source_files", register_files(t.source_files, registered, load_id, now)),
-    })
+    versions["source_files"] = store.write_version("source_files", register_files(t.source_files, registered, load_id, now))
+    store.commit(t.extra["manifest"], versions)
     log = [(load_id, batch_name, started, _now(), "success", n_rows, loaded, n_clean - loaded, n_rows - n_clean, None, triggered_by)]
     store.append("ingestion_runs", spark.createDataFrame(log, SCHEMAS["ingestion_runs"]))
 

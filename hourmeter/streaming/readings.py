@@ -38,9 +38,20 @@ def stream_readings(
     """Load a streaming DataFrame of readings into the warehouse, one commit a micro-batch.  A micro-batch that is run again after
     a failure finds its number registered and does nothing."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")  # it looks every key up once more
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        load_feed(spark, store, batch, f"{name}-{epoch_id:09d}")
+        # a micro-batch comes in a session of the stream's own, in which Spark turns adaptive execution off for the stateful
+        # plan's sake; the load of its rows is a batch job like any other, so it plans as the caller's session does
+        streams = batch.sparkSession.conf
+        held = streams.get("spark.sql.adaptive.enabled")
+        streams.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            load_feed(spark, store, batch, f"{name}-{epoch_id:09d}")
+        finally:
+            streams.set("spark.sql.adaptive.enabled", held)
 
     writer = distinct_readings(feed, horizon).writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     if available_now:
