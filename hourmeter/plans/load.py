@@ -142,15 +142,16 @@ def new_events(existing: DataFrame, rows: DataFrame, branches: DataFrame, load_i
     stored = existing.where(F.col("event_date").isin(_days(asked))).select(*key)
     if filters is not None:
         # few may be stored in most loads: then neither the fact nor the new rows are dealt
-        stored = few(stored.join(few(asked), key, "left_semi").distinct().checkpoint())
+        stored = few(stored.join(few(asked), key, "left_semi").distinct(), of=asked)
     r = r.join(stored, key, "left_anti")
     return r.withColumn("loaded_at", F.lit(now)).withColumn("load_id", F.lit(load_id))
 
 
-def few(df: DataFrame, rows: int = 50_000) -> DataFrame:
-    """``df`` (cheap to read), to be broadcast if it has few rows.  The planner knows no sizes of checkpointed tables, and it deals
-    rows by a key of few values, such as the branch, to as many tasks; a table of many rows has keys enough to spread by."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def few(df: DataFrame, rows: int = 50_000, of: DataFrame | None = None) -> DataFrame:
+    """``df``, to be broadcast if it has few rows; they are counted in ``of`` (cheap to read, no fewer rows), else in ``df``.
+    The planner knows no sizes of checkpointed tables, and it deals rows by a key of few values, such as the branch, to as many
+    tasks; a table of many rows has keys enough to spread by."""
+    return F.broadcast(df) if (df if of is None else of).limit(rows + 1).count() <= rows else df
 
 
 def _days(rows: DataFrame) -> list[dt.date]:
